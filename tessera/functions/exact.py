@@ -399,6 +399,9 @@ def evaluate(name: str, a: Geom | None, b: Geom, arg: float | None = None):
 # --------------------------------------------------------------------------
 def literal_udf(name: str, other: Geom, arg: float | None = None):
     """UDF(geometry column) -> predicate against a literal (closure-captured)."""
+    from ..session import ship_package
+
+    ship_package()
     rtype = T.DoubleType() if name == "distance" else T.BooleanType()
 
     @F.pandas_udf(rtype)
@@ -414,6 +417,9 @@ def literal_udf(name: str, other: Geom, arg: float | None = None):
 
 def pair_udf(name: str, arg: float | None = None):
     """UDF(geometry a, geometry b) -> predicate; for spatial-join candidate pairs."""
+    from ..session import ship_package
+
+    ship_package()
     rtype = T.DoubleType() if name == "distance" else T.BooleanType()
 
     @F.pandas_udf(rtype)

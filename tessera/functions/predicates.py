@@ -155,6 +155,28 @@ def point_in_polygon_column(x, y, poly, boundary: bool = True) -> Column:
     return _false_if_null(res)
 
 
+def point_distance_column(x, y, geom) -> Column:
+    """Planar distance from point columns to a geometry column (min over its
+    segments; points: to its vertices; 0 inside polygons), native HOFs."""
+    x, y = _c(x), _c(y)
+    g = _c(geom)
+    edges = _edges_of(g)
+    pts = F.flatten(F.flatten(g["parts"]))
+
+    def seg(e):
+        dx, dy = e["x2"] - e["x1"], e["y2"] - e["y1"]
+        ll = dx * dx + dy * dy
+        t = F.when(ll > 0, F.least(F.greatest(((x - e["x1"]) * dx + (y - e["y1"]) * dy) / ll, F.lit(0.0)),
+                                   F.lit(1.0))).otherwise(F.lit(0.0))
+        return F.sqrt((x - (e["x1"] + t * dx)) ** 2 + (y - (e["y1"] + t * dy)) ** 2)
+
+    vert = F.aggregate(pts, F.lit(float("inf")), lambda acc, p: F.least(acc, F.sqrt((x - p["x"]) ** 2 + (y - p["y"]) ** 2)))
+    segd = F.aggregate(edges, F.lit(float("inf")), lambda acc, e: F.least(acc, seg(e)))
+    is_area = g["kind"].isin("Polygon", "MultiPolygon")
+    d = F.when(g["kind"].isin("Point", "MultiPoint"), vert).otherwise(segd)
+    return F.when(is_area & point_in_polygon_column(x, y, g, boundary=True), F.lit(0.0)).otherwise(d)
+
+
 # --------------------------------------------------------------------------
 # OGC predicates against a literal geometry
 # --------------------------------------------------------------------------

@@ -53,3 +53,49 @@ def point_geom_distance(x: str, y: str, g: Geom) -> str:
 
 def box(x: str, y: str, x1, y1, x2, y2) -> str:
     return (f"({x} >= {dbl(x1)} AND {x} <= {dbl(x2)} AND {y} >= {dbl(y1)} AND {y} <= {dbl(y2)})")
+
+
+def s2_ctes(src: str, lat: str, lon: str, levels: tuple[int, ...]) -> str:
+    """CTE chain computing S2 leaf ids (UBIGINT) and parent tokens per level
+    for rows of ``src`` -- the same arithmetic as ``cells.leaf_cell``."""
+    from ..functions.cells import MAX_LEVEL, _lookup_pos, lsb_for_level
+
+    tbl = "[" + ", ".join(str(v) for v in _lookup_pos()) + "]"
+    d2r = "0.017453292519943295"
+    ctes = [
+        f"s2a AS (SELECT *, cos({lat} * {d2r}) * cos({lon} * {d2r}) AS s2x, "
+        f"cos({lat} * {d2r}) * sin({lon} * {d2r}) AS s2y, sin({lat} * {d2r}) AS s2z FROM {src})",
+        "s2b AS (SELECT *, CASE WHEN abs(s2x) > abs(s2y) THEN (CASE WHEN abs(s2x) > abs(s2z) THEN 0 ELSE 2 END) "
+        "ELSE (CASE WHEN abs(s2y) > abs(s2z) THEN 1 ELSE 2 END) END AS s2axis FROM s2a)",
+        "s2c AS (SELECT *, CASE WHEN (CASE s2axis WHEN 0 THEN s2x WHEN 1 THEN s2y ELSE s2z END) < 0 "
+        "THEN s2axis + 3 ELSE s2axis END AS s2face FROM s2b)",
+        "s2d AS (SELECT *, CASE s2face WHEN 0 THEN s2y / s2x WHEN 1 THEN -s2x / s2y WHEN 2 THEN -s2x / s2z "
+        "WHEN 3 THEN s2z / s2x WHEN 4 THEN s2z / s2y ELSE -s2y / s2z END AS s2u, "
+        "CASE s2face WHEN 0 THEN s2z / s2x WHEN 1 THEN s2z / s2y WHEN 2 THEN -s2y / s2z "
+        "WHEN 3 THEN s2y / s2x WHEN 4 THEN -s2x / s2y ELSE -s2x / s2z END AS s2v FROM s2c)",
+        "s2e AS (SELECT *, "
+        "CAST(least(greatest(floor((CASE WHEN s2u >= 0 THEN 0.5e0 * sqrt(1.0e0 + 3.0e0 * s2u) "
+        "ELSE 1.0e0 - 0.5e0 * sqrt(1.0e0 - 3.0e0 * s2u) END) * 1073741824.0e0), 0), 1073741823) AS UBIGINT) AS s2i, "
+        "CAST(least(greatest(floor((CASE WHEN s2v >= 0 THEN 0.5e0 * sqrt(1.0e0 + 3.0e0 * s2v) "
+        "ELSE 1.0e0 - 0.5e0 * sqrt(1.0e0 - 3.0e0 * s2v) END) * 1073741824.0e0), 0), 1073741823) AS UBIGINT) AS s2j, "
+        "CAST(s2face & 1 AS UBIGINT) AS s2o8, CAST(0 AS UBIGINT) AS s2p8 FROM s2d)",
+    ]
+    prev = "s2e"
+    for k in range(7, -1, -1):
+        name = f"s2h{k}"
+        bits = (f"CAST({tbl}[CAST((((s2i >> {4 * k}) & 15) << 6) | (((s2j >> {4 * k}) & 15) << 2) "
+                f"| s2o{k + 1} AS BIGINT) + 1] AS UBIGINT)")
+        ctes.append(f"{name} AS (SELECT *, s2p{k + 1} | ((({bits}) >> 2) << {8 * k}) AS s2p{k}, "
+                    f"({bits}) & 3 AS s2o{k} FROM {prev})")
+        prev = name
+    sel = [f"((CAST(s2face AS UBIGINT) << 61) | (s2p0 << 1) | 1) AS s2leaf"]
+    ctes.append(f"s2f AS (SELECT *, {sel[0]} FROM {prev})")
+    toks = []
+    for L in levels:
+        lsb = lsb_for_level(L)
+        mask = (-lsb) & 0xFFFFFFFFFFFFFFFF
+        toks.append(f"rtrim(lower(lpad(hex((s2leaf & CAST({mask} AS UBIGINT)) | CAST({lsb} AS UBIGINT)), 16, '0')), "
+                    f"'0') AS token{L}")
+    ctes.append(f"s2 AS (SELECT *, {', '.join(toks)} FROM s2f)")
+    _ = MAX_LEVEL
+    return ",\n".join(ctes)
