@@ -56,20 +56,18 @@ def _lookup_pos() -> tuple:
 # --------------------------------------------------------------------------
 # native columns
 # --------------------------------------------------------------------------
-def _face_uv_cols(lat_deg: Column, lon_deg: Column):
-    lat, lon = F.radians(lat_deg), F.radians(lon_deg)
-    x = F.cos(lat) * F.cos(lon)
-    y = F.cos(lat) * F.sin(lon)
-    z = F.sin(lat)
-    ax, ay, az = F.abs(x), F.abs(y), F.abs(z)
-    axis = F.when(ax > ay, F.when(ax > az, 0).otherwise(2)).otherwise(F.when(ay > az, 1).otherwise(2))
-    comp = F.when(axis == 0, x).when(axis == 1, y).otherwise(z)
-    face = F.when(comp < 0, axis + 3).otherwise(axis)
-    u = (F.when(face == 0, y / x).when(face == 1, -x / y).when(face == 2, -x / z)
-         .when(face == 3, z / x).when(face == 4, z / y).otherwise(-y / z))
-    v = (F.when(face == 0, z / x).when(face == 1, z / y).when(face == 2, -y / z)
-         .when(face == 3, y / x).when(face == 4, -x / y).otherwise(-x / z))
-    return face, u, v
+def _let(value: Column, fn) -> Column:
+    """Bind ``value`` to a lambda variable so ``fn`` may use it many times
+    without copying its expression tree (keeps the plan small)."""
+    return F.element_at(F.transform(F.array(value), fn), 1)
+
+
+def _shl(c: Column, n: Column) -> Column:
+    return F.call_function("shiftleft", c, n)
+
+
+def _shr(c: Column, n: Column) -> Column:
+    return F.call_function("shiftright", c, n)
 
 
 def _uv_to_st(u: Column) -> Column:
@@ -83,19 +81,43 @@ def _st_to_ij(s: Column) -> Column:
 
 def leaf_cell(lat, lon) -> Column:
     """S2 leaf cell id (level 30) as a signed 64-bit long."""
-    face, u, v = _face_uv_cols(_c(lat).cast("double"), _c(lon).cast("double"))
-    i, j = _st_to_ij(_uv_to_st(u)), _st_to_ij(_uv_to_st(v))
+    la, lo = F.radians(_c(lat).cast("double")), F.radians(_c(lon).cast("double"))
+    xyz = F.struct((F.cos(la) * F.cos(lo)).alias("x"), (F.cos(la) * F.sin(lo)).alias("y"), F.sin(la).alias("z"))
     tbl = F.array(*[F.lit(int(t)) for t in _lookup_pos()])
-    ori = face.cast("long").bitwiseAND(F.lit(1))
-    pos = F.lit(0).cast("long")
-    for k in range(7, -1, -1):
-        idx = (F.shiftleft(F.shiftright(i, 4 * k).bitwiseAND(F.lit(15)), 6)
-               .bitwiseOR(F.shiftleft(F.shiftright(j, 4 * k).bitwiseAND(F.lit(15)), 2))
-               .bitwiseOR(ori))
-        bits = F.element_at(tbl, (idx + 1).cast("int")).cast("long")
-        pos = pos.bitwiseOR(F.shiftleft(F.shiftright(bits, 2), 8 * k))
-        ori = bits.bitwiseAND(F.lit(3))
-    cid = F.shiftleft(face.cast("long"), 61).bitwiseOR(F.shiftleft(pos, 1)).bitwiseOR(F.lit(1))
+
+    def with_face(p):
+        x, y, z = p["x"], p["y"], p["z"]
+        axis = F.when(F.abs(x) > F.abs(y), F.when(F.abs(x) > F.abs(z), 0).otherwise(2)) \
+            .otherwise(F.when(F.abs(y) > F.abs(z), 1).otherwise(2))
+        return _let(axis, lambda ax: _let(
+            F.when(F.when(ax == 0, x).when(ax == 1, y).otherwise(z) < 0, ax + 3).otherwise(ax),
+            lambda face: with_uv(p, face)))
+
+    def with_uv(p, face):
+        x, y, z = p["x"], p["y"], p["z"]
+        u = (F.when(face == 0, y / x).when(face == 1, -x / y).when(face == 2, -x / z)
+             .when(face == 3, z / x).when(face == 4, z / y).otherwise(-y / z))
+        v = (F.when(face == 0, z / x).when(face == 1, z / y).when(face == 2, -y / z)
+             .when(face == 3, y / x).when(face == 4, -x / y).otherwise(-x / z))
+        ij = F.struct(_let(u, lambda uu: _st_to_ij(_uv_to_st(uu))).alias("i"),
+                      _let(v, lambda vv: _st_to_ij(_uv_to_st(vv))).alias("j"))
+        return _let(ij, lambda q: hilbert(face, q["i"], q["j"]))
+
+    def hilbert(face, i, j):
+        # eight 4-bit (i, j) chunks through the lookup table built from the rule
+        init = F.struct(F.lit(0).cast("long").alias("p"), face.cast("long").bitwiseAND(F.lit(1)).alias("o"))
+
+        def step(acc, k):
+            idx = (_shl(_shr(i, k * 4).bitwiseAND(F.lit(15)), F.lit(6))
+                   .bitwiseOR(_shl(_shr(j, k * 4).bitwiseAND(F.lit(15)), F.lit(2)))
+                   .bitwiseOR(acc["o"]))
+            return _let(F.element_at(tbl, (idx + 1).cast("int")).cast("long"), lambda b: F.struct(
+                acc["p"].bitwiseOR(_shl(_shr(b, F.lit(2)), k * 8)).alias("p"), b.bitwiseAND(F.lit(3)).alias("o")))
+
+        pos = F.aggregate(F.sequence(F.lit(7), F.lit(0), F.lit(-1)), init, step)["p"]
+        return F.shiftleft(face.cast("long"), 61).bitwiseOR(F.shiftleft(pos, 1)).bitwiseOR(F.lit(1))
+
+    cid = _let(xyz, with_face)
     return F.when(_c(lat).isNotNull() & _c(lon).isNotNull(), cid)
 
 
@@ -339,13 +361,23 @@ def cell_ranges(cells: list[int]) -> list[tuple[int, int]]:
     return [(a, b) for a, b in merged]
 
 
-def in_ranges(cell, ranges: list[tuple[int, int]]) -> Column:
-    """Leaf id column inside any of the ranges (Parquet prunes on min/max)."""
-    c = _c(cell)
-    cond = F.lit(False)
-    for lo, hi in ranges:
-        cond = cond | c.between(F.lit(lo), F.lit(hi))
-    return cond
+def in_ranges(cell, ranges: list[tuple[int, int]], computed: bool = False) -> Column:
+    """Leaf id column inside any of the ranges.
+
+    On a stored ``cell`` column this is a plain OR of BETWEENs, which Parquet
+    uses to skip row groups by min / max.  For a cell computed in the same
+    plan (``computed=True``) the test is bound to one evaluation of the cell,
+    since pushing the filter below the projection would otherwise copy the
+    cell expression into every range term."""
+    def test(c):
+        cond = F.lit(False)
+        for lo, hi in ranges:
+            cond = cond | c.between(F.lit(lo), F.lit(hi))
+        return cond
+
+    if computed:
+        return _let(_c(cell), test)
+    return test(_c(cell))
 
 
 # --------------------------------------------------------------------------

@@ -168,7 +168,7 @@ def a18_features_per_block(spark, sf):
 def c06_box_query_by_cell_ranges(spark, sf):
     df = _poi(spark, sf).withColumn("cell", C.leaf_cell("lat", "lon"))
     cov = C.covering(BX, 10, min_level=6, max_cells=256)
-    df = df.where(C.in_ranges("cell", C.cell_ranges(cov)))
+    df = df.where(C.in_ranges("cell", C.cell_ranges(cov), computed=True))
     return df.where(P.bbox("geom", *BOX, point_layer=True)).dropDuplicates(["fid"]).select("fid", "name")
 
 
@@ -182,7 +182,7 @@ def c05_min_level_covering_keeps_all(spark, sf):
     t = track(spark, sf).withColumn("cell", C.leaf_cell("lat", "lon"))
     x1, y1, x2, y2 = 116.0, 39.0, 117.0, 40.0
     cov = C.covering(Geom.box(x1, y1, x2, y2), 12, min_level=8, max_cells=400)
-    kept = t.where(C.in_ranges("cell", C.cell_ranges(cov)))
+    kept = t.where(C.in_ranges("cell", C.cell_ranges(cov), computed=True))
     return kept.agg(F.count(F.lit(1)).alias("points"), F.count_distinct("id").alias("trips"))
 
 
