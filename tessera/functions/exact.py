@@ -240,9 +240,8 @@ def _interiors_meet(r) -> bool:
     c, sa, sb = r["cells"], r["sa"], r["sb"]
     if _has(c, "a", I, I) or _has(c, "b", I, I):
         return True
-    if sa.dim == 2 and _has(c, "a", B, I):
-        return True
-    if sb.dim == 2 and _has(c, "b", B, I):
+    # an area's boundary inside another area's interior: the interiors meet
+    if sa.dim == 2 and sb.dim == 2 and (_has(c, "a", B, I) or _has(c, "b", B, I)):
         return True
     return False
 

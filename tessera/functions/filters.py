@@ -17,8 +17,6 @@ from pyspark.sql import functions as F
 
 from .geometry import _c
 
-TRUE = F.lit(True)
-FALSE = F.lit(False)
 
 
 def _guard(cond: Column) -> Column:

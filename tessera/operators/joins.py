@@ -214,7 +214,44 @@ def _exact_pair(pred: str, L: Column, R: Column, lp: bool, rp: bool, distance) -
         return point_in_polygon_column(R["minx"], R["miny"], L, boundary=(pred == "intersects"))
     name = pred
     udf = pair_udf("dwithin", float(distance)) if pred == "dwithin" else pair_udf(name)
-    return F.coalesce(udf(L, R), F.lit(False))
+    exact = F.coalesce(udf(L, R), F.lit(False))
+    if pred == "intersects":
+        # native fast path: a two-point line against an axis-aligned rectangle
+        return (F.when(_is_segment(L) & _is_rectangle(R), _segment_hits_box(L, R))
+                .when(_is_segment(R) & _is_rectangle(L), _segment_hits_box(R, L))
+                .otherwise(exact))
+    return exact
+
+
+def _is_segment(g: Column) -> Column:
+    return F.coalesce((g["kind"] == "LineString") & (F.size(g["parts"]) == 1)
+                      & (F.size(g["parts"][0][0]) == 2), F.lit(False))
+
+
+def _is_rectangle(g: Column) -> Column:
+    ring = g["parts"][0][0]
+    corners = F.forall(ring, lambda p: ((p["x"] == g["minx"]) | (p["x"] == g["maxx"]))
+                       & ((p["y"] == g["miny"]) | (p["y"] == g["maxy"])))
+    return F.coalesce((g["kind"] == "Polygon") & (F.size(g["parts"]) == 1) & (F.size(g["parts"][0]) == 1)
+                      & (F.size(ring) == 5) & corners, F.lit(False))
+
+
+def _segment_hits_box(seg: Column, bx: Column) -> Column:
+    """Liang-Barsky clip of the segment by the closed box."""
+    a, b = seg["parts"][0][0][0], seg["parts"][0][0][1]
+    dx, dy = b["x"] - a["x"], b["y"] - a["y"]
+    inf = F.lit(float("inf"))
+
+    def slab(d, p, lo, hi):
+        enter = F.when(d > 0, (lo - p) / d).when(d < 0, (hi - p) / d) \
+            .otherwise(F.when((p >= lo) & (p <= hi), -inf).otherwise(inf))
+        leave = F.when(d > 0, (hi - p) / d).when(d < 0, (lo - p) / d) \
+            .otherwise(F.when((p >= lo) & (p <= hi), inf).otherwise(-inf))
+        return enter, leave
+
+    ex, lx = slab(dx, a["x"], bx["minx"], bx["maxx"])
+    ey, ly = slab(dy, a["y"], bx["miny"], bx["maxy"])
+    return F.greatest(ex, ey, F.lit(0.0)) <= F.least(lx, ly, F.lit(1.0))
 
 
 # J10 ---------------------------------------------------------------------------
