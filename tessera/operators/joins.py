@@ -153,6 +153,68 @@ def _cells(df: DataFrame, geom: str, size: float, pad: float, point_side: bool)
             .withColumn("__gy", F.explode(F.sequence(y1, y2))))
 
 
+def _cover_array(geom: str, size: float, pad: float) -> Column:
+    """Distinct grid cells (struct gx, gy) within ``pad`` of a geometry.
+    Lines are covered segment by segment (row by row of the grid, the
+    segment clipped to the padded row band), so a long diagonal road gets
+    the cells along it, not its whole envelope; other kinds use the padded
+    envelope (their interior counts)."""
+    from ..functions.predicates import _edges_of
+
+    g = F.col(geom)
+    eps = size * 1e-9
+    pd_ = pad + eps
+
+    def fl(v):
+        return F.floor(v / F.lit(size)).cast("long")
+
+    def seg_cells(e):
+        y_lo, y_hi = F.least(e["y1"], e["y2"]), F.greatest(e["y1"], e["y2"])
+        dy = e["y2"] - e["y1"]
+
+        def row(gy):
+            b_lo = gy.cast("double") * F.lit(size) - F.lit(pd_)
+            b_hi = (gy + 1).cast("double") * F.lit(size) + F.lit(pd_)
+            ta = F.least(F.greatest((b_lo - e["y1"]) / dy, F.lit(0.0)), F.lit(1.0))
+            tb = F.least(F.greatest((b_hi - e["y1"]) / dy, F.lit(0.0)), F.lit(1.0))
+            xa = e["x1"] + ta * (e["x2"] - e["x1"])
+            xb = e["x1"] + tb * (e["x2"] - e["x1"])
+            x_lo = F.when(dy == 0, F.least(e["x1"], e["x2"])).otherwise(F.least(xa, xb))
+            x_hi = F.when(dy == 0, F.greatest(e["x1"], e["x2"])).otherwise(F.greatest(xa, xb))
+            return F.transform(F.sequence(fl(x_lo - F.lit(pd_)), fl(x_hi + F.lit(pd_))),
+                               lambda gx: F.struct(gx.alias("gx"), gy.alias("gy")))
+
+        return F.flatten(F.transform(F.sequence(fl(y_lo - F.lit(pd_)), fl(y_hi + F.lit(pd_))), row))
+
+    line_cells = F.array_distinct(F.flatten(F.transform(_edges_of(g), seg_cells)))
+    env_cells = F.flatten(F.transform(
+        F.sequence(fl(g["miny"] - F.lit(pd_)), fl(g["maxy"] + F.lit(pd_))),
+        lambda gy: F.transform(F.sequence(fl(g["minx"] - F.lit(pd_)), fl(g["maxx"] + F.lit(pd_))),
+                               lambda gx: F.struct(gx.alias("gx"), gy.alias("gy")))))
+    return F.when(g["kind"].isin("LineString", "MultiLineString"), line_cells).otherwise(env_cells)
+
+
+def _points_join(left: DataFrame, right: DataFrame, predicate: str, left_geom: str, rg: str, distance,
+                 cell_size: float, broadcast_max_rows: int) -> DataFrame:
+    """Point side x any side: one cell per point, a padded cover per other
+    row; a pair meets in exactly one cell, so no dedupe is needed."""
+    pad = float(distance or 0.0) if predicate == "dwithin" else 0.0
+    g = F.col(left_geom)
+    lc = (left.withColumn("__gx", F.floor(g["minx"] / F.lit(cell_size)).cast("long"))
+          .withColumn("__gy", F.floor(g["miny"] / F.lit(cell_size)).cast("long")))
+    rc = (right.where(F.col(rg)["minx"].isNotNull())
+          .withColumn("__c", F.explode(_cover_array(rg, cell_size, pad)))
+          .withColumn("__rgx", F.col("__c.gx")).withColumn("__rgy", F.col("__c.gy")).drop("__c"))
+    if broadcast_max_rows and bounded_rows(rc, broadcast_max_rows):
+        rc = F.broadcast(rc)
+    L, R = F.col(left_geom), F.col(rg)
+    pairs = lc.join(rc, (F.col("__gx") == F.col("__rgx")) & (F.col("__gy") == F.col("__rgy")), "inner")
+    env = ((L["minx"] - F.lit(pad) <= R["maxx"]) & (L["minx"] + F.lit(pad) >= R["minx"])
+           & (L["miny"] - F.lit(pad) <= R["maxy"]) & (L["miny"] + F.lit(pad) >= R["miny"]))
+    pairs = pairs.where(env).where(_exact_pair(predicate, L, R, True, False, distance))
+    return pairs.drop("__gx", "__gy", "__rgx", "__rgy")
+
+
 def spatial_join(left: DataFrame, right: DataFrame, predicate: str = "intersects", *,
                  left_geom: str = "geom", right_geom: str = "geom", distance: float | None = None,
                  cell_size: float = 0.05, left_points: bool = False, right_points: bool = False,
@@ -168,6 +230,9 @@ def spatial_join(left: DataFrame, right: DataFrame, predicate: str = "intersects
     clash = set(left.columns) & set(r_cols)
     right_r = right.select(*[F.col(c).alias(c + suffix if c in clash else c) for c in r_cols])
     rg = right_geom + suffix if right_geom in clash else right_geom
+    if left_points and not right_points and predicate in ("intersects", "within", "dwithin"):
+        out = _points_join(left, right_r, predicate, left_geom, rg, distance, cell_size, broadcast_max_rows)
+        return _finish(left, out, how, left_key)
     lc = _cells(left, left_geom, cell_size, pad, left_points)
     rc = _cells(right_r, rg, cell_size, 0.0, right_points)
     rc = rc.withColumnRenamed("__gx", "__rgx").withColumnRenamed("__gy", "__rgy")
@@ -185,6 +250,10 @@ def spatial_join(left: DataFrame, right: DataFrame, predicate: str = "intersects
     pairs = pairs.where(env & ref)
     pairs = pairs.where(_exact_pair(predicate, L, R, left_points, right_points, distance))
     out = pairs.drop("__gx", "__gy", "__rgx", "__rgy")
+    return _finish(left, out, how, left_key)
+
+
+def _finish(left: DataFrame, out: DataFrame, how: str, left_key: str | None) -> DataFrame:
     if how == "inner":
         return out
     if how == "left":
