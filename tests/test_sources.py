@@ -53,3 +53,14 @@ def test_view_parameters(spark):
 
     with pytest.raises(ValueError):
         v.frame(spark, {"lo": "1 OR 1=1"})
+
+
+def test_station_maps_round_trip(spark):
+    from tessera.sources import stations as ST
+
+    df = spark.createDataFrame([("s1", 1, {"t": 1.5, "h": 0.3}), ("s1", 2, {"t": 1.7}), ("s2", 1, {"p": 9.0})],
+                               "station_id string, ts int, records map<string,double>")
+    long = ST.to_long(df)
+    assert long.count() == 4
+    back = {(r.station_id, r.ts): dict(r.records) for r in ST.to_observations(long).collect()}
+    assert back[("s1", 1)] == {"t": 1.5, "h": 0.3} and back[("s2", 1)] == {"p": 9.0}
