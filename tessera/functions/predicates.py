@@ -337,6 +337,30 @@ def _exact(g: Column, other: Geom, pred: str, arg: float | None = None) -> Colum
     return _false_if_null(literal_udf(pred, other, arg)(g))
 
 
+def clip_to_world(region: Geom) -> Geom | None:
+    """a geodetic query region clipped to the world box; None when the
+    clip is empty."""
+    x1, y1, x2, y2 = region.envelope()
+    cx1, cy1, cx2, cy2 = max(x1, -180.0), max(y1, -90.0), min(x2, 180.0), min(y2, 90.0)
+    if cx1 > cx2 or cy1 > cy2:
+        return None
+    if (cx1, cy1, cx2, cy2) == (x1, y1, x2, y2):
+        return region
+    return Geom.box(cx1, cy1, cx2, cy2) if region.is_rectangle() else region
+
+
+def geodetic_filter(name: str, geom, region: Geom, **kw) -> Column:
+    """whole world -> TRUE, empty -> FALSE (TRUE for disjoint), otherwise
+    the predicate on the clipped region (a literal, folded by Catalyst)."""
+    clipped = clip_to_world(region)
+    if clipped is None:
+        return F.lit(name.lower() == "disjoint")
+    if clipped.is_rectangle() and clipped.envelope() == (-180.0, -90.0, 180.0, 90.0) and \
+            name.lower() in ("bbox", "intersects"):
+        return _false_if_null(_c(geom)["kind"].isNotNull())
+    return spatial_predicate(name, geom, clipped, **kw)
+
+
 def spatial_predicate(name: str, geom, other: Geom, **kw) -> Column:
     """Dispatch by OGC name (used by query builders and F28 tests)."""
     table = {"bbox": lambda: bbox(geom, *other.envelope(), **kw), "intersects": lambda: intersects(geom, other, **kw),

@@ -64,3 +64,25 @@ def test_station_maps_round_trip(spark):
     assert long.count() == 4
     back = {(r.station_id, r.ts): dict(r.records) for r in ST.to_observations(long).collect()}
     assert back[("s1", 1)] == {"t": 1.5, "h": 0.3} and back[("s2", 1)] == {"p": 9.0}
+
+
+def test_export_names_kinds_and_world_clip(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from tessera.functions import predicates as P
+    from tessera.functions.geometry import Geom, line2, point
+    from tessera.sources.export import export, export_names
+
+    assert export_names(["a_very_long_name_1", "a_very_long_name_2", "geom"], "geom") == \
+        ["a_very_lon", "a_very_lo1", "the_geom"]
+    df = spark.createDataFrame([(1, 0.0, 0.0), (2, 1.0, 1.0)], "id int, x double, y double")
+    df = df.select("id", F.when(F.col("id") == 1, point("x", "y")).otherwise(line2("x", "y", F.lit(2.0), F.lit(3.0)))
+                   .alias("geom"))
+    out = str(tmp_path / "exp")
+    export(df, out, "geom", fmt="parquet", max_records=1)
+    back = spark.read.parquet(out)
+    assert sorted(r.kind for r in back.select("kind").collect()) == ["Line", "Point"]
+    pts = spark.createDataFrame([(1, 10.0, 10.0)], "id int, x double, y double").withColumn("geom", point("x", "y"))
+    assert pts.where(P.geodetic_filter("bbox", "geom", Geom.box(-200, -100, 200, 100))).count() == 1
+    assert pts.where(P.geodetic_filter("intersects", "geom", Geom.box(190, 0, 200, 5))).count() == 0
+    assert pts.where(P.geodetic_filter("disjoint", "geom", Geom.box(190, 0, 200, 5))).count() == 1
