@@ -276,7 +276,9 @@ def _exact_pair(pred: str, L: Column, R: Column, lp: bool, rp: bool, distance) -
             return (L["minx"] == R["minx"]) & (L["miny"] == R["miny"])
         return point_in_polygon_column(L["minx"], L["miny"], R, boundary=(pred == "intersects"))
     if lp and pred == "dwithin":
-        return point_distance_column(L["minx"], L["miny"], R) <= F.lit(float(distance))
+        d = F.lit(float(distance))
+        return F.when(_is_segment(R), _point_segment(L["minx"], L["miny"], R) <= d) \
+            .otherwise(point_distance_column(L["minx"], L["miny"], R) <= d)
     if rp and pred == "dwithin":
         return point_distance_column(R["minx"], R["miny"], L) <= F.lit(float(distance))
     if rp and pred in ("intersects", "contains"):
@@ -292,6 +294,17 @@ def _exact_pair(pred: str, L: Column, R: Column, lp: bool, rp: bool, distance) -
     return exact
 
 
+def _point_segment(x: Column, y: Column, seg: Column) -> Column:
+    """Planar point-to-segment distance for a two-point line, plain columns
+    (whole-stage codegen instead of a higher-order function)."""
+    a, b = seg["parts"][0][0][0], seg["parts"][0][0][1]
+    dx, dy = b["x"] - a["x"], b["y"] - a["y"]
+    ll = dx * dx + dy * dy
+    t = F.when(ll > 0, F.least(F.greatest(((x - a["x"]) * dx + (y - a["y"]) * dy) / ll, F.lit(0.0)), F.lit(1.0))) \
+        .otherwise(F.lit(0.0))
+    return F.sqrt((x - (a["x"] + t * dx)) ** 2 + (y - (a["y"] + t * dy)) ** 2)
+
+
 def _is_segment(g: Column) -> Column:
     return F.coalesce((g["kind"] == "LineString") & (F.size(g["parts"]) == 1)
                       & (F.size(g["parts"][0][0]) == 2), F.lit(False))
