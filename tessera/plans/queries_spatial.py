@@ -330,3 +330,14 @@ def p10_reproject_3857(spark, sf):
     df = PR.reproject(_poi(spark, sf), "geom", 4326, 3857)
     return df.select("fid", F.round(F.col("geom")["minx"], 3).alias("x"), F.round(F.col("geom")["miny"], 3).alias("y"))
 
+
+
+@register("w05_knn_join_road_starts", V.with_(V.POI, V.ROAD) + """
+SELECT road, fid_r, dist, CAST(rank AS INTEGER) AS rank FROM (
+  SELECT r.fid AS road, p.fid AS fid_r, sqrt(pow(r.x1 - p.lon, 2) + pow(r.y1 - p.lat, 2)) AS dist,
+         row_number() OVER (PARTITION BY r.fid ORDER BY sqrt(pow(r.x1 - p.lon, 2) + pow(r.y1 - p.lat, 2)), p.fid) AS rank
+  FROM road r JOIN poi p ON true) t WHERE rank <= 3""")
+def w05_knn_join_road_starts(spark, sf):
+    starts = road(spark, sf).select(F.col("fid").alias("road"), point("x1", "y1").alias("geom"))
+    pts = _poi(spark, sf).select(F.col("fid").alias("fid_r"), F.col("geom").alias("geom_r"))
+    return W.knn_join(starts, pts, 3, left_id="road", right_id="fid_r", cell_size=0.05)
