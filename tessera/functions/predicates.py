@@ -337,6 +337,30 @@ def _exact(g: Column, other: Geom, pred: str, arg: float | None = None) -> Colum
     return _false_if_null(literal_udf(pred, other, arg)(g))
 
 
+def relate_columns(name: str, a, b, a_points: bool = False, distance: float | None = None) -> Column:
+    """OGC predicate between two geometry columns of the same row.
+    Envelope test first (none for disjoint / beyond), native point-in-polygon
+    when ``a`` holds points, else the Arrow UDF on the surviving rows."""
+    from .exact import pair_udf
+
+    name = name.lower()
+    A, Bc = _c(a), _c(b)
+    if name in ("disjoint", "beyond"):
+        inner = relate_columns("intersects" if name == "disjoint" else "dwithin", a, b, a_points, distance)
+        return _false_if_null(A["kind"].isNotNull() & Bc["kind"].isNotNull()) & ~inner
+    if name == "dwithin":
+        d = F.lit(float(distance))
+        env = _false_if_null((A["minx"] - d <= Bc["maxx"]) & (A["maxx"] + d >= Bc["minx"])
+                             & (A["miny"] - d <= Bc["maxy"]) & (A["maxy"] + d >= Bc["miny"]))
+        if a_points:
+            return env & _false_if_null(point_distance_column(A["minx"], A["miny"], Bc) <= d)
+        return env & _false_if_null(pair_udf("dwithin", float(distance))(A, Bc))
+    env = envelopes_intersect(A, Bc)
+    if a_points and name in ("intersects", "within"):
+        return env & point_in_polygon_column(A["minx"], A["miny"], Bc, boundary=(name == "intersects"))
+    return env & _false_if_null(pair_udf(name)(A, Bc))
+
+
 def clip_to_world(region: Geom) -> Geom | None:
     """a geodetic query region clipped to the world box; None when the
     clip is empty."""

@@ -341,3 +341,13 @@ def w05_knn_join_road_starts(spark, sf):
     starts = road(spark, sf).select(F.col("fid").alias("road"), point("x1", "y1").alias("geom"))
     pts = _poi(spark, sf).select(F.col("fid").alias("fid_r"), F.col("geom").alias("geom_r"))
     return W.knn_join(starts, pts, 3, left_id="road", right_id="fid_r", cell_size=0.05)
+
+
+@register("f28_point_within_own_zone", _ZONE_POI + """
+SELECT p.fid, z.zone_id FROM poi p JOIN zone z ON p.nationkey = z.zone_id
+WHERE p.lon > z.minx AND p.lon < z.maxx AND p.lat > z.miny AND p.lat < z.maxy""")
+def f28_point_within_own_zone(spark, sf):
+    z = zone(spark, sf).select("zone_id", F.col("geom").alias("zgeom"))
+    p = _poi(spark, sf).select("fid", "nationkey", "geom")
+    j = p.join(z, p["nationkey"] == z["zone_id"])
+    return j.where(P.relate_columns("within", "geom", "zgeom", a_points=True)).select("fid", "zone_id")

@@ -103,3 +103,17 @@ def test_trajectory_hours_and_t01(spark):
     out = TR.vehicles_at(df, Geom.box(116.2, 39.3, 116.6, 39.7), "2024-01-01 10:45:00", window_seconds=3600)
     r = out.collect()
     assert len(r) == 1 and r[0].id == 1 and r[0].lon == 116.31
+
+
+def test_relate_columns_polygons_and_points(spark):
+    rows = [(1, 0.0, 0.0, 2.0, 2.0, 1.0, 1.0, 3.0, 3.0), (2, 0.0, 0.0, 1.0, 1.0, 2.0, 2.0, 3.0, 3.0),
+            (3, 0.0, 0.0, 4.0, 4.0, 1.0, 1.0, 2.0, 2.0)]
+    df = spark.createDataFrame(rows, "id int, a1 double, b1 double, a2 double, b2 double, "
+                                     "c1 double, d1 double, c2 double, d2 double")
+    df = df.withColumn("g1", box("a1", "b1", "a2", "b2")).withColumn("g2", box("c1", "d1", "c2", "d2"))
+    ids = lambda name: sorted(r.id for r in df.where(P.relate_columns(name, "g1", "g2")).collect())
+    assert ids("intersects") == [1, 3] and ids("disjoint") == [2]
+    assert ids("overlaps") == [1] and ids("contains") == [3]
+    pts = df.withColumn("p", point("c1", "d1"))
+    got = sorted(r.id for r in pts.where(P.relate_columns("within", "p", "g1", a_points=True)).collect())
+    assert got == [1, 3]
