@@ -58,7 +58,7 @@ def box(x: str, y: str, x1, y1, x2, y2) -> str:
 def s2_ctes(src: str, lat: str, lon: str, levels: tuple[int, ...]) -> str:
     """CTE chain computing S2 leaf ids (UBIGINT) and parent tokens per level
     for rows of ``src`` -- the same arithmetic as ``cells.leaf_cell``."""
-    from ..functions.cells import MAX_LEVEL, _lookup_pos, lsb_for_level
+    from ..functions.cells import _lookup_pos, lsb_for_level
 
     tbl = "[" + ", ".join(str(v) for v in _lookup_pos()) + "]"
     d2r = "0.017453292519943295"
@@ -97,5 +97,4 @@ def s2_ctes(src: str, lat: str, lon: str, levels: tuple[int, ...]) -> str:
         toks.append(f"rtrim(lower(lpad(hex((s2leaf & CAST({mask} AS UBIGINT)) | CAST({lsb} AS UBIGINT)), 16, '0')), "
                     f"'0') AS token{L}")
     ctes.append(f"s2 AS (SELECT *, {', '.join(toks)} FROM s2f)")
-    _ = MAX_LEVEL
     return ",\n".join(ctes)
