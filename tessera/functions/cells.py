@@ -403,3 +403,48 @@ def covering_udf(level: int, max_cells: int = 1000):
         return pd.Series(out, dtype=object)
 
     return _udf
+
+
+def with_leaf_cell(df, lat: str, lon: str, out: str = "cell"):
+    """C01 as a DataFrame step: the same arithmetic as ``leaf_cell``, but
+    every intermediate is a column of its own projection, so the whole chain
+    stays in whole-stage codegen (no higher-order function) and no
+    subexpression is copied.  Bit-identical to ``leaf_cell``.  Use it where
+    the cell is written, grouped or joined; to filter on a cell computed in the
+    same plan use ``leaf_cell`` with ``in_ranges(..., computed=True)``, since
+    a pushed-down filter would re-inline these projections."""
+    t = "__s2_"
+    la, lo = F.radians(F.col(lat).cast("double")), F.radians(F.col(lon).cast("double"))
+    df = df.withColumn(t + "x", F.cos(la) * F.cos(lo)).withColumn(t + "y", F.cos(la) * F.sin(lo)) \
+           .withColumn(t + "z", F.sin(la))
+    x, y, z = F.col(t + "x"), F.col(t + "y"), F.col(t + "z")
+    axis = F.when(F.abs(x) > F.abs(y), F.when(F.abs(x) > F.abs(z), 0).otherwise(2)) \
+        .otherwise(F.when(F.abs(y) > F.abs(z), 1).otherwise(2))
+    df = df.withColumn(t + "a", axis)
+    ax = F.col(t + "a")
+    df = df.withColumn(t + "f", F.when(F.when(ax == 0, x).when(ax == 1, y).otherwise(z) < 0, ax + 3).otherwise(ax))
+    face = F.col(t + "f")
+    u = (F.when(face == 0, y / x).when(face == 1, -x / y).when(face == 2, -x / z)
+         .when(face == 3, z / x).when(face == 4, z / y).otherwise(-y / z))
+    v = (F.when(face == 0, z / x).when(face == 1, z / y).when(face == 2, -y / z)
+         .when(face == 3, y / x).when(face == 4, -x / y).otherwise(-x / z))
+    df = df.withColumn(t + "u", u).withColumn(t + "v", v)
+    df = df.withColumn(t + "i", _st_to_ij(_uv_to_st(F.col(t + "u")))) \
+           .withColumn(t + "j", _st_to_ij(_uv_to_st(F.col(t + "v"))))
+    tbl = F.array(*[F.lit(int(v_)) for v_ in _lookup_pos()])
+    i, j = F.col(t + "i"), F.col(t + "j")
+    ori = face.cast("long").bitwiseAND(F.lit(1))
+    names = []
+    for k in range(7, -1, -1):
+        idx = (F.shiftleft(F.shiftright(i, 4 * k).bitwiseAND(F.lit(15)), 6)
+               .bitwiseOR(F.shiftleft(F.shiftright(j, 4 * k).bitwiseAND(F.lit(15)), 2)).bitwiseOR(ori))
+        name = f"{t}b{k}"
+        df = df.withColumn(name, F.element_at(tbl, (idx + 1).cast("int")).cast("long"))
+        names.append((k, name))
+        ori = F.col(name).bitwiseAND(F.lit(3))
+    pos = F.lit(0).cast("long")
+    for k, name in names:
+        pos = pos.bitwiseOR(F.shiftleft(F.shiftright(F.col(name), 2), 8 * k))
+    cid = F.shiftleft(face.cast("long"), 61).bitwiseOR(F.shiftleft(pos, 1)).bitwiseOR(F.lit(1))
+    df = df.withColumn(out, F.when(F.col(lat).isNotNull() & F.col(lon).isNotNull(), cid))
+    return df.drop(*[c for c in df.columns if c.startswith(t)])

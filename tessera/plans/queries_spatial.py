@@ -151,7 +151,7 @@ _S2_POI = POI + ",\n" + G.s2_ctes("poi", "lat", "lon", (10, 12)) + "\n"
 
 @register("c01_c02_cell_tokens", _S2_POI + "SELECT fid, token10, token12 FROM s2")
 def c01_c02_cell_tokens(spark, sf):
-    df = _poi(spark, sf).withColumn("leaf", C.leaf_cell("lat", "lon"))
+    df = C.with_leaf_cell(_poi(spark, sf), "lat", "lon", "leaf")
     return df.select("fid", C.token(C.parent("leaf", 10)).alias("token10"),
                      C.token(C.parent("leaf", 12)).alias("token12"))
 
