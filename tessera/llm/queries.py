@@ -8,8 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import odd_minhash as OM
+from . import shard_mix as SM
+from . import toxicity_ssk as TX
+from . import trie_bpe as TB
+from . import url_logit as UL
 from .common import table
 
+#: Where the public vocabulary files are (a parameter; never copied into the repository).
+BPE_VOCABULARY = "/opt/tokenizers/byte_bpe_50k.json"
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -28,3 +35,36 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of documents: 4-word shingles, similarity 0.8."""
     out = OM.near_duplicates(table(spark, sf_dir, "documents"), width=4, percent=80)
     return out.withColumnRenamed("id", "doc_id").select("doc_id", "n_shingles", "component_id", "kept")
+
+
+@register("op6_trie_bpe")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every whole text encoded and decoded."""
+    return TB.encode(table(spark, sf_dir, "documents"), BPE_VOCABULARY)
+
+
+@register("op7_subsequence_svm")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every whole text, learned from the rows that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    model = TX.train(docs, table(spark, sf_dir, "labels").where(~TX.held_out()))
+    return TX.score(docs, model).select("doc_id", TX.held_out().alias("held_out"), "score",
+                                        (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+@register("op4_stratified_interleave")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents into shards 0 to 7 that each match the mixture of sources."""
+    return SM.interleave(table(spark, sf_dir, "documents"), shards=8)
+
+
+#: The rules of the contract: verdict, host, path prefix.
+URL_RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
+             ("allow", "com", "/fr/"), ("block", "com", "/de/")]
+
+
+@register("op10_url_logit")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A verdict for every page's url: the longest rule's, else the model's."""
+    return UL.judge(table(spark, sf_dir, "pages"), URL_RULES, UL.train(spark)).withColumn(
+        "block_probability", F.round("block_probability", 6))
