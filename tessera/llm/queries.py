@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from . import odd_minhash as OM
 from . import shard_mix as SM
+from . import suffix_dedup as SD
 from . import toxicity_ssk as TX
 from . import trie_bpe as TB
 from . import url_logit as UL
@@ -68,3 +69,9 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A verdict for every page's url: the longest rule's, else the model's."""
     return UL.judge(table(spark, sf_dir, "pages"), URL_RULES, UL.train(spark)).withColumn(
         "block_probability", F.round("block_probability", 6))
+
+
+@register("op1_suffix_merge")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of documents that repeat a 50-byte string of a document with a smaller id."""
+    return SD.remove_repeats(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
