@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from . import odd_minhash as OM
 from . import shard_mix as SM
+from . import simhash_decontam as SH
 from . import suffix_dedup as SD
 from . import toxicity_ssk as TX
 from . import trie_bpe as TB
@@ -75,3 +76,9 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes of documents that repeat a 50-byte string of a document with a smaller id."""
     return SD.remove_repeats(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
+@register("op9_simhash_windows")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents and the benchmark items they hold."""
+    return SH.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
