@@ -8,6 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import odd_minhash as OM
+from . import quality_rules as QR
+from . import quote_links as QL
+from . import secret_forest as SF
 from . import shard_mix as SM
 from . import simhash_decontam as SH
 from . import suffix_dedup as SD
@@ -82,3 +85,26 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents and the benchmark items they hold."""
     return SH.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@register("op2_risk_controlled_rules")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality counts and verdicts of every whole text."""
+    return QR.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@register("op3_quote_linking")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All messages in reply order, without quotations (as a checksum and a length)."""
+    out = QL.link(table(spark, sf_dir, "conversations"))
+    own = F.coalesce("own_text", F.lit(""))
+    return out.withColumn("own_sha256", F.sha2(own, 256)).withColumn("own_chars", F.length(own).cast("long")).drop("own_text")
+
+
+@register("op5_forest_secrets")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Candidates and secrets of every whole text."""
+    trees = SF.train(SF.labelled_findings(spark))
+    out = SF.scan(table(spark, sf_dir, "documents"), trees)
+    return out.withColumn("masked_sha256", F.sha2(F.coalesce("masked_text", F.lit("")), 256)).withColumn(
+        "secrets", F.array_join("secrets", ",")).drop("masked_text")
