@@ -24,8 +24,9 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import only
+from .common import fresh, only
 
 #: Bounds of the training sample: labelled documents a class, units a kind.
 MAX_DOCS, MAX_UNITS = 4000, 3000
@@ -193,6 +194,8 @@ def fit_units(bad: list[tuple[str, int]], clean: list[tuple[str, int]], marks: l
     """A machine from bad and clean units with document counts, and landmarks."""
     if not bad or not marks:
         return {"marks": np.zeros((1, 3), np.uint32), "own": np.ones(1, np.float32), "weights": np.zeros(1, np.float32), "bias": np.float32(-1)}
+    # a bad unit counts again with a mark or a doubled character inserted
+    bad = bad + [(w[:len(w) // 2] + x + w[len(w) // 2:], c) for w, c in bad for x in ("-", w[len(w) // 2])]
     words = [w for w, _ in bad + clean]
     y = np.repeat([1.0, -1.0], [len(bad), len(clean)])
     n = np.log1p(np.array([c for _, c in bad + clean], np.float64))
@@ -345,24 +348,41 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
     shape = "y int, " + ", ".join(f"x{j} double" for j in range(TOP))
     sample = rows.withColumn("y", F.col("y").cast("int")).mapInArrow(tops, shape).collect()  # 2 * MAX_DOCS rows at most, but for repeated ids
-    data = np.array(sorted(map(tuple, sample)), np.float64)
+    data = np.array(sorted(map(tuple, sample)), np.float64).reshape(-1, TOP + 1)
     model["platt"] = _platt(data[:, 1:], data[:, 0]) if len(set(data[:, 0])) == 2 else np.array([0.0] * TOP + [-3.0])
     return model
 
 
+def _probability(texts: list[str | None], model: dict) -> np.ndarray:
+    x = _tops(texts, model)
+    return 1 / (1 + np.exp(-np.clip(x @ model["platt"][:-1] + model["platt"][-1], -30, 30)))
+
+
 def score(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, score) of every row; a null, empty or unit-less text gets the score of no evidence."""
     kind = dict(docs.dtypes)[id_col]
 
     def run(batches):
         for batch in batches:
-            x = _tops(batch.column("text").to_pylist(), model)
-            p = 1 / (1 + np.exp(-np.clip(x @ model["platt"][:-1] + model["platt"][-1], -30, 30)))
+            p = _probability(batch.column("text").to_pylist(), model)
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(p, pa.float64())], names=["id", "score"])
 
     return only(docs, id_col, text_col).toDF("id", "text").mapInArrow(run, f"id {kind}, score double").withColumnRenamed("id", id_col)
 
 
+def keep_clean(docs: DataFrame, model: dict, threshold: float, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that score below ``threshold``, all columns kept."""
+    flag = fresh(docs, "__score")
+    schema = T.StructType([*docs.schema.fields, T.StructField(flag, T.DoubleType())])
+
+    def run(batches):
+        for batch in batches:
+            p = _probability(batch.column(text_col).to_pylist(), model)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(p, pa.float64())], names=[*batch.schema.names, flag])
+
+    return docs.mapInArrow(run, schema).where(F.col(flag) < threshold).drop(flag)
+
+
 def held_out(id_col: str = "doc_id"):
     """True for rows whose crc32 of the id's text is 1 modulo 3 (null ids: false)."""
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % 3 == 1, F.lit(False))
