@@ -1,9 +1,10 @@
 """Attribute and temporal filters as Spark columns.
 
-Each leaf is wrapped in ``coalesce(cond, false)``: a comparison on a null
-value is false, and ``~leaf`` is true for it (the reference's null guard keeps
-two-valued logic leaf by leaf, so NOT works as a user expects).  Compose with
-``&``, ``|``, ``~`` or the n-ary ``all_of`` / ``any_of``.
+Each leaf is ``cond AND operand IS NOT NULL``: false (never null) on a null
+value, and ``~leaf`` is true for it, so two-valued logic holds leaf by leaf and
+NOT works as a user expects.  Both conjuncts are plain source filters, so a leaf
+reaches the Parquet or JDBC scan.  Compose with ``&``, ``|``, ``~`` or the n-ary
+``all_of`` / ``any_of``.
 """
 
 from __future__ import annotations
@@ -19,8 +20,8 @@ from .geometry import _c
 
 
 
-def _guard(cond: Column) -> Column:
-    return F.coalesce(cond, F.lit(False))
+def _guard(cond: Column, *operands: Column) -> Column:
+    return reduce(lambda a, b: a & b.isNotNull(), operands, cond)
 
 
 def _v(x) -> Column:
@@ -58,13 +59,26 @@ def not_(cond: Column) -> Column:
 
 
 # F04-F06 -------------------------------------------------------------------
+_OPS = {"=": lambda a, b: a == b, "!=": lambda a, b: a != b, "<": lambda a, b: a < b, "<=": lambda a, b: a <= b,
+        ">": lambda a, b: a > b, ">=": lambda a, b: a >= b}
+
+
 def _cmp(op: str, a, b, match_case: bool = True) -> Column:
+    text = b if isinstance(b, str) else None
     a, b = (_c(a) if isinstance(a, str) else _v(a)), _v(b)
+    plain = _OPS[op](a, b)
     if not match_case and op in ("=", "!="):
-        a, b = F.lower(a.cast("string")), F.lower(b.cast("string"))
-    fn = {"=": lambda: a == b, "!=": lambda: a != b, "<": lambda: a < b, "<=": lambda: a <= b,
-          ">": lambda: a > b, ">=": lambda: a >= b}[op]
-    return _guard(fn())
+        # case folds only where a side is text; typeof() is a constant to the optimizer
+        is_text = F.lit(True) if text is not None else (F.typeof(a) == "string") | (F.typeof(b) == "string")
+        plain = F.when(is_text, _OPS[op](F.lower(a.cast("string")), F.lower(b.cast("string")))).otherwise(plain)
+    if text is not None:
+        # a text literal against a number column: as a number, or unequal to all numbers
+        try:
+            number = _OPS[op](a.try_cast("double"), F.lit(float(text)))
+        except ValueError:
+            number = F.lit(op == "!=")
+        plain = F.when(F.typeof(a).rlike("^(tinyint|smallint|int|bigint|float|double|decimal)"), number).otherwise(plain)
+    return _guard(plain, a, b)
 
 
 def eq(a, b, match_case: bool = True) -> Column:
@@ -93,7 +107,12 @@ def ge(a, b) -> Column:
 
 # F07 ----------------------------------------------------------------------
 def between(a, lo, hi) -> Column:
-    return _guard(_c(a).between(_v(lo), _v(hi)))
+    return _between(a, lo, hi)
+
+
+def _between(a, lo, hi) -> Column:
+    a, lo, hi = _c(a), _v(lo), _v(hi)
+    return _guard(a.between(lo, hi), a, lo, hi)
 
 
 # F08 ----------------------------------------------------------------------
@@ -131,9 +150,7 @@ def like(a, pattern: str, wild: str = "*", single: str = ".", escape: str = "!",
         col = F.date_format(col, "yyyy-MM-dd HH:mm:ss")
         if not sql.endswith("%"):
             sql += "%"
-    if match_case:
-        return _guard(col.like(sql))
-    return _guard(col.ilike(sql))
+    return _guard(col.like(sql) if match_case else col.ilike(sql), col)
 
 
 # F09 ----------------------------------------------------------------------
@@ -168,7 +185,28 @@ def id_filter(pk: str, fids: Iterable[Any], type_name: str | None = None, pk_typ
             continue
     if not vals:
         return F.lit(False)
-    return _guard(_c(pk).isin(vals))
+    return _guard(_c(pk).isin(vals), _c(pk))
+
+
+def composite_id_filter(pks: Sequence[str], fids: Iterable[str], type_name: str | None = None,
+                        pk_types: Sequence[str] | None = None) -> Column:
+    """F10 for a composite key: fids ``<type>.<k1>.<k2>...``; ids with another
+    number of parts or an undecodable part are dropped first."""
+    pk_types = pk_types or ["string"] * len(pks)
+    alts = []
+    for f in fids:
+        s = str(f)
+        if type_name and s.startswith(type_name + "."):
+            s = s[len(type_name) + 1:]
+        parts = s.split(".")
+        if len(parts) != len(pks):
+            continue
+        try:
+            vals = [int(p) if t in ("long", "int", "bigint") else p for p, t in zip(parts, pk_types)]
+        except ValueError:
+            continue
+        alts.append(all_of(*[_guard(_c(k) == F.lit(v), _c(k)) for k, v in zip(pks, vals)]))
+    return any_of(*alts)
 
 
 def id_semi_join(df: DataFrame, pk: str, ids: DataFrame, id_col: str = "fid", type_name: str | None = None,
@@ -206,62 +244,70 @@ def _is_period(v) -> bool:
 def after(a, t) -> Column:
     """After an instant; with a period, after its end (both ends satisfied)."""
     if _is_period(t):
-        return _guard(_c(a) > _v(t[1]))
-    return _guard(_c(a) > _v(t))
+        return gt(a, t[1])
+    return gt(a, t)
 
 
 def before(a, t) -> Column:
     if _is_period(t):
-        return _guard(_c(a) < _v(t[0]))
-    return _guard(_c(a) < _v(t))
+        return lt(a, t[0])
+    return lt(a, t)
+
+
+def swapped(name: str, t, a) -> Column:
+    """A temporal filter whose literal stands first (``t AFTER a``): the mirrored operator on the
+    column; a symmetric one stays itself."""
+    table = {"after": before, "before": after, "during": tcontains, "tcontains": during, "tequals": tequals,
+             "begins": begun_by, "begunby": begins, "ends": ended_by, "endedby": ends}
+    return table[name.lower()](a, t)
 
 
 def begins(a, period) -> Column:
     _need_period(period, "Begins")
-    return _guard(_c(a) == _v(period[0]))
+    return _cmp("=", a, period[0])
 
 
 def ends(a, period) -> Column:
     _need_period(period, "Ends")
-    return _guard(_c(a) == _v(period[1]))
+    return _cmp("=", a, period[1])
 
 
 def begun_by(a, period) -> Column:
     _need_period(period, "BegunBy")
-    return _guard(_c(a) == _v(period[0]))
+    return _cmp("=", a, period[0])
 
 
 def ended_by(a, period) -> Column:
     _need_period(period, "EndedBy")
-    return _guard(_c(a) == _v(period[1]))
+    return _cmp("=", a, period[1])
 
 
 def during(a, period) -> Column:
     _need_period(period, "During")
-    return _guard(_c(a).between(_v(period[0]), _v(period[1])))
+    return _between(a, period[0], period[1])
 
 
 def tcontains(a, period) -> Column:
     _need_period(period, "TContains")
-    return _guard(_c(a).between(_v(period[0]), _v(period[1])))
+    return _between(a, period[0], period[1])
 
 
 def tequals(a, t) -> Column:
     if _is_period(t):
         raise ValueError("TEquals takes an instant, not a period")
-    return _guard(_c(a) == _v(t))
+    return _cmp("=", a, t)
 
 
 def t_after_col(a: str, b: str) -> Column:
-    return _guard(F.col(a) > F.col(b))
+    return _cmp(">", F.col(a), F.col(b))
 
 
 def t_before_col(a: str, b: str) -> Column:
-    return _guard(F.col(a) < F.col(b))
+    return _cmp("<", F.col(a), F.col(b))
 
 
 def t_equals_col(a: str, b: str) -> Column:
-    return _guard(F.col(a) == F.col(b))
+    return _cmp("=", F.col(a), F.col(b))
 
 
 def _need_period(v, name):

@@ -1,11 +1,11 @@
 """Spatial predicates as Spark columns.
 
-Every predicate is a boolean ``Column`` that is never null (two-valued logic,
-as the reference's null guard gives), so ``~pred`` behaves.
+Every predicate is a boolean ``Column`` that is never null (two-valued logic),
+so ``~pred`` behaves.
 
 Plan shape: each predicate is ``envelope test AND exact test``.  The envelope
-test reads only ``geom.minx/miny/maxx/maxy`` (Parquet pushes it down and skips
-row groups).  The exact test is native column math where the shape allows it
+test reads only ``geom.minx/miny/maxx/maxy``; its null guard is IS NOT NULL, so
+Parquet gets all of it as pushed filters and skips row groups.  The exact test is native column math where the shape allows it
 (points against boxes, literal polygons and literal lines; points against a
 polygon column via higher-order functions) and an Arrow UDF over the rows that
 survived the envelope test otherwise.
@@ -25,8 +25,8 @@ from .geometry import Geom, _c
 # distances (mean Earth radius, metres).
 UNIT_TO_METRES = {
     "m": 1.0, "metre": 1.0, "meter": 1.0, "metres": 1.0, "meters": 1.0,
-    "km": 1000.0, "kilometers": 1000.0, "kilometres": 1000.0,
-    "mm": 0.001, "millimeters": 0.001,
+    "km": 1000.0, "kilometer": 1000.0, "kilometers": 1000.0, "kilometre": 1000.0, "kilometres": 1000.0,
+    "mm": 0.001, "millimeter": 0.001, "millimeters": 0.001,
     "mi": 1609.344, "miles": 1609.344,
     "nm": 1852.0, "NM": 1852.0, "nautical miles": 1852.0,
     "ft": 0.3048, "feet": 0.3048,
@@ -49,6 +49,15 @@ def _false_if_null(c: Column) -> Column:
     return F.coalesce(c, F.lit(False))
 
 
+def _known(cond: Column, *operands: Column) -> Column:
+    """False where an operand is null, in a form that sources accept as a filter."""
+    return reduce(lambda a, b: a & b.isNotNull(), operands, cond)
+
+
+def _bounds(g: Column) -> list[Column]:
+    return [g["minx"], g["miny"], g["maxx"], g["maxy"]]
+
+
 # --------------------------------------------------------------------------
 # envelope tests
 # --------------------------------------------------------------------------
@@ -57,8 +66,8 @@ def envelope_intersects(geom, x1: float, y1: float, x2: float, y2: float) -> Col
     g = _c(geom)
     x1, x2 = min(x1, x2), max(x1, x2)
     y1, y2 = min(y1, y2), max(y1, y2)
-    return _false_if_null((g["minx"] <= F.lit(x2)) & (g["maxx"] >= F.lit(x1))
-                          & (g["miny"] <= F.lit(y2)) & (g["maxy"] >= F.lit(y1)))
+    return _known((g["minx"] <= F.lit(x2)) & (g["maxx"] >= F.lit(x1))
+                  & (g["miny"] <= F.lit(y2)) & (g["maxy"] >= F.lit(y1)), *_bounds(g))
 
 
 def envelopes_intersect(a, b) -> Column:
@@ -135,11 +144,12 @@ def haversine(lon1, lat1, lon2, lat2) -> Column:
 # --------------------------------------------------------------------------
 def _edges_of(geom) -> Column:
     g = _c(geom)
+    # a ring of n vertices has n - 1 edges; a point has none
     return F.flatten(F.flatten(F.transform(g["parts"], lambda part: F.transform(
-        part, lambda ring: F.transform(F.sequence(F.lit(0), F.size(ring) - 2),
-                                       lambda i: F.struct(ring[i]["x"].alias("x1"), ring[i]["y"].alias("y1"),
-                                                          ring[i + 1]["x"].alias("x2"),
-                                                          ring[i + 1]["y"].alias("y2")))))))
+        part, lambda ring: F.transform(F.slice(ring, 1, F.greatest(F.size(ring) - 1, F.lit(0))),
+                                       lambda p, i: F.struct(p["x"].alias("x1"), p["y"].alias("y1"),
+                                                             F.get(ring, i + 1)["x"].alias("x2"),
+                                                             F.get(ring, i + 1)["y"].alias("y2")))))))
 
 
 def point_in_polygon_column(x, y, poly, boundary: bool = True) -> Column:
@@ -148,13 +158,34 @@ def point_in_polygon_column(x, y, poly, boundary: bool = True) -> Column:
     edges = _edges_of(poly)
     inside = F.aggregate(edges, F.lit(False), lambda acc, e: acc != (
         ((e["y1"] > y) != (e["y2"] > y)) & (x < (e["x2"] - e["x1"]) * (y - e["y1"]) / (e["y2"] - e["y1"]) + e["x1"])))
-    on_edge = F.exists(edges, lambda e: (((e["x2"] - e["x1"]) * (y - e["y1"]) - (e["y2"] - e["y1"]) * (x - e["x1"])) == 0)
-                       & x.between(F.least(e["x1"], e["x2"]), F.greatest(e["x1"], e["x2"]))
-                       & y.between(F.least(e["y1"], e["y2"]), F.greatest(e["y1"], e["y2"])))
+    on_edge = _on_edges(x, y, edges)
     res = (inside | on_edge) if boundary else (inside & ~on_edge)
     return _false_if_null(res)
 
 
+def _on_edges(x: Column, y: Column, edges: Column) -> Column:
+    return F.exists(edges, lambda e: (((e["x2"] - e["x1"]) * (y - e["y1"]) - (e["y2"] - e["y1"]) * (x - e["x1"])) == 0)
+                    & x.between(F.least(e["x1"], e["x2"]), F.greatest(e["x1"], e["x2"]))
+                    & y.between(F.least(e["y1"], e["y2"]), F.greatest(e["y1"], e["y2"])))
+
+
+def point_in_geometry_column(x, y, geom, pred: str) -> Column:
+    """Point columns that intersect / lie within a geometry column of any kind:
+    ray casting for areas, on-segment for lines (``within`` leaves out the ends of
+    open lines), equality for points."""
+    x, y = _c(x), _c(y)
+    g = _c(geom)
+    on_line = _on_edges(x, y, _edges_of(g))
+    if pred == "within":
+        last = lambda ring: F.element_at(ring, -1)
+        at_end = F.exists(g["parts"], lambda part: F.exists(part, lambda r: ((F.get(r, 0)["x"] != last(r)["x"]) | (F.get(r, 0)["y"] != last(r)["y"]))
+                          & (((F.get(r, 0)["x"] == x) & (F.get(r, 0)["y"] == y)) | ((last(r)["x"] == x) & (last(r)["y"] == y)))))
+        on_line = on_line & ~at_end
+    at_vertex = F.exists(F.flatten(F.flatten(g["parts"])), lambda p: (p["x"] == x) & (p["y"] == y))
+    return _false_if_null(F.when(g["kind"].isin("Polygon", "MultiPolygon"), point_in_polygon_column(x, y, g, boundary=(pred == "intersects")))
+                          .when(g["kind"].isin("LineString", "MultiLineString"), on_line).otherwise(at_vertex))
+
+
 def point_distance_column(x, y, geom) -> Column:
     """Planar distance from point columns to a geometry column (min over its
     segments; points: to its vertices; 0 inside polygons), native HOFs."""
@@ -212,7 +243,7 @@ def contains(geom, other: Geom, point_layer: bool = False) -> Column:
     """the row geometry contains the literal."""
     g = _c(geom)
     x1, y1, x2, y2 = other.envelope()
-    env = _false_if_null((g["minx"] <= x1) & (g["miny"] <= y1) & (g["maxx"] >= x2) & (g["maxy"] >= y2))
+    env = _known((g["minx"] <= x1) & (g["miny"] <= y1) & (g["maxx"] >= x2) & (g["maxy"] >= y2), *_bounds(g))
     if point_layer:
         # a point contains only an equal point
         if other.kind == "Point":
@@ -225,7 +256,7 @@ def within(geom, other: Geom, point_layer: bool = False) -> Column:
     """the row geometry is within the literal (boundary excluded for points)."""
     g = _c(geom)
     x1, y1, x2, y2 = other.envelope()
-    env = _false_if_null((g["minx"] >= x1) & (g["miny"] >= y1) & (g["maxx"] <= x2) & (g["maxy"] <= y2))
+    env = _known((g["minx"] >= x1) & (g["miny"] >= y1) & (g["maxx"] <= x2) & (g["maxy"] <= y2), *_bounds(g))
     if point_layer:
         return env & _point_vs_literal(g["minx"], g["miny"], other, "within")
     return env & _exact(g, other, "within")
@@ -235,7 +266,7 @@ def equals(geom, other: Geom, point_layer: bool = False) -> Column:
     """topological equality."""
     g = _c(geom)
     x1, y1, x2, y2 = other.envelope()
-    env = _false_if_null((g["minx"] == x1) & (g["miny"] == y1) & (g["maxx"] == x2) & (g["maxy"] == y2))
+    env = _known((g["minx"] == x1) & (g["miny"] == y1) & (g["maxx"] == x2) & (g["maxy"] == y2), *_bounds(g))
     if point_layer:
         return env if other.kind == "Point" else F.lit(False)
     return env & _exact(g, other, "equals")
@@ -266,10 +297,16 @@ def dwithin(geom, other: Geom, distance: float, unit: str | None = None, geodeti
         metres = to_metres(distance, unit)
         _, gy1, _, gy2 = other.envelope()
         dlat = metres / METRES_PER_DEGREE * 1.001
-        lat_max = min(89.999, max(abs(gy1), abs(gy2)) + dlat)
-        dlon = dlat / math.cos(math.radians(lat_max))
+        lat_max = max(abs(gy1), abs(gy2)) + dlat
+        # a window that holds a pole spans all longitudes
+        dlon = dlat / math.cos(math.radians(lat_max)) if lat_max < 89.9 else 360.0
         x1, y1, x2, y2 = other.envelope()
         env = envelope_intersects(g, x1 - dlon, y1 - dlat, x2 + dlon, y2 + dlat)
+        # the window goes on across the antimeridian
+        if x1 - dlon < -180.0:
+            env = env | envelope_intersects(g, x1 - dlon + 360.0, y1 - dlat, x2 + dlon + 360.0, y2 + dlat)
+        if x2 + dlon > 180.0:
+            env = env | envelope_intersects(g, x1 - dlon - 360.0, y1 - dlat, x2 + dlon - 360.0, y2 + dlat)
         if point_layer and other.kind == "Point":
             px, py = other.parts[0][0][0]
             return env & _false_if_null(haversine(g["minx"], g["miny"], px, py) <= F.lit(metres))
@@ -357,7 +394,7 @@ def relate_columns(name: str, a, b, a_points: bool = False, distance: float | No
         return env & _false_if_null(pair_udf("dwithin", float(distance))(A, Bc))
     env = envelopes_intersect(A, Bc)
     if a_points and name in ("intersects", "within"):
-        return env & point_in_polygon_column(A["minx"], A["miny"], Bc, boundary=(name == "intersects"))
+        return env & point_in_geometry_column(A["minx"], A["miny"], Bc, name)
     return env & _false_if_null(pair_udf(name)(A, Bc))
 
 
@@ -391,5 +428,6 @@ def spatial_predicate(name: str, geom, other: Geom, **kw) -> Column:
              "disjoint": lambda: disjoint(geom, other, **kw), "contains": lambda: contains(geom, other, **kw),
              "within": lambda: within(geom, other, **kw), "equals": lambda: equals(geom, other, **kw),
              "crosses": lambda: crosses(geom, other), "overlaps": lambda: overlaps(geom, other),
-             "touches": lambda: touches(geom, other, **kw)}
+             "touches": lambda: touches(geom, other, **kw), "dwithin": lambda: dwithin(geom, other, **kw),
+             "beyond": lambda: beyond(geom, other, **kw)}
     return table[name.lower()]()

@@ -123,6 +123,6 @@ FUNCTIONS = {
     "strConcat": str_concat, "strEndsWith": str_ends_with, "strStartsWith": str_starts_with,
     "strEqualsIgnoreCase": str_equals_ignore_case, "strIndexOf": str_index_of, "strLength": str_length,
     "strToLowerCase": str_to_lower, "strToUpperCase": str_to_upper, "strReplace": str_replace,
-    "strSubstring": str_substring, "strSubstringStart": str_substring_start, "strTrim": str_trim,
+    "strSubstring": str_substring, "strSubstringStart": str_substring_start, "strTrim": str_trim, "strTrim2": str_trim,
     "abs": abs_, "abs_2": abs_, "abs_3": abs_, "abs_4": abs_, "ceil": ceil_, "floor": floor_,
 }
