@@ -24,7 +24,7 @@ from typing import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.predicates import point_distance_column, point_in_polygon_column
+from ..functions.predicates import point_distance_column, point_in_geometry_column
 
 
 # --------------------------------------------------------------------------
@@ -35,12 +35,6 @@ def bounded_rows(df: DataFrame, max_rows: int) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
-def maybe_broadcast(df: DataFrame, max_rows: int = 200_000) -> DataFrame:
-    """Broadcast hint only behind a checked bound; otherwise leave the choice
-    to Spark (AQE still converts to broadcast at runtime when it is small)."""
-    return F.broadcast(df) if bounded_rows(df, max_rows) else df
-
-
 # --------------------------------------------------------------------------
 # Attribute joins of layers
 # --------------------------------------------------------------------------
@@ -56,6 +50,10 @@ class JoinPart:
     nested: bool = False           # J07: joined row as one struct attribute
 
 
+#: Marks a joined row, so that an unmatched outer row nests as null.
+_HIT = "__joined"
+
+
 def _how(h: str) -> str:
     h = h.lower()
     if h in ("inner",):
@@ -75,10 +73,15 @@ def apply_joins(main: DataFrame, main_type: str, parts: Sequence[JoinPart],
     applied after the joins (J05)."""
     internal = [chr(ord("a") + i) for i in range(len(parts) + 1)]
     sides = [(main_type, None, main)] + [(p.type_name, p.alias, p.df) for p in parts]
+    # a type name means its first side; a repeated type needs an alias of its own
     aliases = {}
     for (tname, ualias, _), ia in zip(sides, internal):
-        aliases[tname] = ia
+        if tname in aliases and not ualias:
+            raise ValueError(f"type {tname!r} is joined twice and needs an alias")
+        aliases.setdefault(tname, ia)
         if ualias:
+            if aliases.get(ualias, ia) != ia:
+                raise ValueError(f"alias {ualias!r} is ambiguous")
             aliases[ualias] = ia
     cols_of = {ia: set(df.columns) for (_, _, df), ia in zip(sides, internal)}
 
@@ -98,7 +101,7 @@ def apply_joins(main: DataFrame, main_type: str, parts: Sequence[JoinPart],
 
     out = main.alias("a")
     for p, ia in zip(parts, internal[1:]):
-        right = p.df.alias(ia)
+        right = (p.df.withColumn(_HIT, F.lit(True)) if p.nested else p.df).alias(ia)
         if callable(p.on):
             cond = p.on(resolve)
         else:
@@ -120,8 +123,7 @@ def apply_joins(main: DataFrame, main_type: str, parts: Sequence[JoinPart],
         pcols = list(p.properties) if p.properties is not None else p.df.columns
         if p.nested:
             name = p.alias or p.type_name
-            sel.append(F.when(F.struct(*[F.col(f"{ia}.{c}") for c in pcols]).isNotNull(),
-                              F.struct(*[F.col(f"{ia}.{c}").alias(c) for c in pcols])).alias(name))
+            sel.append(F.when(F.col(f"{ia}.{_HIT}"), F.struct(*[F.col(f"{ia}.{c}").alias(c) for c in pcols])).alias(name))
             taken.add(name)
             continue
         for c in pcols:
@@ -259,11 +261,9 @@ def _finish(left: DataFrame, out: DataFrame, how: str, left_key: str | None) ->
     if how == "left":
         if not left_key:
             raise ValueError("left spatial join needs left_key")
-        unmatched = left.join(out.select(left_key), left_key, "left_anti")
-        for c in out.columns:
-            if c not in unmatched.columns:
-                unmatched = unmatched.withColumn(c, F.lit(None).cast(out.schema[c].dataType))
-        return out.unionByName(unmatched.select(*out.columns))
+        # the pairs are worked out once; left_key identifies a left row
+        new = [c for c in out.columns if c not in left.columns]
+        return left.join(out.select(left_key, *new), left_key, "left").select(*out.columns)
     raise ValueError(f"spatial join type {how!r} is not supported")
 
 
@@ -274,7 +274,7 @@ def _exact_pair(pred: str, L: Column, R: Column, lp: bool, rp: bool, distance) -
         # point x polygon: native ray casting over the polygon column
         if rp:
             return (L["minx"] == R["minx"]) & (L["miny"] == R["miny"])
-        return point_in_polygon_column(L["minx"], L["miny"], R, boundary=(pred == "intersects"))
+        return point_in_geometry_column(L["minx"], L["miny"], R, pred)
     if lp and pred == "dwithin":
         d = F.lit(float(distance))
         return F.when(_is_segment(R), _point_segment(L["minx"], L["miny"], R) <= d) \
@@ -282,7 +282,7 @@ def _exact_pair(pred: str, L: Column, R: Column, lp: bool, rp: bool, distance) -
     if rp and pred == "dwithin":
         return point_distance_column(R["minx"], R["miny"], L) <= F.lit(float(distance))
     if rp and pred in ("intersects", "contains"):
-        return point_in_polygon_column(R["minx"], R["miny"], L, boundary=(pred == "intersects"))
+        return point_in_geometry_column(R["minx"], R["miny"], L, "intersects" if pred == "intersects" else "within")
     name = pred
     udf = pair_udf("dwithin", float(distance)) if pred == "dwithin" else pair_udf(name)
     exact = F.coalesce(udf(L, R), F.lit(False))
@@ -334,9 +334,3 @@ def _segment_hits_box(seg: Column, bx: Column) -> Column:
     ex, lx = slab(dx, a["x"], bx["minx"], bx["maxx"])
     ey, ly = slab(dy, a["y"], bx["miny"], bx["maxy"])
     return F.greatest(ex, ey, F.lit(0.0)) <= F.least(lx, ly, F.lit(1.0))
-
-
-# J10 ---------------------------------------------------------------------------
-def count_join(left: DataFrame, right: DataFrame, cond, how: str = "inner") -> DataFrame:
-    return left.join(right, cond, _how(how)).agg(F.count(F.lit(1)).alias("count"))
-
