@@ -1,4 +1,4 @@
-"""Sort, page and nearest features.
+"""Nearest features (W05); sort and page are in plans.query.
 
 ``nearest`` is a distance column plus ``orderBy(dist, fid).limit(k)``: Spark
 plans it as TakeOrderedAndProject (a top-k per partition, then a merge of
@@ -12,21 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.geometry import Geom
 from ..functions.predicates import distance
-
-
-def sort(df: DataFrame, keys: list[tuple[str, str]]) -> DataFrame:
-    cols = [F.col(k).desc() if d.upper().startswith("DESC") else F.col(k).asc() for k, d in keys]
-    return df.orderBy(*cols)
-
-
-def page(df: DataFrame, offset: int = 0, limit: int | None = None, order: list[str] | None = None) -> DataFrame:
-    if order:
-        df = df.orderBy(*order)
-    if offset:
-        df = df.offset(int(offset))
-    if limit is not None:
-        df = df.limit(int(limit))
-    return df
+from ..session import stored
 
 
 def nearest(df: DataFrame, geom: str, target: Geom, k: int, cond: Column | None = None, fid: str = "fid",
@@ -40,62 +26,57 @@ def nearest(df: DataFrame, geom: str, target: Geom, k: int, cond: Column | None
 
 
 def knn_join(left: DataFrame, right: DataFrame, k: int, *, left_id: str = "fid", right_id: str = "fid_r",
-             left_geom: str = "geom", right_geom: str = "geom_r", cell_size: float = 0.05,
-             max_rounds: int = 24) -> DataFrame:
-    """W05 per row: the ``k`` nearest right points of every left point
-    (planar; ties by right id), exact.
+             left_geom: str = "geom", right_geom: str = "geom_r", cell_size: float = 0.05) -> DataFrame:
+    """W05 per row: the ``k`` nearest right points of every left point (planar; ties by
+    right id), exact; all right points where there are fewer than ``k``.  Rows with a null
+    geometry have no neighbours; another kind than Point is an error.
 
-    Right points get one grid cell.  Each round, every unresolved left point
-    searches the square of cells within ``ring`` of its own cell: an
-    equi-join on cell ids (the left side explodes its (2 ring + 1)^2 cells),
-    never a cross join.  A left point is resolved when it has k candidates
-    and the k-th distance is below the distance to the searched square's
-    border (nothing outside can be nearer), or when the square covers every
-    right cell.  Unresolved points go to the next round with the ring
-    doubled.  Per-point top-k is ``row_number() <= k``, which Spark plans as
-    a partial top-k per partition before the shuffle, so a crowded cell never
-    sends more than k rows per partition for one point.  Each round's
-    remainder is checkpointed to cut lineage."""
+    A pyramid of point counts (cell size doubled per level, each level summed from the one
+    below) gives every left cell the finest level at which its 3 x 3 cells hold k
+    points.  The k-th neighbour is then at most 2 sqrt(2) cells away, so the
+    3 x 3 cells two levels up hold all k nearest: one equi-join on cells, no search rounds over
+    points.  Levels end when 3 x 3 cells hold the whole right side.  The top k per left
+    point is ``row_number() <= k``, a partial top k before the shuffle."""
     from pyspark.sql import Window
 
     s = float(cell_size)
-    R = right.select(F.col(right_id).alias("__rid"), F.col(right_geom)["minx"].alias("__rx"),
-                     F.col(right_geom)["miny"].alias("__ry"))
-    R = R.where(F.col("__rx").isNotNull()) \
-         .withColumn("__gx", F.floor(F.col("__rx") / s).cast("long")) \
-         .withColumn("__gy", F.floor(F.col("__ry") / s).cast("long"))
-    ext = R.agg(F.min("__gx"), F.max("__gx"), F.min("__gy"), F.max("__gy")).first()
-    L = left.select(F.col(left_id).alias("__lid"), F.col(left_geom)["minx"].alias("__lx"),
-                    F.col(left_geom)["miny"].alias("__ly"))
-    L = L.withColumn("__cx", F.floor(F.col("__lx") / s).cast("long")) \
-         .withColumn("__cy", F.floor(F.col("__ly") / s).cast("long"))
-    if ext[0] is None:
-        return left.limit(0).select(F.col(left_id), F.lit(None).cast("long").alias(right_id),
+
+    def points(df, ident, geom, prefix):
+        g = F.col(geom)
+        x = F.when(g["kind"] == "Point", g["minx"]).otherwise(F.raise_error(F.lit("knn_join needs points")))
+        return df.where(g["minx"].isNotNull()).select(F.col(ident).alias(f"{prefix}id"), x.alias(f"{prefix}x"), g["miny"].alias(f"{prefix}y"))
+
+    def cell(c, level):
+        return F.shiftright(F.floor(F.col(c) / F.lit(s)).cast("long"), level)
+
+    R, L = points(right, right_id, right_geom, "__r"), points(left, left_id, left_geom, "__l")
+    counts = stored(R.groupBy(cell("__rx", 0).alias("gx"), cell("__ry", 0).alias("gy")).agg(F.count(F.lit(1)).alias("n")), "knn-counts")
+    todo = stored(L.select(cell("__lx", 0).alias("x0"), cell("__ly", 0).alias("y0")).distinct(), "knn-cells")
+    total = counts.agg(F.sum("n")).first()[0]
+    offs = F.explode(F.sequence(F.lit(-1), F.lit(1)))
+    placed, level = None, 0
+    while total and not todo.isEmpty():
+        here = todo.withColumns({"cx": F.shiftright("x0", level), "cy": F.shiftright("y0", level)})
+        near = (here.select("cx", "cy").distinct().withColumn("dx", offs).withColumn("dy", offs)
+                .join(counts, (F.col("gx") == F.col("cx") + F.col("dx")) & (F.col("gy") == F.col("cy") + F.col("dy")))
+                .groupBy("cx", "cy").agg(F.sum("n").alias("n")))
+        seen = stored(here.join(near, ["cx", "cy"], "left").select("x0", "y0", (F.coalesce("n", F.lit(0)) >= min(k, total)).alias("ok")), "knn-cells")
+        done = seen.where("ok").select("x0", "y0", F.lit(level + 2).alias("lv"))
+        placed = done if placed is None else placed.unionByName(done)
+        todo = seen.where("NOT ok").select("x0", "y0")
+        level += 1
+        counts = stored(counts.groupBy(F.shiftright("gx", 1).alias("gx"), F.shiftright("gy", 1).alias("gy")).agg(F.sum("n").alias("n")), "knn-counts")
+    if placed is None:
+        return left.limit(0).select(F.col(left_id), F.lit(None).cast(right.schema[right_id].dataType).alias(right_id),
                                     F.lit(None).cast("double").alias("dist"), F.lit(None).cast("int").alias("rank"))
-    done = None
-    todo = L
-    ring = 1
-    for _ in range(max_rounds):
-        offs = F.sequence(F.lit(-ring), F.lit(ring))
-        cand = (todo.withColumn("__dx", F.explode(offs)).withColumn("__dy", F.explode(offs))
-                .withColumn("__gx", F.col("__cx") + F.col("__dx")).withColumn("__gy", F.col("__cy") + F.col("__dy"))
-                .join(R, ["__gx", "__gy"]))
-        cand = cand.withColumn("dist", F.sqrt((F.col("__lx") - F.col("__rx")) ** 2 + (F.col("__ly") - F.col("__ry")) ** 2))
-        w = Window.partitionBy("__lid").orderBy(F.col("dist"), F.col("__rid"))
-        top = cand.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
-        per = top.groupBy("__lid").agg(F.count(F.lit(1)).alias("__n"), F.max("dist").alias("__kth"))
-        border = F.least(F.col("__lx") - (F.col("__cx") - ring) * s, (F.col("__cx") + ring + 1) * s - F.col("__lx"),
-                         F.col("__ly") - (F.col("__cy") - ring) * s, (F.col("__cy") + ring + 1) * s - F.col("__ly"))
-        covers_all = ((F.col("__cx") - ring <= ext[0]) & (F.col("__cx") + ring >= ext[1])
-                      & (F.col("__cy") - ring <= ext[2]) & (F.col("__cy") + ring >= ext[3]))
-        status = todo.join(per, "__lid", "left").withColumn(
-            "__ok", covers_all | ((F.col("__n") >= k) & (F.col("__kth") < border)))
-        status = status.checkpoint()
-        ok_ids = status.where("__ok").select("__lid")
-        res = top.join(ok_ids, "__lid", "left_semi").select("__lid", "__rid", "dist", "rank")
-        done = res if done is None else done.unionByName(res)
-        todo = status.where("NOT __ok").select("__lid", "__lx", "__ly", "__cx", "__cy")
-        if todo.isEmpty():
-            break
-        ring *= 2
-    return done.select(F.col("__lid").alias(left_id), F.col("__rid").alias(right_id), "dist", "rank")
+    levels = sorted(r[0] for r in placed.select("lv").distinct().collect())  # at most one per doubling of the extent
+    shift = lambda c: F.expr(f"shiftright(cast(floor({c} / {s!r}D) as bigint), lv)")
+    q = (L.withColumns({"x0": cell("__lx", 0), "y0": cell("__ly", 0)}).join(placed, ["x0", "y0"])
+         .withColumn("dx", offs).withColumn("dy", offs)
+         .withColumns({"gx": shift("__lx") + F.col("dx"), "gy": shift("__ly") + F.col("dy")}))
+    r = R.withColumn("lv", F.explode(F.array(*[F.lit(v) for v in levels]))).withColumns({"gx": shift("__rx"), "gy": shift("__ry")})
+    cand = q.join(r, ["lv", "gx", "gy"]).withColumn(
+        "dist", F.sqrt((F.col("__lx") - F.col("__rx")) ** 2 + (F.col("__ly") - F.col("__ry")) ** 2))
+    w = Window.partitionBy("__lid").orderBy(F.col("dist"), F.col("__rid"))
+    top = cand.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    return top.select(F.col("__lid").alias(left_id), F.col("__rid").alias(right_id), "dist", "rank")
