@@ -5,7 +5,7 @@ and, when it comes from the cell store, ``epoch`` (hour partition) and
 ``cell`` (leaf id, files sorted by it).  Region + time queries add, on top of
 the exact filter, the pruning filters the layout allows:
 
-* ``epoch IN (hours of [t1, t2])`` -> partition pruning;
+* ``day`` and ``epoch BETWEEN hour(t1) AND hour(t2)`` -> partition and row-group pruning;
 * ``cell BETWEEN lo AND hi`` for the region's covering -> row-group pruning;
 * ``ts BETWEEN t1 AND t2`` and the lon/lat box -> pushed Parquet filters.
 
@@ -19,12 +19,12 @@ import datetime as _dt
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import cells as C
 from ..functions.filters import _v
 from ..functions.geometry import Geom
-from ..functions.predicates import envelope_intersects, point_in_literal_polygon, point_literal_distance
-from ..functions.geometry import point
+from ..functions.predicates import point_in_literal_polygon, point_literal_distance
 
 TRACK_LEVEL = 12  # block level of the trajectory store (as in the reference)
 
@@ -35,6 +35,11 @@ def _ts(t) -> Column:
     return _v(t)
 
 
+def hour_of(t: str | _dt.datetime) -> str:
+    """The hour bucket of an instant; buckets sort as text."""
+    return (_dt.datetime.fromisoformat(t) if isinstance(t, str) else t).strftime("%Y%m%d%H")
+
+
 def hours(t1: str | _dt.datetime, t2: str | _dt.datetime) -> list[str]:
     """Hour buckets of [t1, t2], both end hours included (X17; driver side,
     the two instants are literals)."""
@@ -48,11 +53,17 @@ def hours(t1: str | _dt.datetime, t2: str | _dt.datetime) -> list[str]:
     return out
 
 
+def _in_box(region: Geom, lon: str = "lon", lat: str = "lat") -> Column:
+    """Closed box test on the stored columns: pushed to the scan as it stands."""
+    x1, y1, x2, y2 = region.envelope()
+    x, y = F.col(lon), F.col(lat)
+    return (x >= x1) & (x <= x2) & (y >= y1) & (y <= y2) & x.isNotNull() & y.isNotNull()
+
+
 def in_region(region: Geom, lon: str = "lon", lat: str = "lat") -> Column:
     """Exact closed point-in-region test: envelope, then ray casting for
     non-rectangular regions (native columns)."""
-    geom = point(lon, lat)
-    env = envelope_intersects(geom, *region.envelope())
+    env = _in_box(region, lon, lat)
     if region.is_rectangle():
         return env
     return env & point_in_literal_polygon(F.col(lon), F.col(lat), region, boundary=True)
@@ -63,7 +74,10 @@ def prune(df: DataFrame, region: Geom | None = None, t1=None, t2=None, level: in
     """Layout-aware pruning filters (no effect on the result, only on I/O)."""
     cols = set(df.columns)
     if t1 is not None and t2 is not None and "epoch" in cols:
-        df = df.where(F.col("epoch").isin(hours(t1, t2)))
+        first, last = hour_of(t1), hour_of(t2)
+        if "day" in cols:
+            df = df.where(F.col("day").between(first[:8], last[:8]))
+        df = df.where(F.col("epoch").between(first, last))
     if region is not None and "cell" in cols:
         cov = C.covering(region, level, min_level=max(0, level - 4), max_cells=max_cells)
         df = df.where(C.in_ranges("cell", C.cell_ranges(cov)))
@@ -73,8 +87,13 @@ def prune(df: DataFrame, region: Geom | None = None, t1=None, t2=None, level: in
 def region_time_points(df: DataFrame, region: Geom, t1, t2, exact: bool = True,
                        half_open: bool = False) -> DataFrame:
     """Points in region during [t1, t2] (``half_open``: [t1, t2)).
-    ``exact=False`` reproduces the reference: every point of the covering cells."""
-    df = prune(df, region, t1, t2)
+    ``exact=False``: every point of the region's covering cells at TRACK_LEVEL, whether the
+    cell is stored or computed here."""
+    df = prune(df, region if exact else None, t1, t2)
+    if not exact:
+        ranges = C.cell_ranges(C.covering(region, TRACK_LEVEL, min_level=TRACK_LEVEL - 4))
+        stored = "cell" in df.columns
+        df = df.where(C.in_ranges(F.col("cell") if stored else C.leaf_cell("lat", "lon"), ranges, computed=not stored))
     tcond = (F.col("ts") >= _ts(t1)) & ((F.col("ts") < _ts(t2)) if half_open else (F.col("ts") <= _ts(t2)))
     df = df.where(tcond)
     if exact:
@@ -99,7 +118,8 @@ def vehicles_at(df: DataFrame, region: Geom, t, window_seconds: float = 0.0) ->
         pts = region_time_points(df, region, t_start, t_end)
     else:
         pts = region_time_points(df, region, t, t)
-    last = F.max_by(F.struct("ts", "lon", "lat"), F.col("ts"))
+    # ties on ts: the largest (lon, lat)
+    last = F.max(F.struct("ts", "lon", "lat"))
     return pts.groupBy("id").agg(last.alias("p")).select("id", F.col("p.ts").alias("ts"), F.col("p.lon").alias("lon"),
                                                          F.col("p.lat").alias("lat"))
 
@@ -110,7 +130,7 @@ def points_along_line(df: DataFrame, line: Geom, t1, t2, tolerance: float, exact
     pad = Geom.box(x1 - tolerance, y1 - tolerance, x2 + tolerance, y2 + tolerance)
     df = prune(df, pad, t1, t2)
     df = df.where((F.col("ts") >= _ts(t1)) & (F.col("ts") <= _ts(t2)))
-    df = df.where(envelope_intersects(point("lon", "lat"), *pad.envelope()))
+    df = df.where(_in_box(pad))
     if exact:
         df = df.where(point_literal_distance(F.col("lon"), F.col("lat"), line) <= F.lit(float(tolerance)))
     return df
@@ -148,20 +168,6 @@ def trajectory_in_region(df: DataFrame, region: Geom, ids: list | None = None) -
     return df.where(in_region(region)).select("id", "ts", "lon", "lat").orderBy("id", "ts")
 
 
-def segments(df: DataFrame) -> DataFrame:
-    """Consecutive point pairs per vehicle (lead over (id, ts)).
-
-    Window partitions by ``id``; the window streams a sorted partition and
-    spills, but a vehicle is one task: use only where per-vehicle order is the
-    feature."""
-    from pyspark.sql import Window
-
-    w = Window.partitionBy("id").orderBy("ts", "fid")
-    return (df.select("id", "fid", "ts", "lon", "lat")
-            .withColumn("ts2", F.lead("ts").over(w)).withColumn("lon2", F.lead("lon").over(w))
-            .withColumn("lat2", F.lead("lat").over(w)).where(F.col("ts2").isNotNull()))
-
-
 def write_trip_copy(df: DataFrame, path: str, buckets: int = 64, with_cell: bool = False) -> None:
     """Second copy of the track keyed by trip (and cell): rows bucketed by
     a hash of ``id``, files sorted by (id, ts).  Range partitioning on (id, ts)
@@ -173,7 +179,12 @@ def write_trip_copy(df: DataFrame, path: str, buckets: int = 64, with_cell: bool
 
 
 def read_trip_copy(spark, path: str, ids: list | None = None, buckets: int = 64) -> DataFrame:
+    """Rows of the copy; given ids read only their buckets."""
     df = spark.read.parquet(path)
     if ids is not None:
-        df = df.where(F.col("id").isin(list(ids)))
+        ids = list(ids)
+        kind = df.schema["id"].dataType  # a hash depends on the type
+        keys = spark.createDataFrame([(i,) for i in ids], T.StructType([T.StructField("id", kind)]))
+        held = sorted(r[0] for r in keys.select(F.pmod(F.xxhash64("id"), F.lit(buckets))).distinct().collect())
+        df = df.where(F.col("bucket").isin(held) & F.col("id").isin(ids))
     return df

@@ -20,9 +20,10 @@ LAT_NAMES = ("lat", "latitude")
 LON_NAMES = ("lon", "lng", "long", "longitude")
 
 
-def read_attributes(spark: SparkSession, path: str) -> DataFrame:
-    """All columns as trimmed strings."""
-    df = (spark.read.option("header", True).option("ignoreLeadingWhiteSpace", True)
+def read_attributes(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """All columns as trimmed strings; a doubled quote inside quotes is a quote.
+    ``multi_line`` lets quoted values hold line breaks (a file is then one task)."""
+    df = (spark.read.option("header", True).option("quote", '"').option("escape", '"').option("multiLine", multi_line).option("ignoreLeadingWhiteSpace", True)
           .option("ignoreTrailingWhiteSpace", True).option("mode", "PERMISSIVE").csv(path))
     return df.toDF(*[c.strip() for c in df.columns])
 
@@ -117,11 +118,12 @@ def encode(df: DataFrame, geom: str | None = None, form: str = "latlon") -> Data
 
 def write(df: DataFrame, path: str, geom: str | None = None, form: str = "latlon", mode: str = "errorifexists") -> None:
     """Header always written (an empty layer gives a header-only file)."""
-    encode(df, geom, form).write.mode(mode).option("header", True).option("nullValue", "") \
+    encode(df, geom, form).write.mode(mode).option("header", True).option("escape", '"').option("nullValue", "") \
         .option("emptyValue", "").csv(path)
 
 
-def append(spark: SparkSession, existing: DataFrame, new: DataFrame, path: str) -> None:
-    """Existing rows, then the new ones, written to a new directory (the
-    caller switches to it; the old files are never rewritten in place)."""
-    existing.unionByName(new).write.mode("errorifexists").option("header", True).csv(path)
+def append(spark: SparkSession, existing: DataFrame, new: DataFrame, path: str, geom: str | None = None,
+           form: str = "latlon") -> None:
+    """Existing rows, then the new ones, geometries encoded, written to a new
+    directory (the caller switches to it; the old files are never rewritten in place)."""
+    write(existing.unionByName(new), path, geom, form)

@@ -3,8 +3,8 @@
 S11: mixed layers are split by geometry kind with ``partitionBy('kind')``
 and rolled over at ``maxRecordsPerFile``; S12: column names cut to 10
 characters, made unique by a numeric suffix, geometry renamed ``the_geom``;
-S13: column types per value class, text cut to 254 characters, binary
-columns dropped, unknown types refused.
+S13: column types per value class, unknown types refused.  The files are Parquet or
+CSV, which hold text of any length; binary columns are kept (CSV: as base64).
 """
 
 from __future__ import annotations
@@ -15,15 +15,14 @@ from pyspark.sql import types as T
 
 from ..functions.geometry import geom_to_wkt
 
-# Export kinds by geometry kind, name width, text width.
+# Export kinds by geometry kind, name width.
 EXPORT_KIND = {"Point": "Point", "MultiPoint": "MPoint", "LineString": "Line", "MultiLineString": "Line",
                "Polygon": "Polygon", "MultiPolygon": "Polygon"}
 MAX_NAME = 10
-MAX_TEXT = 254
 
 
 def export_names(columns: list[str], geom: str | None) -> list[str]:
-    out, used = [], set()
+    out, used = [], {"the_geom"} if geom in columns else set()
     for c in columns:
         if c == geom:
             name = "the_geom"
@@ -47,10 +46,8 @@ def export_frame(df: DataFrame, geom: str | None = "geom", wkt: bool = False) ->
         if f.name == geom:
             cols.append(geom_to_wkt(c).alias(f.name) if wkt else c.alias(f.name))
         elif isinstance(dt, T.BinaryType):
-            continue
-        elif isinstance(dt, T.StringType):
-            cols.append(F.substring(c, 1, MAX_TEXT).alias(f.name))
-        elif isinstance(dt, (T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType, T.ByteType,
+            cols.append(F.base64(c).alias(f.name) if wkt else c)
+        elif isinstance(dt, (T.StringType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType, T.ByteType,
                              T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)):
             cols.append(c)
         else:

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import re
-from typing import Mapping
+from functools import reduce
+from typing import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,15 +14,17 @@ _PARAM = re.compile(r"%([A-Za-z_][A-Za-z0-9_]*)%")
 
 class SqlView:
     """A named SQL text with ``%name%`` parameters, defaults and full-match
-    validators.  Values are bound as Spark SQL parameters (never spliced into
+    validators.  Only declared names (``params``, a default or a validator) are
+    parameters; any other ``%word%``, such as a LIKE pattern, is text.  Values are bound as Spark SQL parameters (never spliced into
     the text), so quoting is the engine's job."""
 
     def __init__(self, name: str, sql: str, defaults: Mapping[str, object] | None = None,
-                 validators: Mapping[str, str] | None = None):
+                 validators: Mapping[str, str] | None = None, params: Sequence[str] = ()):
         self.name, self.sql = name, sql
-        self.params = _PARAM.findall(sql)
         self.defaults = dict(defaults or {})
         self.validators = {k: re.compile(v) for k, v in (validators or {}).items()}
+        declared = {*params, *self.defaults, *self.validators}
+        self.params = [p for p in _PARAM.findall(sql) if p in declared]
 
     def expand(self, hints: Mapping[str, object] | None = None) -> tuple[str, dict]:
         values = dict(self.defaults)
@@ -35,7 +38,7 @@ class SqlView:
             if rx is not None and not rx.fullmatch(str(v)):
                 raise ValueError(f"view {self.name}: value {v!r} rejected for parameter {p!r}")
             args[p] = v
-        return _PARAM.sub(lambda m: f":{m.group(1)}", self.sql), args
+        return _PARAM.sub(lambda m: f":{m.group(1)}" if m.group(1) in args else m.group(0), self.sql), args
 
     def frame(self, spark: SparkSession, hints: Mapping[str, object] | None = None) -> DataFrame:
         text, args = self.expand(hints)
@@ -54,20 +57,34 @@ class SqlView:
         spark.catalog.dropTempView(self.name)
 
 
-def read_directory(spark: SparkSession, path: str, fmt: str = "parquet", glob: str | None = None) -> DataFrame:
-    """Every file of a folder as one store; ``layer`` = file stem."""
-    reader = spark.read.format(fmt).option("recursiveFileLookup", True)
-    if fmt == "csv":
-        reader = reader.option("header", True)
+def layers(spark: SparkSession, path: str, fmt: str = "parquet", glob: str | None = None) -> dict[str, DataFrame]:
+    """Every top-level file or folder of a folder as a layer of its own schema, by its
+    name without extension.  Only file names are listed on the driver, never rows."""
+    base = path.rstrip("/")
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True)
     if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    df = reader.load(path)
-    name = F.regexp_extract(F.input_file_name(), r"([^/]+?)(\.[^./]+)?$", 1)
-    return df.withColumn("layer", name)
+        files = files.option("pathGlobFilter", glob)
+    tail = F.element_at(F.split("path", "/" + re.escape(base.rsplit("/", 1)[-1]) + "/", 2), 2)
+    top = F.substring_index(tail, "/", 1)
+    names = sorted(r[0] for r in files.load(base).select(top.alias("top")).distinct().collect())
+    out = {}
+    for name in names:
+        reader = spark.read.format(fmt)
+        if fmt == "csv":
+            reader = reader.option("header", True).option("escape", '"')
+        stem = name.rsplit(".", 1)[0] if "." in name[1:] else name
+        if stem in out:
+            raise ValueError(f"two entries of {path!r} give the layer {stem!r}")
+        out[stem] = reader.load(f"{base}/{name}")
+    return out
 
 
-def list_layers(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    return read_directory(spark, path, fmt).select("layer").distinct()
+def read_directory(spark: SparkSession, path: str, fmt: str = "parquet", glob: str | None = None) -> DataFrame:
+    """All layers of a folder as one frame (columns by name, missing ones null) with ``layer``."""
+    frames = [df.withColumn("layer", F.lit(name)) for name, df in layers(spark, path, fmt, glob).items()]
+    if not frames:
+        raise ValueError(f"no layers in {path!r}")
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
 def refresh(spark: SparkSession, path: str) -> None:

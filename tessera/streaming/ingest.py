@@ -2,9 +2,10 @@
 
 New ``id,time,lon,lat`` text files in a folder become rows of the
 cell-partitioned track store: the same columns as the batch ingest (leaf
-cell, level-12 block, hour epoch), appended per micro-batch, partitioned by
-``epoch`` and sorted by ``cell`` inside each batch.  The checkpoint lives in
-the shared folder the session names, so a restarted job resumes exactly.
+cell, level-12 block, hour epoch), one folder per micro-batch, partitioned by
+day and sorted by hour and cell.  A batch that is run again overwrites its own
+folder, and the checkpoint lives in the shared folder the session names, so a restarted
+job neither loses nor doubles rows.
 The reference has no streaming operator; this only re-expresses its ingest.
 """
 
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import ensure_checkpoint_dir
-from ..sources.cellstore import track_columns
+from ..sources.cellstore import track_columns, write_track
 
 TRACK_TEXT_SCHEMA = T.StructType([T.StructField("id", T.LongType()), T.StructField("time", T.StringType()),
                                   T.StructField("lon", T.DoubleType()), T.StructField("lat", T.DoubleType())])
@@ -33,9 +34,8 @@ def start_ingest(spark: SparkSession, folder: str, store_path: str, name: str =
                  trigger_seconds: int | None = None, available_now: bool = False):
     ckpt = ensure_checkpoint_dir(spark).rstrip("/") + f"/{name}"
 
-    def write_batch(batch: DataFrame, _epoch: int) -> None:
-        (batch.repartitionByRange("epoch", "cell").sortWithinPartitions("epoch", "cell")
-         .write.mode("append").partitionBy("epoch").parquet(store_path))
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        write_track(batch, f"{store_path.rstrip('/')}/batch={batch_id}")
 
     w = track_stream(spark, folder).writeStream.foreachBatch(write_batch).option("checkpointLocation", ckpt)
     if available_now:
