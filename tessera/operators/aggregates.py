@@ -105,9 +105,10 @@ def bounds_xy(df: DataFrame, x: str = "lon", y: str = "lat", cond: Column | None
 
 # A12 ------------------------------------------------------------------------
 def estimated_bounds(catalog: DataFrame, layer_name: str) -> DataFrame:
-    """Bounds recorded in the layer catalog at ingest (no data scan)."""
+    """Bounds recorded in the layer catalog at its latest ingest (no data scan)."""
     e = F.col("envelope")
-    return catalog.where(F.col("layer_name") == layer_name).select(
+    latest = catalog.where(F.col("layer_name") == layer_name).orderBy(F.desc("cdate"), F.desc("id")).limit(1)
+    return latest.select(
         e["minx"].alias("minx"), e["miny"].alias("miny"), e["maxx"].alias("maxx"), e["maxy"].alias("maxy"))
 
 

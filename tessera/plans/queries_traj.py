@@ -86,10 +86,9 @@ def x16_points_per_hour_in_box(spark, sf):
 @register("x17_hours_touched_per_trip", with_(TRACK) + f"""
 SELECT id, min(ts) AS first_ts, max(ts) AS last_ts,
        CAST(date_diff('hour', date_trunc('hour', min(ts)), date_trunc('hour', max(ts))) + 1 AS INTEGER) AS hours
-FROM track WHERE {TIME} AND {IN_BOX} GROUP BY id""")
+FROM track GROUP BY id""")
 def x17_hours_touched_per_trip(spark, sf):
     from ..functions.scalar import hours_between
 
-    pts = TR.region_time_points(track(spark, sf), BOX, QUERY_T1, QUERY_T2)
-    per = pts.groupBy("id").agg(F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"))
+    per = track(spark, sf).groupBy("id").agg(F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"))
     return per.withColumn("hours", F.size(hours_between("first_ts", "last_ts")))
