@@ -18,6 +18,8 @@ and id are no inputs.  Scoring is one pass over whole texts without a shuffle.
 from __future__ import annotations
 
 import uuid
+from functools import lru_cache
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -30,8 +32,8 @@ from .common import fresh, only
 
 #: Bounds of the training sample: labelled documents a class, units a kind.
 MAX_DOCS, MAX_UNITS = 4000, 3000
-LANDMARKS, DECAY, POWER, TOP = 32, 0.7, 3, 3
-UNIT_CACHE = 500_000
+LANDMARKS, DECAY, POWER, TOP = 48, 0.7, 4, 3
+UNIT_CACHE = 1_000_000
 _TRIM = regex.compile(r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$")
 
 
@@ -63,59 +65,77 @@ def _codes(word: str) -> np.ndarray:
     return np.frombuffer(f"\x01{word}\x02".encode("utf-32-le", "surrogatepass"), np.uint32)
 
 
-def _walk(hits, first, width: int, shape: tuple, out_axis: int) -> np.ndarray:
-    """Length-3 subsequence kernels, one step for each character of the strings.
+@lru_cache(maxsize=80)
+def _triples(m: int) -> tuple[np.ndarray, np.ndarray]:
+    """All places i < j < k in a string of m characters, and the decays of their spans."""
+    at = np.array(list(combinations(range(m), 3)), np.int64).reshape(-1, 3)
+    return at, (np.float32(DECAY) ** (at[:, 2] - at[:, 0] + 1)).astype(np.float32)
+
+
+class Landmarks:
+    """Target strings as rows of their length-3 subsequences' weights: the kernel of a string with
+    all targets is the sum of the rows of its own subsequences."""
+
+    def __init__(self, words: list[str]):
+        codes = [_codes(w) for w in words]
+        self.words = words
+        self.letters = np.unique(np.concatenate(codes)) if words else np.zeros(0, np.uint32)
+        self.base = len(self.letters) + 1
+        self.row = np.full(self.base ** 3, -1, np.int32)
+        held = []
+        for m, c in enumerate(codes):
+            at, decay = _triples(len(c))
+            code = self._code(np.searchsorted(self.letters, c)[None], at)[0]
+            held.append((np.full(len(at), m), code, decay))
+        code = np.concatenate([h[1] for h in held]) if held else np.zeros(0, np.int64)
+        known = np.unique(code)
+        self.row[known] = np.arange(len(known), dtype=np.int32)
+        self.rows = np.zeros((len(known), len(words)), np.float32)
+        for m, code, decay in held:
+            np.add.at(self.rows, (self.row[code], m), decay)
+        self.own = np.sqrt(np.maximum(_own(words), 1e-12))
+
+    def _code(self, ids: np.ndarray, at: np.ndarray) -> np.ndarray:
+        return (ids[:, at[:, 0]] * self.base + ids[:, at[:, 1]]) * self.base + ids[:, at[:, 2]]
+
+    def kernel(self, s: np.ndarray) -> np.ndarray:
+        """Kernels (B, words) of strings s (B, m)."""
+        out = np.zeros((len(s), len(self.words)), np.float32)
+        if not len(self.letters):
+            return out
+        ids = np.searchsorted(self.letters, s)
+        ids[ids == len(self.letters)] = 0
+        ids = np.where(self.letters[ids] == s, ids, len(self.letters)).astype(np.int64)
+        at, decay = _triples(s.shape[1])
+        row = self.row[self._code(ids, at)]
+        word, place = np.nonzero(row >= 0)
+        if len(word):
+            start = np.flatnonzero(np.concatenate(([True], word[1:] != word[:-1])))
+            out[word[start]] = np.add.reduceat(self.rows[row[word, place]] * decay[place][:, None], start, axis=0)
+        return out
 
-    hits[c] marks where the targets equal character c; first[c] is its decayed running sum.  The
-    states are kept divided by DECAY**j at target position j, so that the recursion over the
-    target is a plain running sum."""
+
+def self_kernel(s: np.ndarray) -> np.ndarray:
+    """The kernel of each string with itself, by the usual recursion over prefixes, one step a
+    character.  The states are kept divided by DECAY**j at target position j, so that the
+    recursion over the target is a plain running sum."""
+    r = np.ascontiguousarray(s.T)
     lam = np.float32(DECAY)
-    back = (lam ** (np.arange(1, width) + 2)).astype(np.float32)
-    back = back.reshape([-1 if i == out_axis else 1 for i in range(len(shape))])
-    lo = tuple(slice(None, -1) if i == out_axis else slice(None) for i in range(len(shape)))
-    hi = tuple(slice(1, None) if i == out_axis else slice(None) for i in range(len(shape)))
-    k1, k2 = np.zeros(shape, np.float32), np.zeros(shape, np.float32)
-    total = np.zeros([n for i, n in enumerate(shape) if i != out_axis], np.float32)
-    for hit, one in zip(hits, first):
-        h = hit[hi]
-        step = h * k2[lo]
-        step *= back
-        total += step.sum(axis=out_axis)
-        np.multiply(h, k1[lo], out=step)
-        step *= lam
+    j = np.arange(len(r), dtype=np.float32)[:, None]
+    back, first = lam ** (j[1:] + 2), lam ** (1 - j)
+    k1, k2 = np.zeros(r.shape, np.float32), np.zeros(r.shape, np.float32)
+    total = np.zeros(r.shape[1], np.float32)
+    for c in r:
+        hit = (r == c).astype(np.float32)
+        total += (hit[1:] * k2[:-1] * back).sum(axis=0)
+        step = hit[1:] * k1[:-1] * lam
         k2 *= lam
-        k2[hi] += np.cumsum(step, axis=out_axis)
+        k2[1:] += np.cumsum(step, axis=0)
         k1 *= lam
-        k1 += one
+        k1 += np.cumsum(hit * first, axis=0)
     return total
 
 
-def _first(hit: np.ndarray, axis: int) -> np.ndarray:
-    """Running sums of hits weighted DECAY**(2 - j), j from 1."""
-    w = np.float32(DECAY) ** (1 - np.arange(hit.shape[axis], dtype=np.float32))
-    return np.cumsum(hit * w.reshape([-1 if i == axis else 1 for i in range(hit.ndim)]), axis=axis, dtype=np.float32)
-
-
-def kernel(s: np.ndarray, t: np.ndarray) -> np.ndarray:
-    """Kernels (B, M) of strings s (B, m) with targets t (M, T); 0 pads t."""
-    letters = np.unique(t[t != 0])
-    ids = np.searchsorted(letters, s)
-    ids[ids == len(letters)] = 0
-    ids = np.where(letters[ids] == s, ids, len(letters)) if len(letters) else np.zeros(s.shape, np.int64)
-    table = np.zeros((len(letters) + 1, t.shape[1], t.shape[0]), np.float32)
-    table[:-1] = letters[:, None, None] == t.T[None]
-    first = _first(table, 1)
-    return _walk((table[ids[:, c]] for c in range(s.shape[1])), (first[ids[:, c]] for c in range(s.shape[1])),
-                 t.shape[1], (len(s), t.shape[1], t.shape[0]), 1)
-
-
-def self_kernel(s: np.ndarray) -> np.ndarray:
-    """The kernel of each string with itself."""
-    r = np.ascontiguousarray(s.T)
-    hits = [(r == r[c]).astype(np.float32) for c in range(len(r))]
-    return _walk(hits, (_first(h, 0) for h in hits), len(r), r.shape, 0)
-
-
 def _grouped(words: list[str], longest: int = 64):
     """(positions, code matrix) of words by length; a longer word is cut into overlapping
     pieces of ``longest`` characters, so no part of it is left out."""
@@ -129,7 +149,7 @@ def _grouped(words: list[str], longest: int = 64):
             rows.append(part)
     for m, (pos, rows) in by.items():
         if m > 2:
-            step = 128
+            step = max(1, min(512, 120_000 // max(1, (m * m * m) // 6)))
             for k in range(0, len(pos), step):
                 yield np.array(pos[k:k + step]), np.stack(rows[k:k + step])
 
@@ -137,24 +157,16 @@ def _grouped(words: list[str], longest: int = 64):
 def decisions(words: list[str], model: dict) -> np.ndarray:
     """The machine's decision for each word (the largest of a very long word's pieces)."""
     out = np.full(len(words), -np.inf, np.float32)
-    for pos, k in similarities(words, model["marks"], model["own"]):
+    for pos, k in similarities(words, model["marks"]):
         np.maximum.at(out, pos, k @ model["weights"] + model["bias"])
     out[np.isinf(out)] = model["bias"]
     return out
 
 
-def _pad(words: list[str]) -> np.ndarray:
-    codes = [_codes(w) for w in words]
-    t = np.zeros((len(words), max(map(len, codes))), np.uint32)
-    for i, c in enumerate(codes):
-        t[i, :len(c)] = c
-    return t
-
-
-def similarities(words: list[str], t: np.ndarray, own: np.ndarray):
+def similarities(words: list[str], marks: Landmarks):
     """(positions, POWER-th powers of normalised kernels with the landmarks) of groups of words."""
     for pos, s in _grouped(words):
-        k = kernel(s, t) / own
+        k = marks.kernel(s) / marks.own
         k /= np.sqrt(np.maximum(self_kernel(s), 1e-12))[:, None]
         yield pos, k ** POWER
 
@@ -171,10 +183,8 @@ def choose_marks(words: list[str], z: np.ndarray, most: int) -> list[str]:
     order = [words[i] for i in sorted(range(len(words)), key=lambda i: (-z[i], words[i])) if len(words[i]) <= 16][:600]
     if not order:
         return []
-    t = _pad(order)
-    own = np.sqrt(np.maximum(_own(order), 1e-12))
     alike = np.zeros((len(order), len(order)), np.float32)
-    for pos, k in similarities(order, t, own):
+    for pos, k in similarities(order, Landmarks(order)):
         alike[pos] = k
     kept: list[int] = []
     for i in range(len(order)):
@@ -193,25 +203,24 @@ def _own(words: list[str]) -> np.ndarray:
 def fit_units(bad: list[tuple[str, int]], clean: list[tuple[str, int]], marks: list[str]) -> dict:
     """A machine from bad and clean units with document counts, and landmarks."""
     if not bad or not marks:
-        return {"marks": np.zeros((1, 3), np.uint32), "own": np.ones(1, np.float32), "weights": np.zeros(1, np.float32), "bias": np.float32(-1)}
+        return {"marks": Landmarks([]), "weights": np.zeros(0, np.float32), "bias": np.float32(-1)}
     # a bad unit counts again with a mark or a doubled character inserted
     bad = bad + [(w[:len(w) // 2] + x + w[len(w) // 2:], c) for w, c in bad for x in ("-", w[len(w) // 2])]
     words = [w for w, _ in bad + clean]
     y = np.repeat([1.0, -1.0], [len(bad), len(clean)])
     n = np.log1p(np.array([c for _, c in bad + clean], np.float64))
     weight = np.where(y > 0, n / max(n[y > 0].sum(), 1e-9), n / max(n[y < 0].sum(), 1e-9))
-    t = _pad(marks)
-    own = np.sqrt(np.maximum(_own(marks), 1e-12))
+    held = Landmarks(marks)
     gram = np.zeros((len(marks), len(marks)))
-    for pos, k in similarities(marks, t, own):
+    for pos, k in similarities(marks, held):
         gram[pos] = k
     feats = np.zeros((len(words), len(marks)))
-    for pos, k in similarities(words, t, own):
+    for pos, k in similarities(words, held):
         feats[pos] = k
     val, vec = np.linalg.eigh((gram + gram.T) / 2)
     root = (vec / np.sqrt(np.maximum(val, 1e-3))) @ vec.T
     v = _svm(np.hstack([feats @ root, np.ones((len(words), 1))]), y, weight)
-    return {"marks": t, "own": own, "weights": (root @ v[:-1]).astype(np.float32), "bias": np.float32(v[-1])}
+    return {"marks": held, "weights": (root @ v[:-1]).astype(np.float32), "bias": np.float32(v[-1])}
 
 
 def _svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, c: float = 200.0, rounds: int = 60) -> np.ndarray:
@@ -317,13 +326,13 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         marks = []
     clean: list[tuple[str, int]] = []
     if marks:
-        t, own = _pad(marks), np.sqrt(np.maximum(_own(marks), 1e-12))
+        held = Landmarks(marks)
 
         def nearness(batches):
             for batch in batches:
                 u = batch.column("u").to_pylist()
                 near = np.zeros(len(u), np.float32)
-                for pos, k in similarities(u, t, own):
+                for pos, k in similarities(u, held):
                     np.maximum.at(near, pos, k.max(axis=1))
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(near, pa.float32())], names=["u", "b", "near"])
 
