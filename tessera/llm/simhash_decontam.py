@@ -109,6 +109,11 @@ class Index:
             s["all"] = np.unique(np.concatenate(s["sets"]))
         self.widths = sorted({s["width"] for s in self.sizes.values()})
 
+    def _is_known(self, h: np.ndarray) -> np.ndarray:
+        i = np.searchsorted(self.known, h)
+        i[i == len(self.known)] = 0
+        return self.known[i] == h if len(self.known) else np.zeros(len(h), bool)
+
     def weights(self, h: np.ndarray) -> np.ndarray:
         if not len(self.known):
             return np.full(len(h), self.top, np.float32)
@@ -128,6 +133,7 @@ class Index:
         for width in self.widths:
             sh = shingles(w, width)
             hit = np.flatnonzero(self.filter[(sh >> np.uint64(44)).astype(np.int64)])
+            hit = hit[self._is_known(sh[hit])]
             if not len(hit):
                 continue
             for size, s in self.sizes.items():
