@@ -90,7 +90,7 @@ class Shape:
                 cands.append(((a + b) / 2.0, b - a))
             cands.sort(key=lambda c: -c[1])
             edges = np.array([(*r[k], *r[k + 1]) for r in part for k in range(len(r) - 1)], dtype=float)
-            for y, _ in cands[:3]:
+            for y, _ in cands:
                 x1, y1, x2, y2 = edges.T
                 m = (y1 > y) != (y2 > y)
                 xs = np.sort(x1[m] + (y - y1[m]) * (x2[m] - x1[m]) / (y2[m] - y1[m]))

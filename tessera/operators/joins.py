@@ -13,7 +13,8 @@ as an equi-join on grid cells followed by the exact predicate:
    is kept only in the cell holding the lower-left corner of the two
    envelopes' intersection.
 
-A side is broadcast only after a row-count check bounds it.
+Whether a side is broadcast is left to Spark, which knows its bytes at run time (AQE), as
+is the split of skewed cells.
 """
 
 from __future__ import annotations
@@ -27,14 +28,6 @@ from pyspark.sql import functions as F
 from ..functions.predicates import point_distance_column, point_in_geometry_column
 
 
-# --------------------------------------------------------------------------
-# size-checked broadcast
-# --------------------------------------------------------------------------
-def bounded_rows(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (reads max_rows + 1)."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
 # --------------------------------------------------------------------------
 # Attribute joins of layers
 # --------------------------------------------------------------------------
@@ -197,7 +190,7 @@ def _cover_array(geom: str, size: float, pad: float) -> Column:
 
 
 def _points_join(left: DataFrame, right: DataFrame, predicate: str, left_geom: str, rg: str, distance,
-                 cell_size: float, broadcast_max_rows: int) -> DataFrame:
+                 cell_size: float) -> DataFrame:
     """Point side x any side: one cell per point, a padded cover per other
     row; a pair meets in exactly one cell, so no dedupe is needed."""
     pad = float(distance or 0.0) if predicate == "dwithin" else 0.0
@@ -207,8 +200,6 @@ def _points_join(left: DataFrame, right: DataFrame, predicate: str, left_geom: s
     rc = (right.where(F.col(rg)["minx"].isNotNull())
           .withColumn("__c", F.explode(_cover_array(rg, cell_size, pad)))
           .withColumn("__rgx", F.col("__c.gx")).withColumn("__rgy", F.col("__c.gy")).drop("__c"))
-    if broadcast_max_rows and bounded_rows(rc, broadcast_max_rows):
-        rc = F.broadcast(rc)
     L, R = F.col(left_geom), F.col(rg)
     pairs = lc.join(rc, (F.col("__gx") == F.col("__rgx")) & (F.col("__gy") == F.col("__rgy")), "inner")
     env = ((L["minx"] - F.lit(pad) <= R["maxx"]) & (L["minx"] + F.lit(pad) >= R["minx"])
@@ -220,7 +211,7 @@ def _points_join(left: DataFrame, right: DataFrame, predicate: str, left_geom: s
 def spatial_join(left: DataFrame, right: DataFrame, predicate: str = "intersects", *,
                  left_geom: str = "geom", right_geom: str = "geom", distance: float | None = None,
                  cell_size: float = 0.05, left_points: bool = False, right_points: bool = False,
-                 how: str = "inner", left_key: str | None = None, broadcast_max_rows: int = 200_000,
+                 how: str = "inner", left_key: str | None = None,
                  suffix: str = "_r") -> DataFrame:
     """Pairs (left row, right row) satisfying a spatial predicate.
 
@@ -233,13 +224,11 @@ def spatial_join(left: DataFrame, right: DataFrame, predicate: str = "intersects
     right_r = right.select(*[F.col(c).alias(c + suffix if c in clash else c) for c in r_cols])
     rg = right_geom + suffix if right_geom in clash else right_geom
     if left_points and not right_points and predicate in ("intersects", "within", "dwithin"):
-        out = _points_join(left, right_r, predicate, left_geom, rg, distance, cell_size, broadcast_max_rows)
+        out = _points_join(left, right_r, predicate, left_geom, rg, distance, cell_size)
         return _finish(left, out, how, left_key)
     lc = _cells(left, left_geom, cell_size, pad, left_points)
     rc = _cells(right_r, rg, cell_size, 0.0, right_points)
     rc = rc.withColumnRenamed("__gx", "__rgx").withColumnRenamed("__gy", "__rgy")
-    if broadcast_max_rows and bounded_rows(rc, broadcast_max_rows):
-        rc = F.broadcast(rc)
     L, R = F.col(left_geom), F.col(rg)
     pairs = lc.join(rc, (F.col("__gx") == F.col("__rgx")) & (F.col("__gy") == F.col("__rgy")), "inner")
     env = ((L["minx"] - F.lit(pad) <= R["maxx"]) & (L["maxx"] + F.lit(pad) >= R["minx"])
