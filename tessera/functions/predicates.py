@@ -186,6 +186,42 @@ def point_in_geometry_column(x, y, geom, pred: str) -> Column:
                           .when(g["kind"].isin("LineString", "MultiLineString"), on_line).otherwise(at_vertex))
 
 
+def _vertices(g: Column) -> Column:
+    return F.flatten(F.flatten(g["parts"]))
+
+
+def shape_intersects_box(geom, x1: float, y1: float, x2: float, y2: float) -> Column:
+    """A geometry column of any kind against a closed literal box: a vertex in the box, an
+    edge that the box clips (Liang-Barsky), or the box inside an area."""
+    g = _c(geom)
+    x1, y1, x2, y2 = (F.lit(float(v)) for v in (x1, y1, x2, y2))
+
+    def clipped(e):
+        def slab(d, p, lo, hi):
+            still = F.when((p >= lo) & (p <= hi), F.lit(float("-inf"))).otherwise(F.lit(float("inf")))
+            return (F.when(d > 0, (lo - p) / d).when(d < 0, (hi - p) / d).otherwise(still),
+                    F.when(d > 0, (hi - p) / d).when(d < 0, (lo - p) / d).otherwise(-still))
+
+        ex, lx = slab(e["x2"] - e["x1"], e["x1"], x1, x2)
+        ey, ly = slab(e["y2"] - e["y1"], e["y1"], y1, y2)
+        return F.greatest(ex, ey, F.lit(0.0)) <= F.least(lx, ly, F.lit(1.0))
+
+    vertex = F.exists(_vertices(g), lambda p: p["x"].between(x1, x2) & p["y"].between(y1, y2))
+    covers = g["kind"].isin("Polygon", "MultiPolygon") & point_in_polygon_column(x1, y1, g)
+    return _false_if_null(vertex | F.exists(_edges_of(g), clipped) | covers)
+
+
+def shape_inside_box(geom, x1: float, y1: float, x2: float, y2: float) -> Column:
+    """Whether a geometry whose envelope lies in the closed box also reaches its interior (a box
+    is convex: a vertex or the middle of an edge then lies strictly inside)."""
+    g = _c(geom)
+    inner = lambda x, y: (x > F.lit(x1)) & (x < F.lit(x2)) & (y > F.lit(y1)) & (y < F.lit(y2))
+    area = g["kind"].isin("Polygon", "MultiPolygon")
+    vertex = F.exists(_vertices(g), lambda p: inner(p["x"], p["y"]))
+    middle = F.exists(_edges_of(g), lambda e: inner((e["x1"] + e["x2"]) / 2, (e["y1"] + e["y2"]) / 2))
+    return _false_if_null(area | vertex | middle)
+
+
 def point_distance_column(x, y, geom) -> Column:
     """Planar distance from point columns to a geometry column (min over its
     segments; points: to its vertices; 0 inside polygons), native HOFs."""
@@ -231,6 +267,11 @@ def intersects(geom, other: Geom, point_layer: bool = False) -> Column:
     env = envelope_intersects(g, *other.envelope())
     if point_layer:
         return env & _point_vs_literal(g["minx"], g["miny"], other, "intersects")
+    if other.is_rectangle():
+        return env & shape_intersects_box(g, *other.envelope())
+    if other.kind == "Point":
+        px, py = other.parts[0][0][0]
+        return env & point_in_geometry_column(F.lit(px), F.lit(py), g, "intersects")
     return env & _exact(g, other, "intersects")
 
 
@@ -249,6 +290,9 @@ def contains(geom, other: Geom, point_layer: bool = False) -> Column:
         if other.kind == "Point":
             return env
         return F.lit(False)
+    if other.kind == "Point":
+        px, py = other.parts[0][0][0]
+        return env & point_in_geometry_column(F.lit(px), F.lit(py), g, "within")
     return env & _exact(g, other, "contains")
 
 
@@ -259,6 +303,8 @@ def within(geom, other: Geom, point_layer: bool = False) -> Column:
     env = _known((g["minx"] >= x1) & (g["miny"] >= y1) & (g["maxx"] <= x2) & (g["maxy"] <= y2), *_bounds(g))
     if point_layer:
         return env & _point_vs_literal(g["minx"], g["miny"], other, "within")
+    if other.is_rectangle():
+        return env & shape_inside_box(g, x1, y1, x2, y2)
     return env & _exact(g, other, "within")
 
 
