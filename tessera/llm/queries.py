@@ -93,7 +93,55 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return QR.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-@register("op3_quote_linking")
+_MARKS = r"^(?:[\x20\t]*>)+"
+_INTRO = r"(?i)^.{0,200}\b(?:wrote|schrieb|escribi(?:ó|o)|a (?:é|e)crit)[\x20\t]*:[\x20\t]*$"
+OP3_SQL = f"""
+WITH RECURSIVE own AS (
+  SELECT conv_id AS conv, turn, role, text, string_split(text, chr(10)) AS lines FROM conversations),
+kept AS (
+  SELECT conv, turn, role, text, list_filter(lines, lambda x, i: NOT regexp_matches(x, '{_MARKS}')
+    AND NOT (regexp_matches(x, '{_INTRO}') AND i < len(lines) AND regexp_matches(lines[i + 1], '{_MARKS}'))) AS mine FROM own),
+said AS (
+  SELECT conv, turn, role, text, coalesce(array_to_string(mine, chr(10)), '') AS own_text FROM kept),
+line AS (
+  SELECT conv, turn, text, unnest(lines) AS line, generate_subscripts(lines, 1) AS pos
+  FROM (SELECT DISTINCT conv, turn, text, lines FROM own WHERE conv IS NOT NULL AND turn IS NOT NULL AND text IS NOT NULL)),
+leveled AS (
+  SELECT *, length(regexp_replace(regexp_extract(line, '{_MARKS}'), '[^>]', '', 'g')) AS level,
+    lower(trim(regexp_replace(regexp_replace(line, '{_MARKS}', ''), '[\x20\x09-\x0D]+', ' ', 'g'))) AS norm FROM line),
+marked AS (
+  SELECT *, CASE WHEN level = lag(level) OVER (PARTITION BY conv, turn, text ORDER BY pos) THEN 0 ELSE 1 END AS new FROM leveled),
+passage AS (
+  SELECT *, sum(new) OVER (PARTITION BY conv, turn, text ORDER BY pos) AS passage FROM marked),
+quoted AS (SELECT * FROM passage WHERE level > 0 AND norm <> ''),
+mine AS (
+  SELECT conv, turn, unnest(string_split(own_text, chr(10))) AS line FROM said WHERE conv IS NOT NULL AND turn IS NOT NULL),
+first AS (
+  SELECT conv, norm, min(turn) AS source FROM (
+    SELECT conv, turn, lower(trim(regexp_replace(line, '[\x20\x09-\x0D]+', ' ', 'g'))) AS norm FROM mine) t
+  WHERE norm <> '' GROUP BY ALL),
+vote AS (
+  SELECT q.conv, q.turn, q.text, q.passage, q.level, CASE WHEN f.source < q.turn THEN f.source END AS source, count(*) AS n
+  FROM quoted q LEFT JOIN first f ON f.conv = q.conv AND f.norm = q.norm GROUP BY ALL),
+top AS (
+  SELECT conv, turn, text, passage, level, sum(n) AS lines,
+    max(CASE WHEN source IS NOT NULL THEN {{'n': n, 's': source}} END) AS best FROM vote GROUP BY ALL),
+target AS (SELECT conv, turn, level, CASE WHEN best.n * 2 >= lines THEN best.s END AS source FROM top),
+reply AS (
+  SELECT conv, turn, max(level) AS quote_depth, count(*) AS n_passages, count(source) AS n_linked,
+    max(CASE WHEN source IS NOT NULL THEN {{'near': -level, 's': source}} END).s AS reply_to FROM target GROUP BY ALL),
+walk AS (
+  SELECT conv, turn, reply_to AS up FROM reply WHERE reply_to IS NOT NULL
+  UNION SELECT w.conv, w.turn, r.reply_to FROM walk w JOIN reply r ON r.conv = w.conv AND r.turn = w.up WHERE r.reply_to IS NOT NULL),
+root AS (SELECT conv, turn, min(up) AS root FROM walk GROUP BY ALL)
+SELECT s.conv AS conv_id, s.turn, s.role, CAST(coalesce(r.quote_depth, 0) AS BIGINT) AS quote_depth,
+  CAST(coalesce(r.n_passages, 0) AS BIGINT) AS n_passages, CAST(coalesce(r.n_linked, 0) AS BIGINT) AS n_linked, r.reply_to,
+  CASE WHEN s.conv IS NOT NULL THEN coalesce(o.root, s.turn) END AS thread, sha256(s.own_text) AS own_sha256,
+  CAST(length(s.own_text) AS BIGINT) AS own_chars
+FROM said s LEFT JOIN reply r ON r.conv = s.conv AND r.turn = s.turn LEFT JOIN root o ON o.conv = s.conv AND o.turn = s.turn"""
+
+
+@register("op3_quote_linking", OP3_SQL)
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All messages in reply order, without quotations (as a checksum and a length)."""
     out = QL.link(table(spark, sf_dir, "conversations"))

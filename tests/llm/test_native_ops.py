@@ -17,7 +17,7 @@ from tessera.llm import quote_links as QL
 from tessera.llm import secret_forest as SF
 from tessera.llm import shard_mix as SM
 from tessera.llm import url_logit as UL
-from tessera.llm.queries import URL_RULES
+from tessera.llm.queries import OP3_SQL, URL_RULES
 
 
 def counts(t):
@@ -86,6 +86,14 @@ def test_quote_linking(spark):
     assert got[2, 1]["n_linked"] == 0 and got[None, 0]["thread"] is None
     order = [(r["conv_id"], r["thread"], r["turn"]) for r in out if r["conv_id"] == 1]
     assert order == sorted(order)
+    import duckdb
+
+    con = duckdb.connect()
+    con.execute("CREATE TABLE conversations (conv_id BIGINT, turn BIGINT, role VARCHAR, text VARCHAR)")
+    con.executemany("INSERT INTO conversations VALUES (?, ?, ?, ?)", rows)
+    want = con.execute(f"SELECT conv_id, turn, quote_depth, n_passages, n_linked, reply_to, thread, own_chars FROM ({OP3_SQL})").fetchall()
+    cols = ["conv_id", "turn", "quote_depth", "n_passages", "n_linked", "reply_to", "thread"]
+    assert Counter((*(r[c] for c in cols), len(r["own_text"] or "")) for r in out) == Counter(want)
     assert QL.link(m.limit(0)).collect() == []
     plain = QL.link(m.where("text not like '%>%'")).collect()
     assert all(r["own_text"] == t for r in plain for c, n, _, t in rows if (c, n) == (r["conv_id"], r["turn"]) and ">" not in (t or ""))
