@@ -87,7 +87,54 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return SH.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-@register("op2_risk_controlled_rules")
+def _op2_sql() -> str:
+    """The counts, the exact binomial tests and the verdicts as DuckDB SQL."""
+    tries = " UNION ALL ".join(
+        f"SELECT stratum, '{rule}' AS rule, {float(c)!r}::DOUBLE AS cut, count(*) FILTER (good = 1) AS n1, count(*) FILTER (good = 0) AS n0, "
+        f"count(*) FILTER (good = 1 AND v_{rule} > {float(c)!r}::DOUBLE) AS k1, count(*) FILTER (good = 0 AND v_{rule} > {float(c)!r}::DOUBLE) AS k0 "
+        f"FROM held GROUP BY stratum" for rule, cuts in QR.CUTOFFS.items() for c in cuts)
+    share = "CAST({} AS DOUBLE) / greatest({}, 1)"
+    cut = ", ".join(f"max(b.cut) FILTER (b.rule = '{r}') AS cut_{r}" for r in QR.CUTOFFS)
+    above = " OR ".join(f"coalesce(v_{r} > cut_{r}, false)" for r in QR.CUTOFFS)
+    return f"""
+WITH docs AS (
+  SELECT row_number() OVER () AS row, doc_id, coalesce(lang, '') AS stratum, coalesce(text, '') AS text FROM documents),
+split AS (
+  SELECT *, list_filter(string_split_regex(text, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words,
+    list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM docs),
+win AS (
+  SELECT row, unnest(range(1, len(words) - 6)) AS i, unnest(list_transform(range(1, len(words) - 6), lambda i: array_to_string(words[i:i + 7], ' '))) AS w FROM split),
+twice AS (SELECT row, i FROM (SELECT row, i, count(*) OVER (PARTITION BY row, w) AS n FROM win) t WHERE n > 1),
+cover AS (
+  SELECT row, sum(least(8, coalesce(nxt - i, 8))) AS n FROM (SELECT row, i, lead(i) OVER (PARTITION BY row ORDER BY i) AS nxt FROM twice) t GROUP BY row),
+counted AS (
+  SELECT s.row, doc_id, stratum, CAST(len(words) AS BIGINT) AS n_words, CAST(length(array_to_string(words, '')) AS BIGINT) AS word_chars,
+    CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+    length(regexp_replace(text, '[^A-Z]+', '', 'g')) AS n_capitals, len(lines) AS n_lines,
+    CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, CAST(coalesce(c.n, 0) AS BIGINT) AS n_repeat_words
+  FROM split s LEFT JOIN cover c ON c.row = s.row),
+measured AS (
+  SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+    {share.format('n_symbols', 'word_chars')} AS v_symbols, {share.format('word_chars', 'n_words')} AS v_word_length,
+    {share.format('n_dup_lines', 'n_lines')} AS v_dup_lines, {share.format('n_repeat_words', 'n_words')} AS v_repeats,
+    {share.format('n_capitals', 'word_chars')} AS v_capitals FROM counted),
+held AS (
+  SELECT m.*, good FROM measured m JOIN (SELECT DISTINCT doc_id, quality AS good FROM labels WHERE doc_id IS NOT NULL AND quality IN (0, 1)) l
+    ON l.doc_id = m.doc_id WHERE NOT base_failed),
+tests AS ({tries}),
+sure AS (
+  SELECT stratum, rule, cut, CAST(k0 AS DOUBLE) / greatest(n0, 1) - CAST(k1 AS DOUBLE) / n1 AS gain FROM tests
+  WHERE n1 > 0 AND k0 > 0 AND k1 < n1 * {QR.RISK!r}::DOUBLE AND list_sum(list_transform(range(0, k1 + 1), lambda i:
+    exp(lgamma(n1 + 1.0) - lgamma(i + 1.0) - lgamma(n1 - i + 1.0) + i * ln({QR.RISK!r}::DOUBLE) + (n1 - i) * ln(1 - {QR.RISK!r}::DOUBLE))))
+    <= {QR.ERROR!r}::DOUBLE / (SELECT greatest(1, count(*)) FROM tests)),
+best AS (SELECT stratum, rule, max({{'gain': gain, 'cut': cut}}).cut AS cut FROM sure WHERE gain > 0 GROUP BY stratum, rule),
+cuts AS (SELECT stratum, {cut} FROM best b GROUP BY stratum)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND NOT ({above}) AS kept,
+  {", ".join(f"cut_{r}" for r in QR.CUTOFFS)}
+FROM measured m LEFT JOIN cuts c ON c.stratum = m.stratum"""
+
+
+@register("op2_risk_controlled_rules", _op2_sql())
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality counts and verdicts of every whole text."""
     return QR.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
