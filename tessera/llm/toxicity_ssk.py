@@ -388,6 +388,7 @@ def keep_clean(docs: DataFrame, model: dict, threshold: float, text_col: str = "
         for batch in batches:
             p = _probability(batch.column(text_col).to_pylist(), model)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(p, pa.float64())], names=[*batch.schema.names, flag])
+        _CACHE.clear()  # a worker that goes on with other stages does not hold it
 
     return docs.mapInArrow(run, schema).where(F.col(flag) < threshold).drop(flag)
 
