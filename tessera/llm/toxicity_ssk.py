@@ -34,6 +34,8 @@ from .common import fresh, only
 MAX_DOCS, MAX_UNITS = 4000, 3000
 LANDMARKS, DECAY, POWER, TOP = 48, 0.7, 4, 3
 UNIT_CACHE = 1_000_000
+#: Units kept between batches where a worker also serves other stages.
+STAGE_CACHE = 200_000
 _TRIM = regex.compile(r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$")
 
 
@@ -388,6 +390,8 @@ def keep_clean(docs: DataFrame, model: dict, threshold: float, text_col: str = "
         for batch in batches:
             p = _probability(batch.column(text_col).to_pylist(), model)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(p, pa.float64())], names=[*batch.schema.names, flag])
+            if len(_CACHE.get(model["key"], ())) > STAGE_CACHE:
+                _CACHE.clear()
         _CACHE.clear()  # a worker that goes on with other stages does not hold it
 
     return docs.mapInArrow(run, schema).where(F.col(flag) < threshold).drop(flag)
