@@ -138,6 +138,22 @@ def test_secrets(spark, make):
     assert SF.scan(make([]), trees).collect() == []
 
 
+def test_secrets_all_runs_of_a_word(spark, make):
+    """Web tokens, JSON on one line, query strings and runs without digits: every run is judged and masked."""
+    trees = SF.train(SF.labelled_findings(spark))
+    a, b = "04dbebab91ab85687d33eeaaf9ac699e1188f962", "9f86d081884c7d659a2feaa0c55ad015a3bf4f1b"
+    jwt = "eyJhbGciOiJIUzI1NiIsInR5cCI6IkpXVCJ9.eyJzdWIiOiIxMjM0NTY3ODkwIiwibmFtZSI6IkpvaG4ifQ.SflKxwRJSMeKKF2QT4fwpMeJf36POk6yJV_adQssw5c"
+    bare = "QzXkVbNmWjaPqLsTgHrYcDfEuKoZ"
+    rows = [(1, f"Bearer {jwt}. Next"), (2, f'{{"commit":"{a}","token":"{b}","user":"x"}}'), (3, f"https://host.example.com/long-path-123?token={a}&secret={b} x"),
+            (4, f'token = "{bare}" here'), (5, f'tokens=["{a}","{b}"]'), (6, "Geschwindigkeitsbegrenzung internationalization and/or/either/neither ------------------ ="),
+            (7, f'secret = "{a}" and secret = "{a + b}"'), (8, f'tokens=[{",".join(chr(34) + a[i % 20:] + str(i) + chr(34) for i in range(5000))}]')]
+    got = {r["doc_id"]: r for r in SF.scan(make(rows), trees).collect()}
+    assert got[1]["masked_text"] == f"Bearer {SF.MASK}. Next" and got[2]["secrets"] == [b] and a in got[2]["masked_text"]
+    assert got[3]["n_candidates"] == 3 and got[3]["n_secrets"] == 2 and got[3]["masked_text"] == f"https://host.example.com/long-path-123?{SF.MASK}&{SF.MASK} x"
+    assert got[4]["secrets"] == [bare] and got[5]["secrets"] == [a, b] and got[6]["n_candidates"] >= 4 and got[6]["n_secrets"] == 0
+    assert got[7]["masked_text"] == f'secret = "{SF.MASK}" and secret = "{SF.MASK}"' and got[8]["n_candidates"] == 5000
+
+
 def test_secrets_held_out_variants(spark):
     """Findings of unseen variants of every template are told apart."""
     trees = SF.train(SF.labelled_findings(spark))
