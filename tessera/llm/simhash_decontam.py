@@ -137,8 +137,8 @@ class Index:
             if not len(hit):
                 continue
             for size, s in self.sizes.items():
-                m = size - width + 1
-                if s["width"] != width or len(sh) < m:
+                m = min(size - width + 1, len(sh))  # a shorter text is its own window
+                if s["width"] != width:
                     continue
                 own = hit[np.isin(sh[hit], s["all"])]
                 if not len(own):

@@ -139,6 +139,30 @@ def test_decontamination_brute_force(spark, make):
     assert SH.find(make(docs), bench.limit(0)).collect() == [] and SH.find(make([]), bench).collect() == []
 
 
+def brute_short(docs, items):
+    """As brute_leaks, with the whole of a text that is shorter than an item as its one window."""
+    idx, words, out = SH.Index(items), SH._Words(), set()
+    for i, t in docs:
+        for item, text in items:
+            w, x = SH.word_hashes(t, words), SH.word_hashes(text, words)
+            width = min(SH.WIDTH, len(x))
+            own, sh, m = np.unique(SH.shingles(x, width)), SH.shingles(w, width), len(x) - width + 1
+            if any(idx._similar(sh[a:a + m], own) >= SH.LEAST - 1e-6 for a in range(max(1, len(sh) - m + 1)) if len(sh)):
+                out.add((i, item))
+    return out
+
+
+def test_decontamination_truncated_items(spark, make):
+    """Items with some words cut off at the start or the end are found, down to the limit."""
+    rnd = random.Random(12)
+    items = [(k, " ".join("".join(rnd.choices("abcdefghijkl", k=4)) for _ in range(50))) for k in range(12)]
+    docs = [(100 * k + 10 * a + b, " ".join(t.split()[a:len(t.split()) - b])) for k, t in items for a in (0, 3) for b in range(10)] + [(5000, "one two"), (5001, None)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    want = brute_short(docs, items)
+    assert {(r["doc_id"], r["item_id"]) for r in SH.find(make(docs), bench).collect()} == want and (5, 0) in want and 150 < len(want) < len(docs)
+    assert SH.clean(make(docs), bench).count() == len(docs) - len(want)
+
+
 def test_decontamination_portions(spark, make, monkeypatch):
     monkeypatch.setattr(SH, "PORTION_BYTES", 40)
     items = [(k, f"alpha{k} beta{k} gamma{k} delta{k} eps{k} zeta{k}") for k in range(5)]
