@@ -2,16 +2,17 @@
 
 Method: a line's quote level is the number of > marks it starts with.  Runs of lines of one
 level are passages; a passage's lines are normalised (marks and outer white space gone, white space
-runs one blank, lower case) and hashed, and the hashes are joined to the message of the same
-conversation that first wrote such a line itself.  A passage is linked to the message that holds the most of
+runs one blank, lower case) and hashed, and the hashes are joined to the earlier messages of the same
+conversation that wrote such lines themselves.  A passage is linked to the message that holds the most of
 its lines (at least half), the latest on a tie.  A message replies to the latest
 message linked at its lowest quoted level.  Threads are the trees of replies; messages are ordered by
 conversation, thread (by its first turn) and turn, so a reply follows what it answers, and their text is left without
 quotations and the lines that introduce them.
 
-Scale: only messages with quotations and their conversations' lines are exploded; a line that a
-conversation repeats is pre-aggregated to its first holder, so the join has one match a key even in a hot
-conversation.  Roots are found by pointer doubling.  All DataFrame expressions.
+Scale: only messages with quotations and their conversations' lines are exploded.  Passages of equal lines are
+looked up once a conversation.  Messages with all lines are found among the holders of the passage's rarest line;
+only passages without such a message join the holders of all their lines.  The latest holder before a turn is a
+running maximum, within slabs of turns and over slabs, so a line that everybody writes and quotes makes no pairs.  Roots are found by pointer doubling.  All DataFrame expressions.
 """
 
 from __future__ import annotations
@@ -39,6 +40,39 @@ def _own(text: Column) -> Column:
     return F.when(text.rlike(r"(?m)" + MARKS), F.transform(F.array(F.split(text, "\n")), keep)[0]).otherwise(text)
 
 
+def _latest(asked: DataFrame, held: DataFrame) -> DataFrame:
+    """``asked`` (conv, c1, c2, turn, ...) with ``best``: the greatest {n, source} of ``held`` with a source before the turn."""
+    c = ["conv", "c1", "c2"]
+    rows = asked.withColumn("best", F.lit(None).cast("struct<n:bigint,source:bigint>")).unionByName(
+        held.select(*c, F.col("source").alias("turn"), F.struct("n", "source").alias("best")), allowMissingColumns=True)
+    rows = rows.withColumn("slab", F.shiftright("turn", 12))
+    run = Window.partitionBy(*c, "slab").orderBy("turn", F.col("best").isNotNull()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    near = rows.withColumn("near", F.max("best").over(run)).where("best is null").drop("best")
+    over = Window.partitionBy(*c).orderBy("slab").rowsBetween(Window.unboundedPreceding, -1)
+    slabs = rows.groupBy(*c, "slab").agg(F.max("best").alias("top")).withColumn("far", F.max("top").over(over)).drop("top")
+    return near.join(slabs, [*c, "slab"]).withColumn("best", F.greatest("near", "far")).select(*asked.columns, "best")
+
+
+def _targets(quoted: DataFrame, holds: DataFrame) -> DataFrame:
+    """(conv, turn, level, source) of the passages in ``quoted`` lines, from the holders (conv, h, h2, source) of lines."""
+    c, line = ["conv", "c1", "c2"], ["conv", "h", "h2"]
+    passages = quoted.groupBy("conv", "turn", "msg", "passage", "level").agg(F.sort_array(F.collect_list(F.struct("h", "h2"))).alias("all"))
+    passages = stored(passages.select("*", F.xxhash64("all").alias("c1"), F.xxhash64("all", F.lit(1)).alias("c2")), "passages")
+    lines = passages.dropDuplicates(c).select(*c, F.size("all").alias("k"), F.explode("all").alias("l")).groupBy(
+        *c, "k", F.col("l.h").alias("h"), F.col("l.h2").alias("h2")).agg(F.count("*").alias("m"))
+    lines = stored(lines, "passage-lines")
+    counts = holds.groupBy(*line).agg(F.count("*").alias("f"))
+    rare = lines.join(counts, line, "left").groupBy(*c).agg(F.min(F.struct(F.coalesce("f", F.lit(0)).alias("f"), "h", "h2")).alias("r"))
+    some = rare.select(*c, "r.h", "r.h2").join(holds, line).select(*c, "source")
+    sums = [F.sum("m").alias("n"), F.first("k").alias("k")]
+    whole = some.join(lines, c).join(holds, [*line, "source"], "left_semi").groupBy(*c, "source").agg(*sums).where("n = k")
+    settled = stored(_latest(passages.drop("all"), whole), "settled")
+    rest = settled.where("best is null").drop("best")
+    part = rest.select(*c).distinct().join(lines, c).join(holds, line).groupBy(*c, "source").agg(*sums).where("n * 2 >= k")
+    done = settled.where("best is not null").unionByName(_latest(rest, stored(part, "part-holders")))
+    return done.select("conv", "turn", "level", F.col("best.source").alias("source"))
+
+
 def link(messages: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text") -> DataFrame:
     """Per message, in reply order: conv, turn, role, own text, quote_depth, n_passages, n_linked, reply_to, thread.
 
@@ -62,14 +96,8 @@ def link(messages: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn",
     convs = quoted.select("conv").distinct()
     own = (keyed.join(convs, "conv", "left_semi").select("conv", "turn", F.explode(F.split(_own(F.col("text")), "\n")).alias("line"))
            .withColumn("norm", _normal(F.col("line"))).where("norm <> ''"))
-    first = own.select("conv", "turn", F.xxhash64("norm").alias("h"), F.xxhash64("norm", F.lit(1)).alias("h2")).groupBy(
-        "conv", "h", "h2").agg(F.min("turn").alias("source"))
-    found = quoted.join(first, ["conv", "h", "h2"], "left").withColumn("source", F.when(F.col("source") < F.col("turn"), F.col("source")))
-    key = ["conv", "turn", "msg", "passage", "level"]
-    votes = found.groupBy(*key, "source").agg(F.count("*").alias("n"))
-    passages = votes.groupBy(*key).agg(F.sum("n").alias("lines"), F.max(F.when(F.col("source").isNotNull(), F.struct("n", "source"))).alias("top"))
-    target = F.when(F.col("top.n") * 2 >= F.col("lines"), F.col("top.source"))
-    passages = passages.select("conv", "turn", "level", target.alias("source"))
+    holds = own.select("conv", F.xxhash64("norm").alias("h"), F.xxhash64("norm", F.lit(1)).alias("h2"), F.col("turn").alias("source")).distinct()
+    passages = _targets(quoted, stored(holds, "holds"))
     replies = passages.groupBy("conv", "turn").agg(
         F.max("level").alias("quote_depth"), F.count("*").alias("n_passages"), F.count("source").alias("n_linked"),
         F.max(F.when(F.col("source").isNotNull(), F.struct((-F.col("level")).alias("near"), "source")))["source"].alias("reply_to"))

@@ -99,6 +99,26 @@ def test_quote_linking(spark):
     assert all(r["own_text"] == t for r in plain for c, n, _, t in rows if (c, n) == (r["conv_id"], r["turn"]) and ">" not in (t or ""))
 
 
+def test_quote_linking_all_holders(spark):
+    """A passage goes to the earlier message with the most of its lines, the latest on a tie, whoever wrote a line first."""
+    rows = [(1, 0, "Hello,"), (1, 1, "Thanks"), (1, 2, "Hello,\nthe body\nThanks"), (1, 3, "> Hello,\n> the body\n> Thanks\nok"),
+            (2, 1, "Yes"), (2, 7, "Yes"), (2, 8, "> Yes\nfine"), (2, 9, "Yes"), (2, 10, "> Yes\n> Yes\n> new")]
+    rnd = random.Random(4)
+    said: dict[int, list] = {}
+    for turn in range(6000):  # two slabs of turns, few lines, so many holders a line
+        n = rnd.randint(1, 5)
+        said[turn] = [rnd.choice("abcdefgh") + str(rnd.choice([0, 0, 0, turn % 50])) for _ in range(n)]
+    quotes = {t: [rnd.choice("abcdefgh") + str(rnd.choice([0, 0, t % 50])) if rnd.random() < 0.3 else x for x in said[rnd.randrange(max(0, t - 5000), t)]]
+              for t in range(1, 6000, 29)}
+    rows += [(3, t, "\n".join(said[t] + ["> " + x for x in quotes.get(t, [])])) for t in said]
+    m = spark.createDataFrame([(c, t, "user", x) for c, t, x in rows], "conv_id long, turn long, role string, text string")
+    got = {(r["conv_id"], r["turn"]): r["reply_to"] for r in QL.link(m).collect()}
+    assert got[1, 3] == 2 and got[2, 8] == 7 and got[2, 10] == 9
+    for t, q in quotes.items():
+        n, best = max((sum(x in said[u] for x in q), u) for u in range(t))
+        assert got[3, t] == (best if 2 * n >= len(q) else None), t
+
+
 def test_shards(make):
     rnd = random.Random(9)
     rows = [(i, rnd.choice([None, "", "é" * 7, f"t{i}"]), "en", "hot" if i % 3 == 0 else rnd.choice(["a", "b", None, "c"])) for i in range(997)]
