@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import fresh, only
+from .common import fresh, only, stored
 
 WIDTH, LEAST = 5, 0.8
 BITS, BLOCKS, RADIUS = 128, 16, 40
@@ -77,9 +77,12 @@ def _signs(h: np.ndarray) -> np.ndarray:
 
 
 class Index:
-    """Benchmark items by size, their fingerprints and the multi-index."""
+    """Benchmark items by size, their fingerprints and the multi-index.
 
-    def __init__(self, items: list[tuple[int, str]]):
+    ``total`` items have words in the whole benchmark, and ``counts`` has the number of items that hold a shingle, where
+    above one; without them, ``items`` are the whole benchmark."""
+
+    def __init__(self, items: list[tuple[int, str]], total: int | None = None, counts: dict[int, int] | None = None):
         words, found = _Words(), []
         for item, text in items:
             w = word_hashes(text, words)
@@ -89,8 +92,8 @@ class Index:
         df: dict[int, int] = {}
         for *_, own, _ in found:
             for x in own.tolist():
-                df[x] = df.get(x, 0) + 1
-        self.top = 1 + math.log(max(1, len(found)))
+                df[x] = df.get(x, 0) + 1 if counts is None else counts.get(x, 1)
+        self.top = 1 + math.log(max(1, len(found) if total is None else total))
         self.weight = {x: self.top - math.log(n) for x, n in df.items()}
         self.known = np.array(sorted(df), np.uint64)
         self.known_weight = np.array([self.weight[x] for x in sorted(df)], np.float32)
@@ -168,18 +171,41 @@ class Index:
                     old[2] += 1
 
 
+def weighed(benchmark: DataFrame, id_col: str, text_col: str) -> tuple[int, DataFrame]:
+    """The number of items with words, and (id, text, common) of them: the shingles that several items hold and how many do."""
+    src = only(benchmark, id_col, text_col).toDF("id", "text").where("id is not null and text is not null")
+
+    def run(batches):
+        words = _Words()
+        for batch in batches:
+            own = []
+            for t in batch.column("text").to_pylist():
+                w = word_hashes(t, words)
+                own.append(np.unique(shingles(w, min(WIDTH, len(w)))).view(np.int64) if len(w) else np.zeros(0, np.int64))
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("text"), pa.array(own, pa.list_(pa.int64()))], names=["id", "text", "own"])
+
+    items = stored(src.mapInArrow(run, f"id {dict(src.dtypes)['id']}, text string, own array<bigint>").where("size(own) > 0"), "benchmark")
+    items = items.withColumn("k", F.sha2("text", 256))
+    several = items.select(F.explode("own").alias("h")).groupBy("h").agg(F.count("*").alias("n")).where("n > 1")
+    common = items.select("k", F.explode("own").alias("h")).distinct().join(several, "h").groupBy("k").agg(F.collect_list(F.struct("h", "n")).alias("common"))
+    return items.count(), stored(items.join(common, "k", "left").select("id", "text", "common"), "weighed")
+
+
 def portions(benchmark: DataFrame, id_col: str, text_col: str):
-    """The benchmark's items, in lists of at most PORTION_BYTES of text (or one item)."""
-    part, size = [], 0
-    for r in only(benchmark, id_col, text_col).toDF("id", "text").where("id is not null and text is not null").toLocalIterator():
+    """Arguments of Index: the benchmark's items, in lists of at most PORTION_BYTES of text (or one item), with the
+    number of all items and the counts of the portion's common shingles."""
+    total, items = weighed(benchmark, id_col, text_col)
+    part, size, counts = [], 0, {}
+    for r in items.toLocalIterator():
         n = len(r["text"].encode("utf-8", "surrogatepass"))
         if part and size + n > PORTION_BYTES:
-            yield part
-            part, size = [], 0
+            yield part, total, counts
+            part, size, counts = [], 0, {}
         part.append((r["id"], r["text"]))
+        counts.update((c["h"] % (1 << 64), c["n"]) for c in r["common"] or [])
         size += n
     if part:
-        yield part
+        yield part, total, counts
 
 
 def find(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id",
@@ -195,9 +221,9 @@ def find(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col
     types = [pa.float64(), pa.int64(), pa.int64()]
     src = only(docs, id_col, text_col).toDF("id", "text")
 
-    def search(items):
+    def search(portion):
         def run(batches):
-            index, words = Index(items), _Words()
+            index, words = Index(*portion), _Words()
             for batch in batches:
                 row, hits = [], []
                 for i, t in enumerate(batch.column("text").to_pylist()):
@@ -212,8 +238,8 @@ def find(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col
         return run
 
     out = docs.sparkSession.createDataFrame([], schema)
-    for n, items in enumerate(portions(benchmark, item_id, item_text)):
-        one = src.mapInArrow(search(items), schema)
+    for n, portion in enumerate(portions(benchmark, item_id, item_text)):
+        one = src.mapInArrow(search(portion), schema)
         out = one if n == 0 else out.unionByName(one)
     return out
 
@@ -223,14 +249,14 @@ def clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_id
     flag = fresh(docs, "__leak")
     schema = T.StructType([*docs.schema.fields, T.StructField(flag, T.BooleanType())])
 
-    def mark(items):
+    def mark(portion):
         def run(batches):
-            index, words = Index(items), _Words()
+            index, words = Index(*portion), _Words()
             for batch in batches:
                 leak = [bool(index.search(t, words)) for t in batch.column(text_col).to_pylist()]
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(leak, pa.bool_())], names=[*batch.schema.names, flag])
         return run
 
-    for items in portions(benchmark, item_id, item_text):
-        docs = docs.mapInArrow(mark(items), schema).where(~F.col(flag)).drop(flag)
+    for portion in portions(benchmark, item_id, item_text):
+        docs = docs.mapInArrow(mark(portion), schema).where(~F.col(flag)).drop(flag)
     return docs

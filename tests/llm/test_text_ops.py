@@ -172,6 +172,21 @@ def test_decontamination_portions(spark, make, monkeypatch):
     assert SH.clean(make(docs + [(9, "none")]), bench).count() == 1
 
 
+def test_decontamination_portions_weigh_alike(spark, make, monkeypatch):
+    """Similarities do not depend on where the borders of portions fall."""
+    rnd = random.Random(3)
+    stock = " ".join(f"stock{j}" for j in range(14))
+    items = [(k, f"{stock} " + " ".join("".join(rnd.choices("abcdef", k=6)) for _ in range(30))) for k in range(12)]
+    docs = [(k, " ".join(x if j != 43 - k % 3 else "other" for j, x in enumerate(t.split()))) for k, t in items]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    found = lambda: {(r["doc_id"], r["item_id"]): round(r["similarity"], 5) for r in SH.find(make(docs), bench).collect()}
+    whole = found()
+    idx = SH.Index(items)
+    assert whole == {(i, k): round(s, 5) for i, t in docs for k, s, *_ in idx.search(t, SH._Words())} and len(whole) == 12
+    monkeypatch.setattr(SH, "PORTION_BYTES", 600)
+    assert found() == whole
+
+
 def test_multi_index_finds_all_within_radius():
     rnd = np.random.default_rng(1)
     a = rnd.integers(0, 256, (200, 16), dtype=np.uint8)
