@@ -172,6 +172,21 @@ def test_decontamination_portions(spark, make, monkeypatch):
     assert SH.clean(make(docs + [(9, "none")]), bench).count() == 1
 
 
+def test_decontamination_repeated_phrases():
+    """Items with repeated shingles are found like in brute force when one word of the phrase is another everywhere."""
+    rnd = random.Random(21)
+    word = lambda: "".join(rnd.choices("abcdefghijkl", k=5))
+    items, docs = [], []
+    for k in range(30):
+        phrase, rest = [word() for _ in range(rnd.randint(8, 12))], [word() for _ in range(44)]
+        items.append((k, " ".join(phrase * 10 + rest)))
+        phrase[4] = word()
+        docs.append((k, " ".join([word(), word(), *phrase * 10, *rest, *phrase * rnd.randint(0, 3), word()])))
+    idx = SH.Index(items)
+    found = {(i, k) for i, t in docs for k, *_ in idx.search(t, SH._Words())}
+    assert found == brute_short(docs, items) and len(found) > 15
+
+
 def test_decontamination_portions_weigh_alike(spark, make, monkeypatch):
     """Similarities do not depend on where the borders of portions fall."""
     rnd = random.Random(3)
