@@ -7,7 +7,10 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import exact_dedup as ED
+from . import merkle as MK
 from . import odd_minhash as OM
+from . import prefix_trie as PT
 from . import quality_rules as QR
 from . import quote_links as QL
 from . import secret_forest as SF
@@ -203,3 +206,97 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = SF.scan(table(spark, sf_dir, "documents"), trees)
     return out.withColumn("masked_sha256", F.sha2(F.coalesce("masked_text", F.lit("")), 256)).withColumn(
         "secrets", F.array_join("secrets", ",")).drop("masked_text")
+
+
+#: crc32 of a decimal number in DuckDB, bit by bit.
+CRC32_SQL = """xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(CAST({} AS VARCHAR), ''), lambda c: ascii(c)::BIGINT)),
+  lambda a, b: list_reduce(list_prepend(xor(a, b), range(8)), lambda c, i: xor(c >> 1, 3988292384 * (c & 1)))))"""
+
+OP11_SQL = f"""
+WITH own AS (
+  SELECT conv_id AS conv, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(octet_length(encode(coalesce(role, ''))) || ':' || coalesce(role, '') || coalesce(text, ''))) AS place,
+    {{'role': coalesce(role, ''), 'text': coalesce(text, '')}} AS turn FROM conversations WHERE conv_id IS NOT NULL),
+convs AS (SELECT DISTINCT conv, conv - conv % 5 AS base, {CRC32_SQL.format('conv')} % 9 AS h FROM own),
+steps AS (
+  SELECT c.conv, 0 AS part, o.place, o.turn FROM convs c JOIN own o ON o.conv = c.base AND o.place <= c.h
+  UNION ALL SELECT c.conv, 1, o.place, o.turn FROM convs c JOIN own o ON o.conv = c.conv AND o.place > c.h),
+seqs AS (SELECT c.conv, coalesce(list(s.turn ORDER BY part, place) FILTER (s.turn IS NOT NULL), []) AS seq FROM convs c LEFT JOIN steps s ON s.conv = c.conv GROUP BY c.conv),
+prefixes AS (SELECT conv, len(seq) AS size, d AS depth, seq[1:d] AS prefix FROM (SELECT conv, seq, unnest(range(len(seq) + 1)) AS d FROM seqs) t),
+node AS (
+  SELECT prefix, depth, min(conv) AS conv_id, count(*) AS n_convs,
+    (count(*) - 1) * CASE WHEN depth = 0 THEN 0 ELSE octet_length(encode(prefix[depth].text)) END AS saved,
+    sha256(coalesce(string_agg(conv, ',' ORDER BY conv) FILTER (size = depth), '')) AS ends_sha256 FROM prefixes GROUP BY prefix, depth),
+family AS (
+  SELECT n.prefix, n.depth, n.conv_id, p.conv_id AS parent_conv_id, n.n_convs, n.saved, n.ends_sha256,
+    (SELECT count(*) FROM node c WHERE c.depth = n.depth + 1 AND c.prefix[1:n.depth] = n.prefix) AS n_children
+  FROM node n LEFT JOIN node p ON p.depth = n.depth - 1 AND n.depth > 0 AND p.prefix = n.prefix[1:n.depth - 1]),
+up AS (SELECT prefix[1:d] AS prefix, d AS depth, saved, n_children FROM (SELECT prefix, saved, n_children, unnest(range(depth + 1)) AS d FROM family) t),
+sums AS (SELECT prefix, depth, sum(saved) AS saved_tokens, count(*) FILTER (n_children = 0) AS n_leaves FROM up GROUP BY prefix, depth)
+SELECT f.conv_id, CAST(f.depth AS BIGINT) AS depth, f.parent_conv_id, f.n_convs, f.n_children, s.n_leaves, CAST(s.saved_tokens AS BIGINT) AS saved_tokens, f.ends_sha256
+FROM family f JOIN sums s ON s.prefix = f.prefix AND s.depth = f.depth"""
+
+
+@register("op11_prefix_trie", OP11_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nodes of the trie of all rebuilt conversations."""
+    return PT.trie(table(spark, sf_dir, "conversations"), share=5, longest=9)
+
+
+OP12_SQL = r"""
+WITH t AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS text FROM documents)
+SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id IS NOT DISTINCT FROM min(doc_id) OVER w AS kept, sha256(text) AS text_sha256
+FROM t WINDOW w AS (PARTITION BY text)"""
+
+
+@register("op12_exact_dedup", OP12_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Classes of equal texts of all documents."""
+    return ED.classes(table(spark, sf_dir, "documents"))
+
+
+_MANIFEST = ["doc_id", "source", "lang", "n_chars", "text"]
+_ENC = "CASE WHEN {0} IS NULL THEN '-' ELSE octet_length(encode(CAST({0} AS VARCHAR))) || ':' || CAST({0} AS VARCHAR) END"
+
+
+def _op13_sql() -> str:
+    head = " || ".join(_ENC.format(c) for c in _MANIFEST[:-1])
+
+    def tree(name: str, start: str) -> str:
+        return f"""{name}(src, lvl, pos, n, h) AS ({start}
+  UNION ALL SELECT src, lvl + 1, pos // 3, (n + 2) // 3, sha256(string_agg(h, '' ORDER BY pos)) FROM {name} WHERE n > 1 GROUP BY src, lvl, pos // 3, n),
+{name}_side AS (
+  SELECT a.src, a.lvl, a.pos, coalesce(string_agg(b.h, '' ORDER BY b.pos) FILTER (b.pos < a.pos), '') AS l, coalesce(string_agg(b.h, '' ORDER BY b.pos) FILTER (b.pos > a.pos), '') AS r
+  FROM {name} a JOIN {name} b ON b.src = a.src AND b.lvl = a.lvl AND b.pos // 3 = a.pos // 3 WHERE a.n > 1 GROUP BY a.src, a.lvl, a.pos)"""
+    return f"""
+WITH RECURSIVE leaf AS (
+  SELECT row_number() OVER () AS row, doc_id, CASE WHEN source IS NULL THEN '' ELSE '+' || source END AS src, sha256({head} || {_ENC.format('text')}) AS leaf,
+    CASE WHEN {CRC32_SQL.format('doc_id')} % 2 = 0 THEN sha256({head} || {_ENC.format("replace(text, chr(10), '')")}) ELSE sha256({head} || {_ENC.format('text')}) END AS seen FROM documents),
+placed AS (SELECT *, row_number() OVER (PARTITION BY src ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY src) AS n FROM leaf),
+{tree('low', 'SELECT src, 0::BIGINT, pos, n, leaf FROM placed')},
+subroots AS (SELECT src, h AS subroot, row_number() OVER (ORDER BY src) - 1 AS pos, count(*) OVER () AS n FROM low WHERE n = 1),
+{tree('high', "SELECT '', 0::BIGINT, pos, n, subroot FROM subroots")},
+walk(row, src, up, lvl, pos, proof, h) AS (
+  SELECT row, src, false, 0::BIGINT, pos, '', seen FROM placed
+  UNION ALL
+  SELECT w.row, w.src, w.up OR l.pos IS NULL, CASE WHEN w.up OR l.pos IS NOT NULL THEN w.lvl + 1 ELSE 0 END,
+    CASE WHEN w.up OR l.pos IS NOT NULL THEN w.pos // 3 ELSE s.pos END,
+    w.proof || coalesce(CASE WHEN w.up THEN u.l || u.r ELSE l.l || l.r END, ''),
+    CASE WHEN w.up THEN sha256(u.l || w.h || u.r) WHEN l.pos IS NOT NULL THEN sha256(l.l || w.h || l.r) ELSE w.h END
+  FROM walk w LEFT JOIN low_side l ON NOT w.up AND l.src = w.src AND l.lvl = w.lvl AND l.pos = w.pos
+    LEFT JOIN high_side u ON w.up AND u.lvl = w.lvl AND u.pos = w.pos JOIN subroots s ON s.src = w.src
+  WHERE NOT w.up OR u.pos IS NOT NULL),
+ended AS (SELECT row, arg_max(proof, up::INT * 1000 + lvl) AS proof, arg_max(h, up::INT * 1000 + lvl) AS h FROM walk GROUP BY row)
+SELECT p.doc_id, p.leaf, s.subroot, r.h AS root, sha256(e.proof) AS proof_sha256, e.h AS folded_root, e.h = r.h AS verified
+FROM placed p JOIN subroots s ON s.src = p.src JOIN ended e ON e.row = p.row CROSS JOIN (SELECT h FROM high WHERE n = 1) r"""
+
+
+@register("op13_merkle_witnesses", _op13_sql())
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, roots and witness of every document, and the root that a tampered text folds to."""
+    docs = table(spark, sf_dir, "documents").select(*_MANIFEST)
+    tampered = (F.crc32(F.col("doc_id").cast("string")) % 2 == 0) & F.col("text").isNotNull()
+    leaves = docs.withColumn("leaf", MK.leaf_hash(*_MANIFEST)).withColumn("text", F.when(tampered, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text")))
+    leaves = leaves.withColumn("seen", MK.leaf_hash(*_MANIFEST)).select("doc_id", "source", "leaf", "seen")
+    out = MK.manifest(leaves).withColumn("folded_root", MK.folded("seen"))
+    return out.select("doc_id", "leaf", "subroot", "root", F.sha2(MK.proof(), 256).alias("proof_sha256"), "folded_root",
+                      (F.col("folded_root") == F.col("root")).alias("verified"))
