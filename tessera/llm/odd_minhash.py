@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import only, stored
+from .common import only, portions, released, stored
 from .components import components
 
 ROWS, BANDS = 4, 40
@@ -36,17 +36,10 @@ SKETCH_BITS, SET_BITS = 512, 1024
 LEAST_ESTIMATE = 0.55
 #: Largest XOR population count whose estimate 1 + n/(4k) ln(1 - 2x/n) reaches LEAST_ESTIMATE.
 MOST_FLIPS = int(SKETCH_BITS / 2 * (1 - np.exp(-4 * SAMPLES * (1 - LEAST_ESTIMATE) / SKETCH_BITS)))
-WORD_CACHE = 400_000
 #: Members of a bucket (on average) that are compared with each other in one group.
 CHUNK = 1024
 
 
-class _Words(dict):
-    def __missing__(self, w):
-        v = self[w] = xxhash.xxh3_64_intdigest(w)
-        return v
-
-
 @lru_cache(maxsize=1)
 def _tables():
     rng = np.random.default_rng(20240229)
@@ -66,7 +59,7 @@ def _mix(h: np.ndarray) -> np.ndarray:
     return h
 
 
-def shingle_hashes(text: str | None, width: int, words: dict) -> np.ndarray:
+def shingle_hashes(text: str | None, width: int) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the ``width``-word shingles of a text (A-Z
     lower-cased); a text of fewer words is one shingle, one without words none."""
     if not text:
@@ -74,9 +67,7 @@ def shingle_hashes(text: str | None, width: int, words: dict) -> np.ndarray:
     toks = text.encode("utf-8", "surrogatepass").lower().split()
     if not toks:
         return np.zeros(0, np.uint64)
-    if len(words) > WORD_CACHE:
-        words.clear()
-    w = np.fromiter(map(words.__getitem__, toks), np.uint64, len(toks))
+    w = np.fromiter(map(xxhash.xxh3_64_intdigest, toks), np.uint64, len(toks))
     odd = _tables()[3]
     k = min(width, len(w))
     n = len(w) - k + 1
@@ -122,11 +113,10 @@ def set_sketch(h: np.ndarray) -> np.ndarray:
 
 def _features(width: int):
     def run(batches):
-        words = _Words()
-        for batch in batches:
+        for batch in portions(batches):
             n, k1, k2, bands, sketch, whole = [], [], [], [], [], []
             for text in batch.column("text").to_pylist():
-                h = shingle_hashes(text, width, words)
+                h = shingle_hashes(text, width)
                 d = xxhash.xxh3_128_intdigest(h.tobytes())
                 n.append(len(h))
                 k1.append((d >> 64) - (1 << 63))
@@ -145,16 +135,15 @@ def _features(width: int):
                 [batch.column("id"), pa.array(n, pa.int64()), pa.array(k1, pa.int64()), pa.array(k2, pa.int64()),
                  pa.array(bands, arr), pa.array(sketch, arr), pa.array(whole, arr)],
                 names=["id", "n", "k1", "k2", "bands", "sketch", "whole"])
-    return run
+    return released(run)
 
 
 def _sets(width: int):
     def run(batches):
-        words = _Words()
-        for batch in batches:
-            s = [shingle_hashes(t, width, words).view(np.int64) for t in batch.column("text").to_pylist()]
+        for batch in portions(batches):
+            s = [shingle_hashes(t, width).view(np.int64) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(s, pa.list_(pa.int64()))], names=["id", "s"])
-    return run
+    return released(run)
 
 
 def _confirm(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:

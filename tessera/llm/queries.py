@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from typing import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,8 +23,8 @@ from . import trie_bpe as TB
 from . import url_logit as UL
 from .common import table
 
-#: Where the public vocabulary files are (a parameter; never copied into the repository).
-BPE_VOCABULARY = "/opt/tokenizers/byte_bpe_50k.json"
+#: The public vocabulary file of the installed package (a parameter; never copied into the repository).
+BPE_VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}

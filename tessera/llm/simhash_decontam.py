@@ -28,12 +28,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import fresh, only, stored
+from .common import fresh, only, released, stored
+from .common import portions as slices
 
 WIDTH, LEAST = 5, 0.8
 BITS, BLOCKS, RADIUS = 128, 16, 40
 PORTION_BYTES = 16 << 20
-WORD_CACHE = 400_000
+WORD_CACHE = 100_000
 STARTS = 4096
 _TRIM = regex.compile(r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$")
 _POP = np.array([bin(i).count("1") for i in range(256)], np.uint8)
@@ -241,7 +242,7 @@ def find(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col
     def search(portion):
         def run(batches):
             index, words = Index(*portion), _Words()
-            for batch in batches:
+            for batch in slices(batches):
                 row, hits = [], []
                 for i, t in enumerate(batch.column("text").to_pylist()):
                     for h in index.search(t, words):
@@ -252,7 +253,7 @@ def find(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col
                     [batch.column("id").take(pa.array(row, pa.int64())), pa.array(cols[0], pa.int64()),
                      *[pa.array(c, t) for c, t in zip(cols[1:], types)]],
                     names=[id_col, item_id, "similarity", "first_word", "n_windows"])
-        return run
+        return released(run)
 
     out = docs.sparkSession.createDataFrame([], schema)
     for n, portion in enumerate(portions(benchmark, item_id, item_text)):
@@ -269,10 +270,10 @@ def clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_id
     def mark(portion):
         def run(batches):
             index, words = Index(*portion), _Words()
-            for batch in batches:
+            for batch in slices(batches, text_col):
                 leak = [bool(index.search(t, words)) for t in batch.column(text_col).to_pylist()]
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(leak, pa.bool_())], names=[*batch.schema.names, flag])
-        return run
+        return released(run)
 
     for portion in portions(benchmark, item_id, item_text):
         docs = docs.mapInArrow(mark(portion), schema).where(~F.col(flag)).drop(flag)

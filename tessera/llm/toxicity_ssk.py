@@ -28,14 +28,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import fresh, only
+from .common import fresh, only, portions, released
 
 #: Bounds of the training sample: labelled documents a class, units a kind.
 MAX_DOCS, MAX_UNITS = 4000, 3000
 LANDMARKS, DECAY, POWER, TOP = 48, 0.7, 4, 3
-UNIT_CACHE = 1_000_000
-#: Units kept between batches where a worker also serves other stages.
-STAGE_CACHE = 200_000
+#: Units of a generation whose decisions a worker remembers: a full one becomes the older one, which is then forgotten.
+UNIT_CACHE = 150_000
 _TRIM = regex.compile(r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$")
 
 
@@ -240,36 +239,34 @@ def _svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, c: float = 200.0, rou
     return v
 
 
-_CACHE: dict[str, dict[str, float]] = {}
+#: Key of the model, and the decisions of the units met lately, in two generations.
+_MEMORY: dict = {"key": None, "new": {}, "old": {}}
+
+
+def _forget() -> None:
+    _MEMORY.update(key=None, new={}, old={})
 
 
 def _tops(texts: list[str | None], model: dict) -> np.ndarray:
     """The TOP highest unit decisions of each text; texts with fewer units get the lowest."""
-    if model["key"] not in _CACHE:
-        _CACHE.clear()
-    known = _CACHE.setdefault(model["key"], {})
+    if _MEMORY["key"] != model["key"]:
+        _MEMORY.update(key=model["key"], new={}, old={})
     out = np.full((len(texts), TOP), -3.0, np.float64)
-    part: list[tuple[int, set]] = []
-
-    def flush():
-        new = list(set().union(*(u for _, u in part)) - known.keys())
-        if len(known) + len(new) > UNIT_CACHE:
-            known.clear()
-            new = list(set().union(*(u for _, u in part)))
-        known.update(zip(new, decisions(new, model).tolist()))
-        for i, u in part:
-            best = sorted(map(known.__getitem__, u), reverse=True)[:TOP]
-            out[i, :len(best)] = best
-        part.clear()
-
-    size = 0
-    for i, t in enumerate(texts):
-        part.append((i, set(units(t))))
-        size += len(t or "")
-        if size > 4_000_000:
-            flush()
-            size = 0
-    flush()
+    if len(_MEMORY["new"]) > UNIT_CACHE:
+        _MEMORY.update(new={}, old=_MEMORY["new"])
+    known, old = _MEMORY["new"], _MEMORY["old"]
+    held = [set(units(t)) for t in texts]
+    missing = []
+    for u in set().union(*held) - known.keys() if held else ():
+        d = old.get(u)
+        if d is None:
+            missing.append(u)
+        else:
+            known[u] = d
+    known.update(zip(missing, decisions(missing, model).tolist()))
+    for i, u in enumerate(held):
+        best = sorted(map(known.__getitem__, u), reverse=True)[:TOP]
+        out[i, :len(best)] = best
     return np.clip(out, -3, 3)
 
 
@@ -302,7 +299,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     rows = only(docs, id_col, text_col).toDF("id", "text").where("text is not null").join(F.broadcast(picked), "id").select("y", "text")
 
     def unit_sets(batches):
-        for batch in batches:
+        for batch in portions(batches):
             y, u = [], []
             for label, t in zip(batch.column("y").to_pylist(), batch.column("text").to_pylist()):
                 for w in set(units(t)):
@@ -352,7 +349,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     model["key"] = uuid.uuid4().hex
 
     def tops(batches):
-        for batch in batches:
+        for batch in portions(batches):
             x = _tops(batch.column("text").to_pylist(), model)
             yield pa.RecordBatch.from_arrays([batch.column("y"), *[pa.array(x[:, j]) for j in range(TOP)]],
                                              names=["y", *[f"x{j}" for j in range(TOP)]])
@@ -374,7 +371,7 @@ def score(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str =
     kind = dict(docs.dtypes)[id_col]
 
     def run(batches):
-        for batch in batches:
+        for batch in portions(batches):
             p = _probability(batch.column("text").to_pylist(), model)
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(p, pa.float64())], names=["id", "score"])
 
@@ -387,14 +384,11 @@ def keep_clean(docs: DataFrame, model: dict, threshold: float, text_col: str = "
     schema = T.StructType([*docs.schema.fields, T.StructField(flag, T.DoubleType())])
 
     def run(batches):
-        for batch in batches:
+        for batch in portions(batches, text_col):
             p = _probability(batch.column(text_col).to_pylist(), model)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(p, pa.float64())], names=[*batch.schema.names, flag])
-            if len(_CACHE.get(model["key"], ())) > STAGE_CACHE:
-                _CACHE.clear()
-        _CACHE.clear()  # a worker that goes on with other stages does not hold it
 
-    return docs.mapInArrow(run, schema).where(F.col(flag) < threshold).drop(flag)
+    return docs.mapInArrow(released(run, _forget), schema).where(F.col(flag) < threshold).drop(flag)
 
 
 def held_out(id_col: str = "doc_id"):

@@ -21,7 +21,7 @@ def test_stages_in_order(spark, tmp_path):
     before = {r["doc_id"]: r["text"] for r in pq.read_table(f"{SF_SMALL}/documents.parquet").to_pylist()}
     tox, near, dec, sec = seen
     assert set(tox) < set(before) and set(near) <= set(tox) and set(dec) <= set(near) and set(sec) == set(dec)
-    sets = {i: OM.shingle_hashes(t, 5, OM._Words()).tolist() for i, t in near.items()}
+    sets = {i: OM.shingle_hashes(t, 5).tolist() for i, t in near.items()}
     ids = sorted(sets)
     for a, i in enumerate(ids):  # nothing left is a near copy of anything left
         x = set(sets[i])
