@@ -33,6 +33,8 @@ from .common import fresh, only, portions, released
 #: Bounds of the training sample: labelled documents a class, units a kind.
 MAX_DOCS, MAX_UNITS = 4000, 3000
 LANDMARKS, DECAY, POWER, TOP = 48, 0.7, 4, 3
+#: A bad unit is at least so sure, as a share of the surest.
+LEAST_SURE = 0.25
 #: Units of a generation whose decisions a worker remembers: a full one becomes the older one, which is then forgotten.
 UNIT_CACHE = 150_000
 _TRIM = regex.compile(r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$")
@@ -172,11 +174,16 @@ def similarities(words: list[str], marks: Landmarks):
         yield pos, k ** POWER
 
 
-def _bad(a, b, n_toxic: int, n_clean: int):
-    """Units that toxic documents hold far more often, and how surely."""
-    odds = np.log((a + 0.5) / (n_toxic + 1)) - np.log((b + 0.5) / (n_clean + 1))
-    z = odds / np.sqrt(1 / (a + 0.5) + 1 / (b + 0.5))
-    return (odds > 1.5) & (z > 2.5) & (a >= 3), z
+def _sureness(a, b, n_toxic: int, n_clean: int):
+    """How surely a unit goes with toxic documents: the root of the likelihood ratio of its 2 x 2 table of documents.  Unlike
+    an odds ratio's error, it grows with a unit that no clean document holds."""
+    def cell(held, n, share):
+        return F.when(held > 0, held * F.log(held / (n * share))).otherwise(0.0)
+
+    n = n_toxic + n_clean
+    there, away = a + b, F.lit(n) - a - b
+    g = sum((cell(o, m, k / n) for o, m, k in ((a, there, n_toxic), (b, there, n_clean), (F.lit(n_toxic) - a, away, n_toxic), (F.lit(n_clean) - b, away, n_clean))), F.lit(0.0))
+    return F.sqrt(F.greatest(2 * g, F.lit(0.0)))
 
 
 def choose_marks(words: list[str], z: np.ndarray, most: int) -> list[str]:
@@ -314,15 +321,14 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     n = {r["y"]: r["n"] for r in rows.groupBy("y").agg(F.count("*").alias("n")).collect()}
     n1, n0 = n.get(1, 0), n.get(0, 0)
     odds = F.log((F.col("a") + 0.5) / (n1 + 1)) - F.log((F.col("b") + 0.5) / (n0 + 1))
-    z = odds / F.sqrt(1 / (F.col("a") + 0.5) + 1 / (F.col("b") + 0.5))
-    is_bad = (odds > 1.5) & (z > 2.5) & (F.col("a") >= 3)  # as in _bad
-    top = counts.where(is_bad).orderBy(F.desc(z), "u").limit(MAX_UNITS // 3).collect()
+    z = _sureness(F.col("a"), F.col("b"), max(n1, 1), max(n0, 1))
+    likely = (odds > 1.5) & (z > 2.5) & (F.col("a") >= 3)
+    # words of a few copied toxic documents are far less sure than insults, which many documents hold
+    surest = counts.where(likely).agg(F.max(z)).first()[0] or 0.0
+    is_bad = likely & (z >= LEAST_SURE * surest)
+    top = counts.where(is_bad).select("u", "a", z.alias("z")).orderBy(F.desc("z"), "u").limit(MAX_UNITS // 3).collect()
     bad = [(r["u"], r["a"]) for r in top]
-    if top:
-        _, sure = _bad(*np.array([[r["a"], r["b"]] for r in top], np.float64).T, n1, n0)
-        marks = choose_marks([w for w, _ in bad], sure, LANDMARKS * 3 // 4)
-    else:
-        marks = []
+    marks = choose_marks([w for w, _ in bad], np.array([r["z"] for r in top]), LANDMARKS * 3 // 4)
     clean: list[tuple[str, int]] = []
     if marks:
         held = Landmarks(marks)
