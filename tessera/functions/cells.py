@@ -10,7 +10,7 @@ tests on signed longs are still correct).
 Coverings of literal query regions are computed on the driver (one small
 region), by recursive subdivision of the six face cells with a conservative
 lat/lon bound per cell: the result is a superset, and an exact test always
-follows.  Coverings of layer rows (lines, polygons) run in an Arrow UDF.
+follows.  Coverings of layer rows and large regions are columns and rows (``cover``).
 """
 
 from __future__ import annotations
@@ -18,12 +18,10 @@ from __future__ import annotations
 import math
 from functools import lru_cache
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from .geometry import Geom, _c, record_to_geom
+from .geometry import Geom, _c
 
 MAX_LEVEL = 30
 MAX_SIZE = 1 << MAX_LEVEL
@@ -79,11 +77,26 @@ def _st_to_ij(s: Column) -> Column:
     return F.least(F.greatest(F.floor(s * F.lit(float(MAX_SIZE))), F.lit(0)), F.lit(MAX_SIZE - 1)).cast("long")
 
 
+def leaf_of_ij(face, i, j) -> Column:
+    """The leaf cell at (i, j) of a face: eight 4-bit chunks through the lookup table built from the rule."""
+    tbl = F.array(*[F.lit(int(t)) for t in _lookup_pos()])
+    init = F.struct(F.lit(0).cast("long").alias("p"), face.cast("long").bitwiseAND(F.lit(1)).alias("o"))
+
+    def step(acc, k):
+        idx = (_shl(_shr(i, k * 4).bitwiseAND(F.lit(15)), F.lit(6))
+               .bitwiseOR(_shl(_shr(j, k * 4).bitwiseAND(F.lit(15)), F.lit(2)))
+               .bitwiseOR(acc["o"]))
+        return _let(F.element_at(tbl, (idx + 1).cast("int")).cast("long"), lambda b: F.struct(
+            acc["p"].bitwiseOR(_shl(_shr(b, F.lit(2)), k * 8)).alias("p"), b.bitwiseAND(F.lit(3)).alias("o")))
+
+    pos = F.aggregate(F.sequence(F.lit(7), F.lit(0), F.lit(-1)), init, step)["p"]
+    return F.shiftleft(face.cast("long"), 61).bitwiseOR(F.shiftleft(pos, 1)).bitwiseOR(F.lit(1))
+
+
 def leaf_cell(lat, lon) -> Column:
     """S2 leaf cell id (level 30) as a signed 64-bit long."""
     la, lo = F.radians(_c(lat).cast("double")), F.radians(_c(lon).cast("double"))
     xyz = F.struct((F.cos(la) * F.cos(lo)).alias("x"), (F.cos(la) * F.sin(lo)).alias("y"), F.sin(la).alias("z"))
-    tbl = F.array(*[F.lit(int(t)) for t in _lookup_pos()])
 
     def with_face(p):
         x, y, z = p["x"], p["y"], p["z"]
@@ -101,21 +114,7 @@ def leaf_cell(lat, lon) -> Column:
              .when(face == 3, y / x).when(face == 4, -x / y).otherwise(-x / z))
         ij = F.struct(_let(u, lambda uu: _st_to_ij(_uv_to_st(uu))).alias("i"),
                       _let(v, lambda vv: _st_to_ij(_uv_to_st(vv))).alias("j"))
-        return _let(ij, lambda q: hilbert(face, q["i"], q["j"]))
-
-    def hilbert(face, i, j):
-        # eight 4-bit (i, j) chunks through the lookup table built from the rule
-        init = F.struct(F.lit(0).cast("long").alias("p"), face.cast("long").bitwiseAND(F.lit(1)).alias("o"))
-
-        def step(acc, k):
-            idx = (_shl(_shr(i, k * 4).bitwiseAND(F.lit(15)), F.lit(6))
-                   .bitwiseOR(_shl(_shr(j, k * 4).bitwiseAND(F.lit(15)), F.lit(2)))
-                   .bitwiseOR(acc["o"]))
-            return _let(F.element_at(tbl, (idx + 1).cast("int")).cast("long"), lambda b: F.struct(
-                acc["p"].bitwiseOR(_shl(_shr(b, F.lit(2)), k * 8)).alias("p"), b.bitwiseAND(F.lit(3)).alias("o")))
-
-        pos = F.aggregate(F.sequence(F.lit(7), F.lit(0), F.lit(-1)), init, step)["p"]
-        return F.shiftleft(face.cast("long"), 61).bitwiseOR(F.shiftleft(pos, 1)).bitwiseOR(F.lit(1))
+        return _let(ij, lambda q: leaf_of_ij(face, q["i"], q["j"]))
 
     cid = _let(xyz, with_face)
     return F.when(_c(lat).isNotNull() & _c(lon).isNotNull(), cid)
@@ -283,18 +282,43 @@ def cell_rect_py(cid: int) -> tuple[float, float, float, float]:
     lat1, lat2 = max(-90.0, lat1 - pad_lat), min(90.0, lat2 + pad_lat)
     if face in (2, 5) and u0 <= 0 <= u1 and v0 <= 0 <= v1:  # holds a pole
         return -180.0, (lat1 if face == 2 else -90.0), 180.0, (90.0 if face == 2 else lat2)
+    # a corner on the antimeridian counts on the side of the cell's middle
+    lons = [lon + 360.0 * round((lons[4] - lon) / 360.0) for lon in lons]
     lon1, lon2 = min(lons), max(lons)
-    if lon2 - lon1 > 180.0:  # crosses the antimeridian
+    if lon1 < -180.000001 or lon2 > 180.000001:  # crosses the antimeridian
         return -180.0, lat1, 180.0, lat2
     pad_lon = (lon2 - lon1) * 0.05 + 1e-9
     return lon1 - pad_lon, lat1, lon2 + pad_lon, lat2
 
 
+def _clips(e, x1: float, y1: float, x2: float, y2: float) -> bool:
+    """Whether an edge of a literal region enters a closed rectangle."""
+    lo, hi = 0.0, 1.0
+    for p, d, a, b in ((e[0], e[2] - e[0], x1, x2), (e[1], e[3] - e[1], y1, y2)):
+        if d == 0:
+            if not a <= p <= b:
+                return False
+        else:
+            lo, hi = max(lo, min((a - p) / d, (b - p) / d)), min(hi, max((a - p) / d, (b - p) / d))
+    return lo <= hi
+
+
+def _holds(region: Geom, x: float, y: float) -> bool:
+    """Ray parity of a place in a literal area."""
+    return sum((b > y) != (d > y) and x < a + (y - b) * (c - a) / (d - b) for a, b, c, d in region.edges()) % 2 == 1
+
+
+def _meets_rect(region: Geom, x1: float, y1: float, x2: float, y2: float) -> bool:
+    if any(x1 <= x <= x2 and y1 <= y <= y2 for part in region.parts for ring in part for x, y in ring):
+        return True
+    return any(_clips(e, x1, y1, x2, y2) for e in region.edges()) or (region.dimension == 2 and _holds(region, x1, y1))
+
+
 FACE_CELLS = tuple(_signed((f << 61) | (1 << 60)) for f in range(6))
 
 
 def covering(region: Geom, level: int, min_level: int | None = None, max_cells: int | None = None,
-             exact_test: bool = True) -> list[int]:
+             exact_test: bool = True, grow: float = 0.0) -> list[int]:
     """Cells covering a literal region.
 
     * ``min_level=None``: every cell is at ``level`` (C03 / C04).
@@ -303,18 +327,18 @@ def covering(region: Geom, level: int, min_level: int | None = None, max_cells:
     * ``max_cells``: when the covering at ``level`` would be larger, cells are
       coarsened (never dropped): still a superset, and the exact test after the
       read handles the extra rows.
+    * ``grow``: the cells within so many degrees of the region (in both directions).
     """
-    from .exact import predicate
-
     x1, y1, x2, y2 = region.envelope()
 
     def hits(cid):
         cx1, cy1, cx2, cy2 = cell_rect_py(cid)
+        cx1, cy1, cx2, cy2 = cx1 - grow, cy1 - grow, cx2 + grow, cy2 + grow
         if cx1 > x2 or cx2 < x1 or cy1 > y2 or cy2 < y1:
             return False
         if not exact_test or region.kind == "Point" or region.is_rectangle():
             return True
-        return predicate("intersects", Geom.box(cx1, cy1, cx2, cy2), region)
+        return _meets_rect(region, cx1, cy1, cx2, cy2)
 
     def inside(cid):
         if region.dimension != 2:
@@ -322,7 +346,8 @@ def covering(region: Geom, level: int, min_level: int | None = None, max_cells:
         cx1, cy1, cx2, cy2 = cell_rect_py(cid)
         if region.is_rectangle():
             return x1 <= cx1 and cx2 <= x2 and y1 <= cy1 and cy2 <= y2
-        return predicate("within", Geom.box(cx1, cy1, cx2, cy2), region)
+        # no edge enters the rectangle and a corner is inside
+        return not any(_clips(e, cx1, cy1, cx2, cy2) for e in region.edges()) and _holds(region, cx1, cy1)
 
     out: list[int] = []
     frontier = [c for c in FACE_CELLS if hits(c)]
@@ -380,31 +405,6 @@ def in_ranges(cell, ranges: list[tuple[int, int]], computed: bool = False) -> Co
     return test(_c(cell))
 
 
-# --------------------------------------------------------------------------
-# row coverings (Arrow UDF): lines and polygons of a layer
-# --------------------------------------------------------------------------
-def covering_udf(level: int, max_cells: int = 1000):
-    """UDF(geometry) -> array<long> of cells at ``level``.  Points get their
-    single cell; rows whose covering would pass ``max_cells`` get a coarser
-    covering (still a superset) instead of being dropped."""
-
-    @F.pandas_udf(T.ArrayType(T.LongType()))
-    def _udf(g: pd.DataFrame) -> pd.Series:
-        out = []
-        for rec in g.to_dict("records"):
-            geo = record_to_geom(rec) if rec.get("kind") is not None else None
-            if geo is None:
-                out.append(None)
-            elif geo.kind == "Point":
-                x, y = geo.parts[0][0][0]
-                out.append([parent_py(leaf_cell_py(y, x), level)])
-            else:
-                out.append(covering(geo, level, max_cells=max_cells))
-        return pd.Series(out, dtype=object)
-
-    return _udf
-
-
 def with_leaf_cell(df, lat: str, lon: str, out: str = "cell"):
     """C01 as a DataFrame step: the same arithmetic as ``leaf_cell``, but
     every intermediate is a column of its own projection, so the whole chain

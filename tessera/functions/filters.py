@@ -163,14 +163,6 @@ def is_nil(a) -> Column:
 
 
 # F10 ----------------------------------------------------------------------
-def decode_fid(fid_col, type_name: str, pk_type: str = "long") -> Column:
-    """``<type>.<pk>`` -> typed pk, or null when the id does not decode."""
-    c = _c(fid_col)
-    prefix = type_name + "."
-    raw = F.when(c.startswith(prefix), F.substring(c, len(prefix) + 1, 1 << 30)).otherwise(c)
-    return raw.try_cast(pk_type)
-
-
 def id_filter(pk: str, fids: Iterable[Any], type_name: str | None = None, pk_type: str = "long") -> Column:
     """Feature-id set filter for a literal (small) set of ids; undecodable ids
     are dropped first.  Large id sets: use ``id_semi_join``."""
@@ -209,12 +201,17 @@ def composite_id_filter(pks: Sequence[str], fids: Iterable[str], type_name: str
     return any_of(*alts)
 
 
-def id_semi_join(df: DataFrame, pk: str, ids: DataFrame, id_col: str = "fid", type_name: str | None = None,
-                 pk_type: str = "long") -> DataFrame:
-    """Id filter for many ids held in a DataFrame: a left-semi join, so the id
-    set is shuffled / broadcast by Spark instead of inlined in the plan."""
-    dec = ids.select(decode_fid(id_col, type_name or "", pk_type).alias("__pk")).where(F.col("__pk").isNotNull())
-    return df.join(dec, df[pk] == dec["__pk"], "left_semi")
+def id_semi_join(df: DataFrame, pk: str | Sequence[str], ids: DataFrame, id_col: str = "fid", type_name: str | None = None,
+                 pk_type: str | Sequence[str] = "long") -> DataFrame:
+    """Id filter for many ids held in a DataFrame, with a key of one or several columns: a left-semi join on all of them, so
+    the id set is shuffled / broadcast by Spark instead of inlined in the plan.  Ids that do not decode are dropped."""
+    from ..operators.projection import decode_fid as decode
+
+    pks = [pk] if isinstance(pk, str) else list(pk)
+    types = [pk_type] * len(pks) if isinstance(pk_type, str) else list(pk_type)
+    dec = ids.select(decode(id_col, type_name or "", types, strict=False).alias("__pk")).where(F.col("__pk").isNotNull()).select(
+        *[F.col("__pk")[f"pk{i}"].alias(f"__pk{i}") for i in range(len(pks))])
+    return df.join(dec, [df[k] == dec[f"__pk{i}"] for i, k in enumerate(pks)], "left_semi")
 
 
 # F12 / F13 -----------------------------------------------------------------

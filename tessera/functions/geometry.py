@@ -155,13 +155,17 @@ def box(x1, y1, x2, y2) -> Column:
 
 def from_parts(kind, parts) -> Column:
     """Geometry column from a kind column and a parts array; envelope computed natively."""
-    parts = _c(parts)
-    pts = F.flatten(F.flatten(parts))
-    xs = F.transform(pts, lambda p: p["x"])
-    ys = F.transform(pts, lambda p: p["y"])
-    return F.when(parts.isNotNull() & (F.size(pts) > 0), F.struct(
-        _c(kind).alias("kind"), F.array_min(xs).alias("minx"), F.array_min(ys).alias("miny"),
-        F.array_max(xs).alias("maxx"), F.array_max(ys).alias("maxy"), parts.alias("parts")))
+    def once(value, fn):  # the array is worked out once, however often the envelope is asked for
+        return F.get(F.transform(F.array(value), fn), F.lit(0))
+
+    def known(p):
+        xs, ys = F.transform(p["all"], lambda q: q["x"]), F.transform(p["all"], lambda q: q["y"])
+        return F.when(F.size(p["all"]) > 0, F.struct(
+            p["kind"].alias("kind"), F.array_min(xs).alias("minx"), F.array_min(ys).alias("miny"),
+            F.array_max(xs).alias("maxx"), F.array_max(ys).alias("maxy"), p["parts"].alias("parts")))
+
+    given = F.struct(_c(kind).alias("kind"), _c(parts).alias("parts"))
+    return once(given, lambda g: once(F.struct(g["kind"].alias("kind"), g["parts"].alias("parts"), F.flatten(F.flatten(g["parts"])).alias("all")), known))
 
 
 def line2(x1, y1, x2, y2) -> Column:

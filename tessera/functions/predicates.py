@@ -6,9 +6,8 @@ so ``~pred`` behaves.
 Plan shape: each predicate is ``envelope test AND exact test``.  The envelope
 test reads only ``geom.minx/miny/maxx/maxy``; its null guard is IS NOT NULL, so
 Parquet gets all of it as pushed filters and skips row groups.  The exact test is native column math where the shape allows it
-(points against boxes, literal polygons and literal lines; points against a
-polygon column via higher-order functions) and an Arrow UDF over the rows that
-survived the envelope test otherwise.
+(points against boxes, literal polygons and literal lines), array functions over the coordinates of the
+rows that survived the envelope test otherwise (``relate``, ``geodesic``).
 """
 
 from __future__ import annotations
@@ -19,10 +18,10 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from . import geodesic, regions, relate
 from .geometry import Geom, _c
 
-# Distance units to metres, and the sphere used for geodetic
-# distances (mean Earth radius, metres).
+# Distance units to metres.
 UNIT_TO_METRES = {
     "m": 1.0, "metre": 1.0, "meter": 1.0, "metres": 1.0, "meters": 1.0,
     "km": 1000.0, "kilometer": 1000.0, "kilometers": 1000.0, "kilometre": 1000.0, "kilometres": 1000.0,
@@ -32,7 +31,7 @@ UNIT_TO_METRES = {
     "ft": 0.3048, "feet": 0.3048,
     "in": 0.0254, "inches": 0.0254,
 }
-EARTH_RADIUS_M = 6371008.8
+EARTH_RADIUS_M = geodesic.EARTH_RADIUS_M
 METRES_PER_DEGREE = EARTH_RADIUS_M * math.pi / 180.0
 
 
@@ -191,10 +190,10 @@ def _vertices(g: Column) -> Column:
 
 
 def shape_intersects_box(geom, x1: float, y1: float, x2: float, y2: float) -> Column:
-    """A geometry column of any kind against a closed literal box: a vertex in the box, an
-    edge that the box clips (Liang-Barsky), or the box inside an area."""
+    """A geometry column of any kind against a closed box (numbers or columns): a vertex in the box,
+    an edge that the box clips (Liang-Barsky), or the box inside an area."""
     g = _c(geom)
-    x1, y1, x2, y2 = (F.lit(float(v)) for v in (x1, y1, x2, y2))
+    x1, y1, x2, y2 = (v if isinstance(v, Column) else F.lit(float(v)) for v in (x1, y1, x2, y2))
 
     def clipped(e):
         def slab(d, p, lo, hi):
@@ -337,7 +336,7 @@ def touches(geom, other: Geom, point_layer: bool = False) -> Column:
 def dwithin(geom, other: Geom, distance: float, unit: str | None = None, geodetic: bool = False,
             point_layer: bool = False) -> Column:
     """distance <= d.  Geodetic layers take a unit and compare metres
-    (haversine for points; otherwise a local equirectangular frame)."""
+    (haversine for points, arcs of great circles otherwise)."""
     g = _c(geom)
     if geodetic:
         metres = to_metres(distance, unit)
@@ -356,12 +355,12 @@ def dwithin(geom, other: Geom, distance: float, unit: str | None = None, geodeti
         if point_layer and other.kind == "Point":
             px, py = other.parts[0][0][0]
             return env & _false_if_null(haversine(g["minx"], g["miny"], px, py) <= F.lit(metres))
-        return env & _exact(g, other, "dwithin_geodetic", metres)
+        return env & _false_if_null(geodesic.metres(g, other.to_column()) <= F.lit(metres))
     d = float(distance)
     env = envelope_intersects(g, *_env_pad(other, d))
     if point_layer:
         return env & _false_if_null(point_literal_distance(g["minx"], g["miny"], other) <= F.lit(d))
-    return env & _exact(g, other, "dwithin", d)
+    return env & _false_if_null(relate.distance(g, other.to_column()) <= F.lit(d))
 
 
 def beyond(geom, other: Geom, distance: float, unit: str | None = None, geodetic: bool = False,
@@ -376,9 +375,7 @@ def distance(geom, other: Geom, point_layer: bool = False) -> Column:
     g = _c(geom)
     if point_layer:
         return point_literal_distance(g["minx"], g["miny"], other)
-    from .exact import literal_udf
-
-    return literal_udf("distance", other)(g)
+    return relate.distance(g, other.to_column())
 
 
 def _point_vs_literal(x, y, other: Geom, pred: str) -> Column:
@@ -414,18 +411,14 @@ def _point_vs_literal(x, y, other: Geom, pred: str) -> Column:
     return point_on_literal_edges(x, y, other)
 
 
-def _exact(g: Column, other: Geom, pred: str, arg: float | None = None) -> Column:
-    from .exact import literal_udf
-
-    return _false_if_null(literal_udf(pred, other, arg)(g))
+def _exact(g: Column, other: Geom, pred: str) -> Column:
+    return _false_if_null(relate.relate(pred, g, other.to_column()))
 
 
 def relate_columns(name: str, a, b, a_points: bool = False, distance: float | None = None) -> Column:
     """OGC predicate between two geometry columns of the same row.
-    Envelope test first (none for disjoint / beyond), native point-in-polygon
-    when ``a`` holds points, else the Arrow UDF on the surviving rows."""
-    from .exact import pair_udf
-
+    Envelope test first (none for disjoint / beyond), point-in-geometry when ``a`` holds points, else the
+    general relation on the surviving rows."""
     name = name.lower()
     A, Bc = _c(a), _c(b)
     if name in ("disjoint", "beyond"):
@@ -437,34 +430,32 @@ def relate_columns(name: str, a, b, a_points: bool = False, distance: float | No
                              & (A["miny"] - d <= Bc["maxy"]) & (A["maxy"] + d >= Bc["miny"]))
         if a_points:
             return env & _false_if_null(point_distance_column(A["minx"], A["miny"], Bc) <= d)
-        return env & _false_if_null(pair_udf("dwithin", float(distance))(A, Bc))
+        return env & _false_if_null(relate.distance(A, Bc) <= d)
     env = envelopes_intersect(A, Bc)
     if a_points and name in ("intersects", "within"):
         return env & point_in_geometry_column(A["minx"], A["miny"], Bc, name)
-    return env & _false_if_null(pair_udf(name)(A, Bc))
+    return env & _false_if_null(relate.relate(name, A, Bc))
 
 
 def clip_to_world(region: Geom) -> Geom | None:
-    """a geodetic query region clipped to the world box; None when the
-    clip is empty."""
-    x1, y1, x2, y2 = region.envelope()
-    cx1, cy1, cx2, cy2 = max(x1, -180.0), max(y1, -90.0), min(x2, 180.0), min(y2, 90.0)
-    if cx1 > cx2 or cy1 > cy2:
-        return None
-    if (cx1, cy1, cx2, cy2) == (x1, y1, x2, y2):
-        return region
-    return Geom.box(cx1, cy1, cx2, cy2) if region.is_rectangle() else region
+    """a geodetic query region of any kind clipped to the world box; None when nothing is left."""
+    return regions.cut_to_box(region, *regions.WORLD)
 
 
 def geodetic_filter(name: str, geom, region: Geom, **kw) -> Column:
-    """whole world -> TRUE, empty -> FALSE (TRUE for disjoint), otherwise
-    the predicate on the clipped region (a literal, folded by Catalyst)."""
+    """whole world -> TRUE, empty -> FALSE (TRUE for disjoint), otherwise the predicate on the clipped region.
+
+    Where the region is cut into quadrants, rows meet it if they meet one of them, so each has its own envelope test;
+    predicates about the region as a whole take it uncut."""
+    name = name.lower()
     clipped = clip_to_world(region)
     if clipped is None:
-        return F.lit(name.lower() == "disjoint")
-    if clipped.is_rectangle() and clipped.envelope() == (-180.0, -90.0, 180.0, 90.0) and \
-            name.lower() in ("bbox", "intersects"):
+        return F.lit(name == "disjoint")
+    if clipped.is_rectangle() and clipped.envelope() == regions.WORLD and name in ("bbox", "intersects"):
         return _false_if_null(_c(geom)["kind"].isNotNull())
+    if name in ("bbox", "intersects", "disjoint"):
+        meets = reduce(lambda a, b: a | b, [spatial_predicate("intersects" if name == "disjoint" else name, geom, part, **kw) for part in regions.quadrants(clipped)])
+        return _false_if_null(_c(geom)["kind"].isNotNull()) & ~meets if name == "disjoint" else meets
     return spatial_predicate(name, geom, clipped, **kw)
 
 

@@ -163,7 +163,7 @@ def contains_count(df: DataFrame, others: DataFrame, key: str) -> DataFrame:
 
 
 # A18 ------------------------------------------------------------------------
-def features_per_cell(cells: DataFrame, block: str = "block", fid: str = "fid") -> DataFrame:
+def features_per_cell(cells: DataFrame, block: str = "block") -> DataFrame:
     """Rows per block and multi-cell features (from a layer_cells frame)."""
     return cells.groupBy(block).agg(F.count(F.lit(1)).alias("rows"),
                                     F.sum(F.when(F.col("partition") > 1, 1).otherwise(0)).alias("multi_cell_rows"))

@@ -1,24 +1,21 @@
 """Changes on Parquet layers.
 
-A layer is never overwritten in place: every commit writes a new snapshot
-directory and appends a row (version, path) to the layer's snapshot log, so a
-reader of the old snapshot is never disturbed and a failed job leaves the old
-snapshot current.  Diffs are DataFrames keyed by fid: ``removed`` (fids),
+A layer is never overwritten in place: every commit writes a new snapshot (``snapshots``), so a
+reader of the old one is never disturbed and a failed job leaves it current.  Diffs are DataFrames keyed by fid: ``removed`` (fids),
 ``modified`` and ``added`` (full rows); reading through a diff is an anti join
 plus a union, never a driver-side loop.
 """
 
 from __future__ import annotations
 
-import uuid
 from dataclasses import dataclass
 from typing import Mapping, Sequence
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import stored
+from .snapshots import ConflictError, SnapshotLayer  # noqa: F401
 
 
 # D04 -------------------------------------------------------------------------
@@ -126,88 +123,3 @@ def change_summary(base: DataFrame, diff: Diff, key: str, value: str | None = No
         aggs += [F.min(g["minx"]).alias("minx"), F.min(g["miny"]).alias("miny"),
                  F.max(g["maxx"]).alias("maxx"), F.max(g["maxy"]).alias("maxy")]
     return allrows.groupBy("change").agg(*aggs)
-
-
-# Snapshots ----------------------------------------------------------
-class SnapshotLayer:
-    """A layer as snapshot directories plus a small log (version, bucket, path).
-
-    Rows lie in ``buckets`` buckets by a hash of the key; the newest version names every
-    bucket's folder.  ``commit`` reads and writes only the buckets that a diff
-    touches; the others keep their folders.  A diff that is not committed wrote nothing."""
-
-    LOG = "version long, bucket int, path string"
-
-    def __init__(self, spark: SparkSession, root: str, buckets: int = 64):
-        self.spark, self.root, self.buckets = spark, root.rstrip("/"), buckets
-        self.log = f"{self.root}/_snapshots"
-
-    def _log(self) -> DataFrame | None:
-        try:
-            return self.spark.read.schema(self.LOG).parquet(self.log)
-        except AnalysisException as e:
-            if e.getCondition() == "PATH_NOT_FOUND":
-                return None
-            raise
-
-    def current(self) -> tuple[int, dict[int, str]] | None:
-        """Newest version and its folder of each bucket (at most ``buckets`` rows)."""
-        log = self._log()
-        rows = [] if log is None else log.join(F.broadcast(log.agg(F.max("version").alias("version"))), "version").collect()
-        return (rows[0]["version"], {r["bucket"]: r["path"] for r in rows}) if rows else None
-
-    def read(self, buckets: Sequence[int] | None = None) -> DataFrame:
-        cur = self.current()
-        if cur is None:
-            raise ValueError("layer has no snapshot")
-        paths = sorted({p for b, p in cur[1].items() if buckets is None or b in buckets or b < 0})
-        if not paths:  # the schema of the layer, no rows
-            return self.spark.read.parquet(next(iter(cur[1].values()))).limit(0)
-        return self.spark.read.parquet(*paths)
-
-    def _bucket(self, key: str) -> Column:
-        return F.pmod(F.xxhash64(F.col(key)), F.lit(self.buckets)).cast("int")
-
-    def _write(self, df: DataFrame, version: int, key: str, among: Sequence[int]) -> dict[int, str]:
-        path = f"{self.root}/v{version:06d}-{uuid.uuid4().hex[:8]}"
-        tagged = df.withColumn("__bucket", self._bucket(key))
-        tagged.repartition("__bucket").write.mode("errorifexists").partitionBy("__bucket").parquet(path)
-        written = self.spark.read.schema(tagged.schema).parquet(path)
-        held = {r[0] for r in written.select("__bucket").distinct().collect()} if among else set()
-        return {b: f"{path}/__bucket={b}" for b in among if b in held}
-
-    def _publish(self, version: int, paths: Mapping[int, str]) -> None:
-        self.spark.createDataFrame([(version, b, p) for b, p in sorted(paths.items())], self.LOG).coalesce(1).write.mode("append").parquet(self.log)
-
-    def replace(self, df: DataFrame, key: str | None = None) -> int:
-        """Replace all content (a new snapshot).  Without a key the layer is one
-        folder, which every commit rewrites."""
-        cur = self.current()
-        version = 1 if cur is None else cur[0] + 1
-        empty = f"{self.root}/v{version:06d}-{uuid.uuid4().hex[:8]}"
-        if key is None:
-            df.write.mode("errorifexists").parquet(empty)
-            self._publish(version, {-1: empty})
-            return version
-        paths = self._write(df, version, key, range(self.buckets))
-        if not paths:
-            df.limit(0).write.mode("errorifexists").parquet(empty)
-            paths = {-2: empty}
-        self._publish(version, paths)
-        return version
-
-    def commit(self, diff: Diff, key: str) -> int:
-        cur = self.current()
-        if cur is None:
-            raise ValueError("layer has no snapshot")
-        version, paths = cur
-        if -1 in paths:
-            return self.replace(read_through(self.read(), diff, key))
-        keys = diff.removed.select(key).unionByName(diff.modified.select(key)).unionByName(diff.added.select(key))
-        touched = sorted(r[0] for r in keys.select(self._bucket(key)).distinct().collect())  # at most ``buckets``
-        new = self._write(read_through(self.read(touched), diff, key), version + 1, key, touched)
-        kept = {b: p for b, p in paths.items() if b not in touched}
-        if not (new or kept):
-            kept = {-2: next(iter(paths.values()))}
-        self._publish(version + 1, {**kept, **new})
-        return version + 1

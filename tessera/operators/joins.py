@@ -2,16 +2,15 @@
 
 Attribute joins are plain DataFrame joins; Catalyst / AQE pick broadcast or
 sort-merge and split skewed partitions.  The spatial join (J08) is rewritten
-as an equi-join on grid cells followed by the exact predicate:
+as an equi-join on grid cells followed by the exact predicate (columns, no Python):
 
-1. each side gets the grid cells its envelope touches (points: one cell;
-   other shapes: ``explode(sequence(...))`` over the envelope, native);
-2. equi-join on (gx, gy) -- a hash / sort-merge join, never a cross join;
-3. envelope test, then the exact predicate (native point-in-polygon for
-   point x polygon, Arrow UDF for other pairs);
-4. duplicates removed without a shuffle by the reference-point rule: a pair
-   is kept only in the cell holding the lower-left corner of the two
-   envelopes' intersection.
+1. points against another layer: one cell of a fixed size per point, the cells along
+   each line or under each other feature on the other side;
+2. all other layers: ``grid.box_pairs`` joins keys and envelopes on a multi-level grid
+   that follows the features' sizes and splits crowded cells;
+   geometries are fetched for the pairs that are left.
+
+Both are hash / sort-merge joins, never cross joins, and name a pair once.
 
 Whether a side is broadcast is left to Spark, which knows its bytes at run time (AQE), as
 is the split of skewed cells.
@@ -25,7 +24,10 @@ from typing import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.predicates import point_distance_column, point_in_geometry_column
+from ..functions import geodesic, relate
+from ..functions.predicates import haversine, point_distance_column, point_in_geometry_column, shape_intersects_box
+from ..session import stored
+from .grid import box_pairs
 
 
 # --------------------------------------------------------------------------
@@ -134,20 +136,6 @@ def join(left: DataFrame, right: DataFrame, cond, how: str = "inner") -> DataFra
 # --------------------------------------------------------------------------
 # Spatial join by grid cells
 # --------------------------------------------------------------------------
-def _cells(df: DataFrame, geom: str, size: float, pad: float, point_side: bool) -> DataFrame:
-    g = F.col(geom)
-    if point_side and pad == 0:
-        return (df.withColumn("__gx", F.floor(g["minx"] / F.lit(size)).cast("long"))
-                .withColumn("__gy", F.floor(g["miny"] / F.lit(size)).cast("long")))
-    x1 = F.floor((g["minx"] - F.lit(pad)) / F.lit(size)).cast("long")
-    x2 = F.floor((g["maxx"] + F.lit(pad)) / F.lit(size)).cast("long")
-    y1 = F.floor((g["miny"] - F.lit(pad)) / F.lit(size)).cast("long")
-    y2 = F.floor((g["maxy"] + F.lit(pad)) / F.lit(size)).cast("long")
-    return (df.where(g.isNotNull() & g["minx"].isNotNull())
-            .withColumn("__gx", F.explode(F.sequence(x1, x2)))
-            .withColumn("__gy", F.explode(F.sequence(y1, y2))))
-
-
 def _cover_array(geom: str, size: float, pad: float) -> Column:
     """Distinct grid cells (struct gx, gy) within ``pad`` of a geometry.
     Lines are covered segment by segment (row by row of the grid, the
@@ -211,13 +199,15 @@ def _points_join(left: DataFrame, right: DataFrame, predicate: str, left_geom: s
 def spatial_join(left: DataFrame, right: DataFrame, predicate: str = "intersects", *,
                  left_geom: str = "geom", right_geom: str = "geom", distance: float | None = None,
                  cell_size: float = 0.05, left_points: bool = False, right_points: bool = False,
-                 how: str = "inner", left_key: str | None = None,
+                 how: str = "inner", left_key: str | None = None, right_key: str | None = None,
                  suffix: str = "_r") -> DataFrame:
     """Pairs (left row, right row) satisfying a spatial predicate.
 
     ``predicate``: intersects | contains (left contains right) | within (left
-    within right) | dwithin (``distance``, planar).  ``how='left'`` keeps
-    unmatched left rows (needs ``left_key``)."""
+    within right) | equals | touches | crosses | overlaps | dwithin (``distance``, planar).  ``how='left'`` keeps
+    unmatched left rows (needs ``left_key``).  Points against another layer meet on cells of ``cell_size``;
+    all other layers on a grid that follows the features' sizes.  Keys, where given, must be unique; a side without one is
+    written once with a number per row."""
     pad = float(distance or 0.0) if predicate == "dwithin" else 0.0
     r_cols = [c for c in right.columns]
     clash = set(left.columns) & set(r_cols)
@@ -226,22 +216,40 @@ def spatial_join(left: DataFrame, right: DataFrame, predicate: str = "intersects
     if left_points and not right_points and predicate in ("intersects", "within", "dwithin"):
         out = _points_join(left, right_r, predicate, left_geom, rg, distance, cell_size)
         return _finish(left, out, how, left_key)
-    lc = _cells(left, left_geom, cell_size, pad, left_points)
-    rc = _cells(right_r, rg, cell_size, 0.0, right_points)
-    rc = rc.withColumnRenamed("__gx", "__rgx").withColumnRenamed("__gy", "__rgy")
-    L, R = F.col(left_geom), F.col(rg)
-    pairs = lc.join(rc, (F.col("__gx") == F.col("__rgx")) & (F.col("__gy") == F.col("__rgy")), "inner")
-    env = ((L["minx"] - F.lit(pad) <= R["maxx"]) & (L["maxx"] + F.lit(pad) >= R["minx"])
-           & (L["miny"] - F.lit(pad) <= R["maxy"]) & (L["maxy"] + F.lit(pad) >= R["miny"]))
-    # reference point: lower-left corner of the (padded) envelopes' overlap
-    rx = F.greatest(L["minx"] - F.lit(pad), R["minx"])
-    ry = F.greatest(L["miny"] - F.lit(pad), R["miny"])
-    ref = ((F.floor(rx / F.lit(cell_size)).cast("long") == F.col("__gx"))
-           & (F.floor(ry / F.lit(cell_size)).cast("long") == F.col("__gy")))
-    pairs = pairs.where(env & ref)
-    pairs = pairs.where(_exact_pair(predicate, L, R, left_points, right_points, distance))
-    out = pairs.drop("__gx", "__gy", "__rgx", "__rgy")
-    return _finish(left, out, how, left_key)
+    rk = right_key + suffix if right_key in clash else right_key
+    lrows, lk = (left, left_key) if left_key else (_numbered(left, "__lrow"), "__lrow")
+    rrows, rk = (right_r, rk) if rk else (_numbered(right_r, "__rrow"), "__rrow")
+    found = box_pairs(_boxes(lrows, lk, left_geom, "l", pad), _boxes(rrows, rk, rg, "r", 0.0))
+    pairs = found.join(lrows.withColumn("lkey", F.col(lk)), "lkey").join(rrows.withColumn("rkey", F.col(rk)), "rkey")
+    out = pairs.where(_exact_pair(predicate, F.col(left_geom), F.col(rg), left_points, right_points, distance))
+    return _finish(left, out.select(*left.columns, *right_r.columns), how, left_key)
+
+
+def metres_join(left: DataFrame, right: DataFrame, metres: float, *, left_key: str, right_key: str, left_geom: str = "geom",
+                right_geom: str = "geom_r") -> DataFrame:
+    """Pairs of rows at most ``metres`` apart on the sphere, with ``metres`` as a column.
+
+    Column names of the sides must differ, keys must be unique.  Boxes around unit vectors meet on the
+    multi-level grid in three dimensions, so pairs across +-180 degrees or a pole are like others."""
+    def boxes(df, key, geom, side, pad):
+        return df.select(F.col(key).alias(f"{side}key"), *[c.alias(f"{side}{x}{d}") for (d, x), c in zip([(d, x) for d in range(3) for x in "lh"], geodesic.cap_box(geom, pad))])
+
+    found = box_pairs(boxes(left, left_key, left_geom, "l", metres), boxes(right, right_key, right_geom, "r", 0.0), 3)
+    pairs = found.join(left.withColumn("lkey", F.col(left_key)), "lkey").join(right.withColumn("rkey", F.col(right_key)), "rkey")
+    L, R = F.col(left_geom), F.col(right_geom)
+    points = (L["kind"] == "Point") & (R["kind"] == "Point")
+    far = F.when(points, haversine(L["minx"], L["miny"], R["minx"], R["miny"])).otherwise(geodesic.metres(L, R))
+    return pairs.withColumn("metres", far).where(F.col("metres") <= F.lit(float(metres))).select(*left.columns, *right.columns, "metres")
+
+
+def _numbered(df: DataFrame, name: str) -> DataFrame:
+    return stored(df.withColumn(name, F.monotonically_increasing_id()), "rows")
+
+
+def _boxes(df: DataFrame, key: str, geom: str, side: str, pad: float) -> DataFrame:
+    g = F.col(geom)
+    return df.select(F.col(key).alias(f"{side}key"), (g["minx"] - pad).alias(f"{side}l0"), (g["maxx"] + pad).alias(f"{side}h0"),
+                     (g["miny"] - pad).alias(f"{side}l1"), (g["maxy"] + pad).alias(f"{side}h1"))
 
 
 def _finish(left: DataFrame, out: DataFrame, how: str, left_key: str | None) -> DataFrame:
@@ -257,8 +265,6 @@ def _finish(left: DataFrame, out: DataFrame, how: str, left_key: str | None) ->
 
 
 def _exact_pair(pred: str, L: Column, R: Column, lp: bool, rp: bool, distance) -> Column:
-    from ..functions.exact import pair_udf
-
     if lp and pred in ("intersects", "within"):
         # point x polygon: native ray casting over the polygon column
         if rp:
@@ -272,15 +278,13 @@ def _exact_pair(pred: str, L: Column, R: Column, lp: bool, rp: bool, distance) -
         return point_distance_column(R["minx"], R["miny"], L) <= F.lit(float(distance))
     if rp and pred in ("intersects", "contains"):
         return point_in_geometry_column(R["minx"], R["miny"], L, "intersects" if pred == "intersects" else "within")
-    name = pred
-    udf = pair_udf("dwithin", float(distance)) if pred == "dwithin" else pair_udf(name)
-    exact = F.coalesce(udf(L, R), F.lit(False))
+    if pred == "dwithin":
+        return F.coalesce(relate.distance(L, R) <= F.lit(float(distance)), F.lit(False))
     if pred == "intersects":
-        # native fast path: a two-point line against an axis-aligned rectangle
-        return (F.when(_is_segment(L) & _is_rectangle(R), _segment_hits_box(L, R))
-                .when(_is_segment(R) & _is_rectangle(L), _segment_hits_box(R, L))
-                .otherwise(exact))
-    return exact
+        box = lambda g: (g["minx"], g["miny"], g["maxx"], g["maxy"])
+        return (F.when(_is_rectangle(R), shape_intersects_box(L, *box(R))).when(_is_rectangle(L), shape_intersects_box(R, *box(L)))
+                .otherwise(F.coalesce(relate.intersects(L, R), F.lit(False))))
+    return F.coalesce(relate.relate(pred, L, R), F.lit(False))
 
 
 def _point_segment(x: Column, y: Column, seg: Column) -> Column:
@@ -305,21 +309,3 @@ def _is_rectangle(g: Column) -> Column:
                        & ((p["y"] == g["miny"]) | (p["y"] == g["maxy"])))
     return F.coalesce((g["kind"] == "Polygon") & (F.size(g["parts"]) == 1) & (F.size(g["parts"][0]) == 1)
                       & (F.size(ring) == 5) & corners, F.lit(False))
-
-
-def _segment_hits_box(seg: Column, bx: Column) -> Column:
-    """Liang-Barsky clip of the segment by the closed box."""
-    a, b = seg["parts"][0][0][0], seg["parts"][0][0][1]
-    dx, dy = b["x"] - a["x"], b["y"] - a["y"]
-    inf = F.lit(float("inf"))
-
-    def slab(d, p, lo, hi):
-        enter = F.when(d > 0, (lo - p) / d).when(d < 0, (hi - p) / d) \
-            .otherwise(F.when((p >= lo) & (p <= hi), -inf).otherwise(inf))
-        leave = F.when(d > 0, (hi - p) / d).when(d < 0, (lo - p) / d) \
-            .otherwise(F.when((p >= lo) & (p <= hi), inf).otherwise(-inf))
-        return enter, leave
-
-    ex, lx = slab(dx, a["x"], bx["minx"], bx["maxx"])
-    ey, ly = slab(dy, a["y"], bx["miny"], bx["maxy"])
-    return F.greatest(ex, ey, F.lit(0.0)) <= F.least(lx, ly, F.lit(1.0))

@@ -1,18 +1,16 @@
 """Projection operators (P01-P11): feature ids, geometry output, CRS,
-simplification and small-shape thinning.  Native columns except P06."""
+simplification and small-shape thinning."""
 
 from __future__ import annotations
 
 import math
 from typing import Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.geometry import GEOMETRY_T, _c, box, from_parts, geom_to_wkb, point, record_to_geom, \
-    geom_to_record
+from ..functions.geometry import _c, box, from_parts, geom_to_wkb, point
+from ..session import stored
 
 # Spherical Mercator (EPSG:3857) radius and latitude limit.
 MERCATOR_R = 6378137.0
@@ -28,21 +26,30 @@ def select_properties(df: DataFrame, properties: Sequence[str], pk: Sequence[str
 
 # P04 -------------------------------------------------------------------------
 def encode_fid(type_name: str, pk: Sequence[str]) -> Column:
-    """``<type>.<pk1>.<pk2>``."""
-    return F.concat_ws(".", F.lit(type_name), *[F.col(k).cast("string") for k in pk])
+    """``<type>.<pk1>.<pk2>``; null if a key part is null.  In a key of several parts, dots and percent signs of a part
+    are written as %2E and %25, so different keys never give one id."""
+    parts = [F.col(k).cast("string") for k in pk]
+    if len(parts) > 1:
+        parts = [F.replace(F.replace(p, F.lit("%"), F.lit("%25")), F.lit("."), F.lit("%2E")) for p in parts]
+    return F.concat(F.lit(type_name), *[x for p in parts for x in (F.lit("."), p)])
 
 
 def decode_fid(fid, type_name: str, pk_types: Sequence[str], strict: bool = True) -> Column:
-    """fid -> struct of typed pk values; a wrong number of parts is an error
-    (``strict``) or null."""
+    """fid -> struct of typed pk values (pk0, pk1, ...); the type name in front may be missing.  The key of one part is
+    all that follows, dots included.  A wrong number of parts or a part of another type is an error (``strict``) or null."""
     c = _c(fid)
     body = F.when(c.startswith(type_name + "."), F.substring(c, len(type_name) + 2, 1 << 30)).otherwise(c)
-    parts = F.split(body, r"\.")
-    n = len(pk_types)
-    typed = F.struct(*[F.element_at(parts, i + 1).try_cast(t).alias(f"pk{i}") for i, t in enumerate(pk_types)])
-    ok = F.size(parts) == n
+    if len(pk_types) == 1:
+        parts = F.array(body)
+    else:
+        parts = F.transform(F.split(body, r"\."), lambda p: F.replace(F.replace(p, F.lit("%2E"), F.lit(".")), F.lit("%25"), F.lit("%")))
+    values = [F.get(parts, F.lit(i)).try_cast(t) for i, t in enumerate(pk_types)]
+    ok = F.size(parts) == len(pk_types)
+    for v in values:
+        ok = ok & v.isNotNull()
+    typed = F.struct(*[v.alias(f"pk{i}") for i, v in enumerate(values)])
     if strict:
-        return F.when(ok, typed).otherwise(F.raise_error(F.concat(F.lit("fid does not decode: "), c)))
+        return F.when(c.isNull(), F.lit(None)).when(ok, typed).otherwise(F.raise_error(F.concat(F.lit("fid does not decode: "), c)))
     return F.when(ok, typed)
 
 
@@ -161,67 +168,46 @@ def bounds_frame_reproject(bounds: DataFrame, src: int, dst: int) -> DataFrame:
 
 
 # P06 -------------------------------------------------------------------------
-def _dp(points: np.ndarray, tol: float) -> np.ndarray:
-    """Douglas-Peucker keep-mask for one ring / line (iterative)."""
-    n = len(points)
-    keep = np.zeros(n, dtype=bool)
-    keep[0] = keep[-1] = True
-    stack = [(0, n - 1)]
-    while stack:
-        a, b = stack.pop()
-        if b <= a + 1:
-            continue
-        p, q = points[a], points[b]
-        seg = q - p
-        ll = float(seg @ seg)
-        rel = points[a + 1:b] - p
-        if ll == 0:
-            d = np.hypot(rel[:, 0], rel[:, 1])
-        else:
-            d = np.abs(seg[0] * rel[:, 1] - seg[1] * rel[:, 0]) / math.sqrt(ll)
-        k = int(np.argmax(d))
-        if d[k] > tol:
-            m = a + 1 + k
-            keep[m] = True
-            stack.append((a, m))
-            stack.append((m, b))
-    return keep
-
-
-def simplify_udf(tolerance: float):
-    """Arrow UDF: Douglas-Peucker per line / ring; points never change; a ring
-    keeps at least 4 points so it stays a ring."""
-
-    @F.pandas_udf(GEOMETRY_T)
-    def _udf(g: pd.DataFrame) -> pd.DataFrame:
-        recs = []
-        for rec in g.to_dict("records"):
-            geo = record_to_geom(rec) if rec.get("kind") is not None else None
-            if geo is None or geo.kind in ("Point", "MultiPoint"):
-                recs.append(None if geo is None else geom_to_record(geo))
-                continue
-            parts = []
-            for part in geo.parts:
-                rings = []
-                for ring in part:
-                    arr = np.array(ring, dtype=float)
-                    keep = _dp(arr, tolerance) if len(arr) > 2 else np.ones(len(arr), dtype=bool)
-                    closed = ring[0] == ring[-1] and len(ring) >= 4
-                    if closed and keep.sum() < 4:
-                        idx = np.linspace(0, len(arr) - 1, 4).round().astype(int)
-                        keep[idx] = True
-                    rings.append(tuple(tuple(p) for p in arr[keep]))
-                parts.append(tuple(rings))
-            from ..functions.geometry import Geom
-            recs.append(geom_to_record(Geom(geo.kind, tuple(parts))))
-        cols = ["kind", "minx", "miny", "maxx", "maxy", "parts"]
-        return pd.DataFrame({c: [None if r is None else r[c] for r in recs] for c in cols}, columns=cols)
-
-    return _udf
-
-
-def simplify(df: DataFrame, geom: str, tolerance: float) -> DataFrame:
-    """Simplify non-point geometries (points pass through natively)."""
+def simplify(df: DataFrame, geom: str, tolerance: float, key: str | None = None) -> DataFrame:
+    """Lines and rings without the vertices that lie within ``tolerance`` of what is left; points never change.
+
+    Vertices are rows.  In every round each open stretch of a line finds its farthest vertex from the chord and is cut
+    there; stretches within tolerance are done.  So a line of any length spreads over tasks by
+    stretches, and rounds grow with the depth of the cuts.  A ring keeps four vertices.  ``key`` must be unique;
+    without one, rows are written once with a number."""
+    if key is None:
+        return simplify(stored(df.withColumn("__row", F.monotonically_increasing_id()), "simplify"), geom, tolerance, "__row").drop("__row")
     g = F.col(geom)
-    return df.withColumn(geom, F.when(g["kind"].isin("Point", "MultiPoint"), g)
-                         .otherwise(simplify_udf(tolerance)(g)))
+    shapes = df.where(~g["kind"].isin("Point", "MultiPoint"))
+    parts = shapes.select(F.col(key).alias("k"), F.posexplode(g["parts"]).alias("part", "rings"))
+    rings = parts.select("k", "part", F.posexplode("rings").alias("ring", "pts")).withColumn("last", F.size("pts") - 1)
+    end = lambda i: F.get("pts", F.lit(0) if i == 0 else F.col("last"))
+    closed = (end(0) == end(1)) & (F.col("last") >= 3)
+    rows = rings.select("k", "part", "ring", "last", closed.alias("closed"), F.posexplode("pts").alias("nr", "p"), F.lit(0).alias("lo"), F.col("last").alias("hi"),
+                        end(0).alias("a"), end(1).alias("b"))
+    ids = ["k", "part", "ring"]
+    open_rows = stored(rows.where((F.col("nr") > 0) & (F.col("nr") < F.col("last"))), "simplify")
+    kept = rows.where((F.col("nr") == 0) | (F.col("nr") == F.col("last"))).select(*ids, "nr", "p")
+    rx, ry = F.col("b.x") - F.col("a.x"), F.col("b.y") - F.col("a.y")
+    qx, qy = F.col("p.x") - F.col("a.x"), F.col("p.y") - F.col("a.y")
+    away = F.when((rx == 0) & (ry == 0), F.hypot(qx, qy)).otherwise(F.abs(rx * qy - ry * qx) / F.sqrt(rx * rx + ry * ry))
+    found = []
+    while not open_rows.isEmpty():
+        far = open_rows.groupBy(*ids, "lo", "hi").agg(F.max(F.struct(away.alias("d"), (-F.col("nr")).alias("nr"), F.col("p"))).alias("f"))
+        cuts = stored(far.where(F.col("f.d") > F.lit(float(tolerance))).select(*ids, "lo", "hi", (-F.col("f.nr")).alias("cut"), F.col("f.p").alias("c")), "simplify")
+        found.append(cuts.select(*ids, F.col("cut").alias("nr"), F.col("c").alias("p")))
+        low = F.col("nr") < F.col("cut")
+        inside = open_rows.join(cuts, [*ids, "lo", "hi"]).where(F.col("nr") != F.col("cut"))
+        open_rows = stored(inside.select(*ids, "last", "closed", "nr", "p", F.when(low, F.col("lo")).otherwise(F.col("cut")).alias("lo"), F.when(low, F.col("cut")).otherwise(F.col("hi")).alias("hi"),
+                                         F.when(low, F.col("a")).otherwise(F.col("c")).alias("a"), F.when(low, F.col("c")).otherwise(F.col("b")).alias("b")), "simplify")
+    for more in found:
+        kept = kept.unionByName(more)
+    # a ring of fewer than four vertices gets back those a third of the way round
+    thin = kept.groupBy(*ids).agg(F.count("*").alias("n")).where("n < 4").join(rows.where("closed").select(*ids, "nr", "p", "last"), ids)
+    thirds = F.array(*[F.round(F.col("last") * i / 3.0).cast("int") for i in (1, 2)])
+    kept = kept.unionByName(thin.where(F.array_contains(thirds, F.col("nr"))).select(*ids, "nr", "p")).distinct()
+    ordered = lambda c, by: F.transform(F.array_sort(F.collect_list(F.struct(by, c))), lambda x: x[c])
+    out = kept.groupBy(*ids).agg(ordered("p", "nr").alias("pts")).groupBy("k", "part").agg(ordered("pts", "ring").alias("rings"))
+    out = out.groupBy("k").agg(ordered("rings", "part").alias("__parts"))
+    done = df.join(out.withColumnRenamed("k", "__k"), F.col(key) == F.col("__k"), "left")
+    return done.withColumn(geom, F.when(F.col("__parts").isNull(), g).otherwise(from_parts(g["kind"], F.col("__parts")))).select(*df.columns)

@@ -7,9 +7,12 @@ k rows per partition), so it never sorts the layer.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import relate
 from ..functions.geometry import Geom
 from ..functions.predicates import distance
 from ..session import stored
@@ -25,58 +28,90 @@ def nearest(df: DataFrame, geom: str, target: Geom, k: int, cond: Column | None
     return df.withColumn("dist", d).orderBy(F.col("dist").asc(), F.col(fid).asc()).limit(int(k))
 
 
+#: Features of a leaf of the neighbour tree, cells a side of a split, most splits, and split cells that are broadcast at most.
+LEAF, SIDE, DEPTH, FEW = 64, 8, 9, 50_000
+
+
+def _nearest_gap(n: str = "r") -> Column:
+    """Smallest distance of two boxes."""
+    gap = lambda d: F.greatest(F.col(f"{n}{d}1") - F.col(f"l{d}2"), F.col(f"l{d}1") - F.col(f"{n}{d}2"), F.lit(0.0))
+    return F.sqrt(gap("x") ** 2 + gap("y") ** 2)
+
+
+def _farthest_gap(n: str = "r") -> Column:
+    """Largest distance of two places in two boxes."""
+    gap = lambda d: F.greatest(F.col(f"{n}{d}2") - F.col(f"l{d}1"), F.col(f"l{d}2") - F.col(f"{n}{d}1"))
+    return F.sqrt(gap("x") ** 2 + gap("y") ** 2)
+
+
+def _reachable(cand: DataFrame, k: int) -> DataFrame:
+    """Rows (lid, n, lo, hi) that may hold one of the k nearest: ``hi`` of the first that together hold k bounds ``lo``."""
+    own = Window.partitionBy("lid")
+    held = F.sum("n").over(own.orderBy("hi", "node").rowsBetween(Window.unboundedPreceding, 0))
+    bound = F.min(F.when(F.col("held") >= k, F.col("hi"))).over(own)
+    out = cand.withColumn("held", held).withColumn("bound", bound)
+    return out.where(F.col("bound").isNull() | (F.col("lo") <= F.col("bound") * (1 + 1e-12))).drop("held", "bound")
+
+
 def knn_join(left: DataFrame, right: DataFrame, k: int, *, left_id: str = "fid", right_id: str = "fid_r",
-             left_geom: str = "geom", right_geom: str = "geom_r", cell_size: float = 0.05) -> DataFrame:
-    """W05 per row: the ``k`` nearest right points of every left point (planar; ties by
-    right id), exact; all right points where there are fewer than ``k``.  Rows with a null
-    geometry have no neighbours; another kind than Point is an error.
-
-    A pyramid of point counts (cell size doubled per level, each level summed from the one
-    below) gives every left cell the finest level at which its 3 x 3 cells hold k
-    points.  The k-th neighbour is then at most 2 sqrt(2) cells away, so the
-    3 x 3 cells two levels up hold all k nearest: one equi-join on cells, no search rounds over
-    points.  Levels end when 3 x 3 cells hold the whole right side.  The top k per left
-    point is ``row_number() <= k``, a partial top k before the shuffle."""
-    from pyspark.sql import Window
-
-    s = float(cell_size)
-
-    def points(df, ident, geom, prefix):
+             left_geom: str = "geom", right_geom: str = "geom_r") -> DataFrame:
+    """W05 per row: the ``k`` nearest right features of every left feature of any kind (planar distance, 0 where they
+    meet; ties by right id), exact; all right features where there are fewer than ``k``.  Rows with a null
+    geometry have no neighbours.  Ids must be unique.
+
+    The right features form a tree: a cell with more than LEAF is split into 8 x 8 within the extent of its own
+    centres, so a dense spot takes a level however small it is; each cell has its tight envelope and count.
+    Left rows go down level by level: of the cells reached, those whose
+    farthest places together hold k features bound the distance, and cells that begin beyond it are dropped.  So a row keeps
+    a few cells a level, whether the layers are dense, sparse or apart, and meets the features of a few leaves at the end."""
+    def boxes(df, ident, geom, s):
         g = F.col(geom)
-        x = F.when(g["kind"] == "Point", g["minx"]).otherwise(F.raise_error(F.lit("knn_join needs points")))
-        return df.where(g["minx"].isNotNull()).select(F.col(ident).alias(f"{prefix}id"), x.alias(f"{prefix}x"), g["miny"].alias(f"{prefix}y"))
-
-    def cell(c, level):
-        return F.shiftright(F.floor(F.col(c) / F.lit(s)).cast("long"), level)
-
-    R, L = points(right, right_id, right_geom, "__r"), points(left, left_id, left_geom, "__l")
-    counts = stored(R.groupBy(cell("__rx", 0).alias("gx"), cell("__ry", 0).alias("gy")).agg(F.count(F.lit(1)).alias("n")), "knn-counts")
-    todo = stored(L.select(cell("__lx", 0).alias("x0"), cell("__ly", 0).alias("y0")).distinct(), "knn-cells")
-    total = counts.agg(F.sum("n")).first()[0]
-    offs = F.explode(F.sequence(F.lit(-1), F.lit(1)))
-    placed, level = None, 0
-    while total and not todo.isEmpty():
-        here = todo.withColumns({"cx": F.shiftright("x0", level), "cy": F.shiftright("y0", level)})
-        near = (here.select("cx", "cy").distinct().withColumn("dx", offs).withColumn("dy", offs)
-                .join(counts, (F.col("gx") == F.col("cx") + F.col("dx")) & (F.col("gy") == F.col("cy") + F.col("dy")))
-                .groupBy("cx", "cy").agg(F.sum("n").alias("n")))
-        seen = stored(here.join(near, ["cx", "cy"], "left").select("x0", "y0", (F.coalesce("n", F.lit(0)) >= min(k, total)).alias("ok")), "knn-cells")
-        done = seen.where("ok").select("x0", "y0", F.lit(level + 2).alias("lv"))
-        placed = done if placed is None else placed.unionByName(done)
-        todo = seen.where("NOT ok").select("x0", "y0")
-        level += 1
-        counts = stored(counts.groupBy(F.shiftright("gx", 1).alias("gx"), F.shiftright("gy", 1).alias("gy")).agg(F.sum("n").alias("n")), "knn-counts")
-    if placed is None:
-        return left.limit(0).select(F.col(left_id), F.lit(None).cast(right.schema[right_id].dataType).alias(right_id),
-                                    F.lit(None).cast("double").alias("dist"), F.lit(None).cast("int").alias("rank"))
-    levels = sorted(r[0] for r in placed.select("lv").distinct().collect())  # at most one per doubling of the extent
-    shift = lambda c: F.expr(f"shiftright(cast(floor({c} / {s!r}D) as bigint), lv)")
-    q = (L.withColumns({"x0": cell("__lx", 0), "y0": cell("__ly", 0)}).join(placed, ["x0", "y0"])
-         .withColumn("dx", offs).withColumn("dy", offs)
-         .withColumns({"gx": shift("__lx") + F.col("dx"), "gy": shift("__ly") + F.col("dy")}))
-    r = R.withColumn("lv", F.explode(F.array(*[F.lit(v) for v in levels]))).withColumns({"gx": shift("__rx"), "gy": shift("__ry")})
-    cand = q.join(r, ["lv", "gx", "gy"]).withColumn(
-        "dist", F.sqrt((F.col("__lx") - F.col("__rx")) ** 2 + (F.col("__ly") - F.col("__ry")) ** 2))
-    w = Window.partitionBy("__lid").orderBy(F.col("dist"), F.col("__rid"))
-    top = cand.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
-    return top.select(F.col("__lid").alias(left_id), F.col("__rid").alias(right_id), "dist", "rank")
+        return df.where(g["minx"].isNotNull()).select(F.col(ident).alias(f"{s}id"), g["minx"].alias(f"{s}x1"), g["miny"].alias(f"{s}y1"), g["maxx"].alias(f"{s}x2"), g["maxy"].alias(f"{s}y2"))
+
+    empty = left.limit(0).select(F.col(left_id), F.lit(None).cast(right.schema[right_id].dataType).alias(right_id),
+                                 F.lit(None).cast("double").alias("dist"), F.lit(None).cast("int").alias("rank"))
+    L, R = boxes(left, left_id, left_geom, "l"), boxes(right, right_id, right_geom, "r")
+    flat = lambda s: F.coalesce(F.bool_and((F.col(f"{s}x1") == F.col(f"{s}x2")) & (F.col(f"{s}y1") == F.col(f"{s}y2"))), F.lit(True))
+    cx, cy = (F.col("rx1") + F.col("rx2")) / 2, (F.col("ry1") + F.col("ry2")) / 2
+    extent = [F.min(cx).alias("x0"), F.min(cy).alias("y0"), F.greatest(F.max(cx) - F.min(cx), F.max(cy) - F.min(cy)).alias("side")]
+    whole = R.agg(F.count("*").alias("n"), *extent, flat("r").alias("points")).first()
+    if not whole["n"]:
+        return empty
+    points = whole["points"] and L.agg(flat("l").alias("p")).first()["p"]
+
+    reached = L.withColumns({"node": F.lit(1).cast("long"), "n": F.lit(whole["n"]).cast("long"), "lo": F.lit(0.0), "hi": F.lit(float("inf")), "dense": F.lit(True)})
+    reached = stored(reached, "knn-left")
+    cols, found, rows = reached.columns, [], R.withColumn("node", F.lit(1).cast("long"))
+    dense = left.sparkSession.createDataFrame([(1, whole["x0"], whole["y0"], whole["side"])], "node long, x0 double, y0 double, side double")
+    few = True  # whether the cells to split are few enough to be broadcast
+    for depth in range(1, DEPTH + 1):
+        step = lambda c, low: F.when(F.col("side") > 0, F.least(F.floor((c - F.col(low)) / F.col("side") * SIDE), F.lit(SIDE - 1))).otherwise(0)
+        split = rows.join(F.broadcast(dense) if few else dense, "node")
+        rows = stored(split.withColumn("node", (F.col("node") * SIDE + step(cx, "x0")) * SIDE + step(cy, "y0")).drop("x0", "y0", "side"), "knn-right")
+        cells = rows.groupBy("node").agg(F.count("*").alias("n"), F.min("rx1").alias("cx1"), F.min("ry1").alias("cy1"), F.max("rx2").alias("cx2"), F.max("ry2").alias("cy2"), *extent)
+        cells = stored(cells.withColumn("dense", (F.col("n") > LEAF) & (F.col("side") > 0) & F.lit(depth < DEPTH)), "knn-cells")
+        if points:  # of many points in one place only the k smallest ids count
+            spot = cells.where((F.col("n") > LEAF) & (F.col("side") == 0)).select("node")
+            first = rows.join(spot, "node", "left_semi").withColumn("__first", F.row_number().over(Window.partitionBy("node").orderBy("rid"))).where(F.col("__first") <= k)
+            found.append(rows.join(spot, "node", "left_anti").unionByName(first.drop("__first")))
+        else:
+            found.append(rows)
+        front = reached.where("dense").drop("n", "lo", "hi", "dense").withColumnRenamed("node", "parent")
+        below = cells.withColumn("parent", F.expr(f"node div {SIDE * SIDE}"))
+        below = front.join(F.broadcast(below) if depth == 1 else below, "parent").withColumns({"lo": _nearest_gap("c"), "hi": _farthest_gap("c")}).select(*cols)
+        reached = stored(_reachable(reached.where("NOT dense").unionByName(below), k), "knn-reached")
+        dense = cells.where("dense").select("node", "x0", "y0", "side")
+        left_over = dense.count()
+        if not left_over:
+            break
+        few = left_over <= FEW
+    features = reduce(lambda a, b: a.unionByName(b), found)
+    cand = reached.drop("n", "lo", "hi", "dense").join(features, "node")
+    if points:
+        cand = cand.withColumn("dist", F.sqrt((F.col("lx1") - F.col("rx1")) ** 2 + (F.col("ly1") - F.col("ry1")) ** 2))
+    else:
+        near = _reachable(cand.withColumns({"n": F.lit(1), "lo": _nearest_gap(), "hi": _farthest_gap()}), k).select("lid", "rid")
+        near = near.join(left.select(F.col(left_id).alias("lid"), F.col(left_geom).alias("__lg")), "lid").join(right.select(F.col(right_id).alias("rid"), F.col(right_geom).alias("__rg")), "rid")
+        cand = near.withColumn("dist", relate.distance("__lg", "__rg"))
+    top = cand.withColumn("rank", F.row_number().over(Window.partitionBy("lid").orderBy("dist", "rid"))).where(F.col("rank") <= k)
+    return top.select(F.col("lid").alias(left_id), F.col("rid").alias(right_id), "dist", "rank")

@@ -25,6 +25,7 @@ from ..functions import cells as C
 from ..functions.filters import _v
 from ..functions.geometry import Geom
 from ..functions.predicates import point_in_literal_polygon, point_literal_distance
+from ..session import stored
 
 TRACK_LEVEL = 12  # block level of the trajectory store (as in the reference)
 
@@ -70,7 +71,7 @@ def in_region(region: Geom, lon: str = "lon", lat: str = "lat") -> Column:
 
 
 def prune(df: DataFrame, region: Geom | None = None, t1=None, t2=None, level: int = TRACK_LEVEL,
-          max_cells: int = 512) -> DataFrame:
+          max_cells: int = 512, grow: float = 0.0) -> DataFrame:
     """Layout-aware pruning filters (no effect on the result, only on I/O)."""
     cols = set(df.columns)
     if t1 is not None and t2 is not None and "epoch" in cols:
@@ -79,7 +80,7 @@ def prune(df: DataFrame, region: Geom | None = None, t1=None, t2=None, level: in
             df = df.where(F.col("day").between(first[:8], last[:8]))
         df = df.where(F.col("epoch").between(first, last))
     if region is not None and "cell" in cols:
-        cov = C.covering(region, level, min_level=max(0, level - 4), max_cells=max_cells)
+        cov = C.covering(region, level, min_level=max(0, level - 4), max_cells=max_cells, grow=grow)
         df = df.where(C.in_ranges("cell", C.cell_ranges(cov)))
     return df
 
@@ -128,7 +129,7 @@ def points_along_line(df: DataFrame, line: Geom, t1, t2, tolerance: float, exact
     """Points within ``tolerance`` (degrees) of a polyline during [t1, t2]."""
     x1, y1, x2, y2 = line.envelope()
     pad = Geom.box(x1 - tolerance, y1 - tolerance, x2 + tolerance, y2 + tolerance)
-    df = prune(df, pad, t1, t2)
+    df = prune(df, line, t1, t2, grow=tolerance)  # the cells along the line, not those of its box
     df = df.where((F.col("ts") >= _ts(t1)) & (F.col("ts") <= _ts(t2)))
     df = df.where(_in_box(pad))
     if exact:
@@ -153,13 +154,6 @@ def trajectory(df: DataFrame, t1, t2, ids: list | None = None) -> DataFrame:
     return df.select("id", "ts", "lon", "lat").orderBy("id", "ts")
 
 
-def trajectory_array(df: DataFrame, t1, t2, ids: list) -> DataFrame:
-    """T04 in the reference's shape for a known, small set of vehicles: one
-    ordered array of (ts, lon, lat) per vehicle."""
-    pts = trajectory(df, t1, t2, ids)
-    return pts.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("ts", "lon", "lat"))).alias("points"))
-
-
 def trajectory_in_region(df: DataFrame, region: Geom, ids: list | None = None) -> DataFrame:
     """Trajectory points inside a region, ordered by (id, ts)."""
     df = prune(df, region)
@@ -168,23 +162,54 @@ def trajectory_in_region(df: DataFrame, region: Geom, ids: list | None = None) -
     return df.where(in_region(region)).select("id", "ts", "lon", "lat").orderBy("id", "ts")
 
 
-def write_trip_copy(df: DataFrame, path: str, buckets: int = 64, with_cell: bool = False) -> None:
-    """Second copy of the track keyed by trip (and cell): rows bucketed by
-    a hash of ``id``, files sorted by (id, ts).  Range partitioning on (id, ts)
-    spreads one huge trip over many writer tasks."""
-    out = df.withColumn("bucket", F.pmod(F.xxhash64("id"), F.lit(buckets)))
-    keys = ["bucket", "id", "cell", "ts"] if with_cell and "cell" in df.columns else ["bucket", "id", "ts"]
-    (out.repartitionByRange(*keys).sortWithinPartitions(*keys)
-     .write.mode("overwrite").partitionBy("bucket").parquet(path))
+#: State of a trip copy: rows and a checksum of every source day when it was last copied.
+_STATE = "version long, day string, n long, sum decimal(38,0)"
+
+
+def _days(df: DataFrame) -> DataFrame:
+    row = F.xxhash64("id", "ts", "lon", "lat").cast("decimal(38,0)")
+    return df.groupBy(F.date_format("ts", "yyyyMMdd").alias("day")).agg(F.count("*").alias("n"), F.sum(row).alias("sum"))
+
+
+def _state(spark, path: str) -> DataFrame:
+    """The newest state; empty for a new copy."""
+    from ..operators.snapshots import Folder
+
+    if not Folder(spark, f"{path}/_state").names():
+        return spark.createDataFrame([], _STATE)
+    log = spark.read.schema(_STATE).parquet(f"{path}/_state")
+    return log.join(log.agg(F.max("version").alias("version")), "version", "left_semi")
+
+
+def refresh_trip_copy(df: DataFrame, path: str, buckets: int = 64) -> list[str]:
+    """Second copy of the track keyed by trip, brought up to date with ``df`` (id, ts, lon, lat): days whose rows
+    changed since the last refresh (late, altered or removed ones) are copied again, the others stay.  Returns these days.
+
+    The copy lies by day and by a hash of ``id``, files sorted by (id, ts).  Range partitioning spreads one
+    huge trip over many writer tasks.  A refresh that failed is repeated: days are replaced whole, and the
+    state follows the data."""
+    spark = df.sparkSession
+    before = _state(spark, path)
+    version = (before.agg(F.max("version")).first()[0] or 0) + 1
+    now = stored(_days(df), "trip-days")
+    old = before.select("day", F.col("n").alias("n0"), F.col("sum").alias("sum0"))
+    changed = sorted(r["day"] for r in now.join(old, "day", "left").where(~(F.col("n").eqNullSafe(F.col("n0")) & F.col("sum").eqNullSafe(F.col("sum0")))).select("day").collect())  # a row a day
+    if changed:
+        rows = df.withColumn("day", F.date_format("ts", "yyyyMMdd")).where(F.col("day").isin(changed))
+        rows = rows.withColumn("bucket", F.pmod(F.xxhash64("id"), F.lit(buckets)).cast("int"))
+        (rows.repartitionByRange("day", "bucket", "id", "ts").sortWithinPartitions("day", "bucket", "id", "ts").write
+         .mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day", "bucket").parquet(f"{path}/trips"))
+    if changed or now.count() != old.count():
+        now.select(F.lit(version).cast("long").alias("version"), "day", "n", "sum").write.mode("append").parquet(f"{path}/_state")
+    return changed
 
 
-def read_trip_copy(spark, path: str, ids: list | None = None, buckets: int = 64) -> DataFrame:
-    """Rows of the copy; given ids read only their buckets."""
-    df = spark.read.parquet(path)
+def read_trip_copy(spark, path: str, ids: DataFrame | None = None, buckets: int = 64) -> DataFrame:
+    """Rows of the copy (of the days that the source has); with ``ids`` (a column ``id``, any number of rows) those of
+    these trips: a left-semi join on bucket and id."""
+    df = spark.read.parquet(f"{path}/trips").withColumn("day", F.col("day").cast("string"))
+    df = df.join(_state(spark, path).select("day"), "day", "left_semi")
     if ids is not None:
-        ids = list(ids)
-        kind = df.schema["id"].dataType  # a hash depends on the type
-        keys = spark.createDataFrame([(i,) for i in ids], T.StructType([T.StructField("id", kind)]))
-        held = sorted(r[0] for r in keys.select(F.pmod(F.xxhash64("id"), F.lit(buckets))).distinct().collect())
-        df = df.where(F.col("bucket").isin(held) & F.col("id").isin(ids))
+        keys = ids.select(F.col("id").cast(df.schema["id"].dataType).alias("id")).distinct()  # a hash depends on the type
+        df = df.join(keys.withColumn("bucket", F.pmod(F.xxhash64("id"), F.lit(buckets)).cast("int")), ["bucket", "id"], "left_semi")
     return df

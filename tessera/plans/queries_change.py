@@ -131,6 +131,70 @@ def s14_s15_jdbc_roundtrip(spark, sf):
         .select(F.col("c_custkey").cast("long").alias("c_custkey"), "c_name", "c_acctbal")
 
 
+@register("s14_balanced_slices", """
+SELECT count(*) AS n, CAST(sum(c_custkey) AS BIGINT) AS keys, true AS by_number, true AS by_text FROM customer""")
+def s14_balanced_slices(spark, sf):
+    """A table with a skewed number, some null, and a skewed text, read in eight slices by either: no slice holds more than
+    a third above the average, and the slice of nulls is one more."""
+    import uuid
+
+    from ..sources import jdbc as JD
+
+    url = f"jdbc:derby:memory:tessera{uuid.uuid4().hex[:8]};create=true"
+    props = {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
+    k = F.col("c_custkey")
+    cust = table(spark, sf, "customer").select(
+        "c_custkey", F.when(k % 10 < 9, k / 1000.0).when(k % 100 < 99, 1e6 + k).alias("num"),
+        F.concat(F.lit("Customer#"), F.lpad((k * k % 1000).cast("string"), 4, "0"), F.col("c_custkey").cast("string")).alias("txt"))
+    JD.insert(cust, url, "SKEWED", props, mode="overwrite", column_types="txt VARCHAR(64)")
+
+    def even(df, nulls):
+        sizes = sorted(r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect())
+        total = sum(sizes)
+        if nulls:
+            sizes.remove(nulls)
+        return df.rdd.getNumPartitions() == 9 and max(sizes) <= 4 / 3 * (total - nulls) / 8 + 1
+
+    num, txt = (JD.read_slices(spark, url, "SKEWED", c, 8, props, text) for c, text in (('"num"', False), ('"txt"', True)))
+    nulls = cust.agg(F.count_if(F.col("num").isNull()), F.count_if(F.col("txt").isNull())).first()
+    out = num.toDF(*[c.lower() for c in num.columns]).agg(F.count("*").alias("n"), F.sum("c_custkey").cast("long").alias("keys"))
+    return out.select("n", "keys", F.lit(even(num, nulls[0])).alias("by_number"), F.lit(even(txt, nulls[1])).alias("by_text"))
+
+
+@register("s17_refresh", """
+SELECT 'a' AS layer, count(*) AS n, 2 AS added, 1 AS changed, 1 AS removed, 0 AS again FROM nation
+UNION ALL SELECT 'b', 2 * count(*), 2, 1, 1, 0 FROM region UNION ALL SELECT 'd', count(*), 2, 1, 1, 0 FROM supplier UNION ALL SELECT 'e', count(*), 2, 1, 1, 0 FROM part""")
+def s17_refresh(spark, sf):
+    """Four files, of which one is written anew and one removed, and two new ones; a second refresh finds nothing."""
+    from ..operators.snapshots import Folder
+    from ..sources.views import FolderStore
+
+    base, path = _scratch(spark, "folder"), _scratch(spark, "folder-store")
+    rows = {n: table(spark, sf, t).select(F.lit(n).alias("layer"), F.col(c).cast("long").alias("k")) for n, t, c in
+            (("a", "nation", "n_nationkey"), ("b", "region", "r_regionkey"), ("c", "customer", "c_custkey"), ("d", "supplier", "s_suppkey"), ("e", "part", "p_partkey"))}
+    put = lambda name, df: df.coalesce(1).write.mode("overwrite").parquet(f"{base}/{name}")
+    for name in "abc":
+        put(name, rows[name])
+    store = FolderStore(spark, base, path, glob="*.parquet")
+    store.refresh()
+    f = Folder(spark, base)
+    f.fs.delete(f.hadoop.Path(f"{base}/c"), True)
+    # a file whose bytes change keeps its name
+    held = Folder(spark, f"{base}/b")
+    name = next(n for n in held.names() if n.endswith(".parquet"))
+    put("new", rows["b"].unionByName(rows["b"]))
+    fresh = Folder(spark, f"{base}/new")
+    f.fs.delete(f.hadoop.Path(f"{base}/b"), True)
+    f.fs.mkdirs(f.hadoop.Path(f"{base}/b"))
+    f.fs.rename(f.hadoop.Path(f"{base}/new/{next(n for n in fresh.names() if n.endswith('.parquet'))}"), f.hadoop.Path(f"{base}/b/{name}"))
+    f.fs.delete(f.hadoop.Path(f"{base}/new"), True)
+    for name in "de":
+        put(name, rows[name])
+    found, again = store.refresh(), store.refresh()
+    out = store.read().groupBy("layer").agg(F.count("*").alias("n"))
+    return out.select("layer", "n", *[F.lit(found[c]).alias(c) for c in ("added", "changed", "removed")], F.lit(sum(again.values())).alias("again"))
+
+
 @register("s16_parameterised_view", """
 SELECT o_orderpriority, count(*) AS n FROM orders WHERE o_orderstatus = 'O' AND o_totalprice > 100000.0e0
 GROUP BY o_orderpriority""")

@@ -4,6 +4,7 @@ J07, J08, F28, W05), paging and visitors (A11, A14, A15), snapshots (D07, D10),
 
 from __future__ import annotations
 
+import datetime as dt
 import math
 
 import pandas as pd
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 from ..functions import cells as C
 from ..functions import filters as FL
 from ..functions import predicates as P
-from ..functions.geometry import Geom, box, point
+from ..functions.geometry import Geom, box, from_parts, point
 from ..operators import aggregates as A
 from ..operators import dml as D
 from ..operators import joins as J
@@ -41,7 +42,7 @@ def w05_knn_join_sparse(spark, sf):
     """Left points up to 60 degrees away from the layer."""
     far = zone(spark, sf).select("zone_id", point(F.lit(100.0) + F.col("zone_id") * F.lit(1.7), F.lit(60.0) - F.col("zone_id") * F.lit(2.9)).alias("geom"))
     pts = poi(spark, sf).select(F.col("fid").alias("fid_r"), F.col("geom").alias("geom_r"))
-    return W.knn_join(far, pts, 4, left_id="zone_id", right_id="fid_r", cell_size=0.05)
+    return W.knn_join(far, pts, 4, left_id="zone_id", right_id="fid_r")
 
 
 # ---------------------------------------------------------------- attribute joins
@@ -139,13 +140,46 @@ def c06_store_box_query(spark, sf):
     return CS.box_query(spark, path, _SX1, _SY1, _SX2, _SY2, level=8, exact=False).select("fid")
 
 
+def _leaf_within(lat, lon):
+    """A place's leaf cell, worked out once, in the row's cell."""
+    return C._let(C.leaf_cell(F.col(lat), F.col(lon)), lambda leaf: leaf.between(F.col("cell_min"), F.col("cell_max")))
+
+
 @register("s18_a18_store_rows_per_feature", V.with_(V.SHAPE_ENV, V.ZONE) + """
-SELECT fid FROM shape_env UNION ALL SELECT zone_id + 1000000 FROM zone""")
+SELECT fid, CAST(CASE k WHEN 0 THEN 1 WHEN 2 THEN 4 ELSE 2 END AS BIGINT) AS vertices, true AS whole FROM shape_env
+UNION ALL SELECT zone_id + 1000000, 5, true FROM zone""")
 def s18_a18_store_rows_per_feature(spark, sf):
-    """Every feature of a stored layer is under some cell; duplicates go on reading."""
+    """Every vertex of a stored feature lies in one of the feature's cells (else it is not counted), and a feature has as
+    many rows as the size written at ingest."""
     path = scratch_path(spark, "layer-cells")
     CS.write_layer(_wide_shapes(spark, sf), path, level=8)
-    return spark.read.parquet(path).select("fid").distinct()
+    rows = spark.read.parquet(path)
+    at = rows.select("fid", "cell_min", "cell_max", F.posexplode(F.flatten(F.flatten("geom.parts"))).alias("nr", "p"))
+    inside = at.where(_leaf_within("p.y", "p.x")).groupBy("fid").agg(F.count_distinct("nr").alias("vertices"))
+    sizes = rows.groupBy("fid").agg((F.max("partition") == F.count("*")).alias("whole"))
+    return inside.join(sizes, "fid")
+
+
+@register("c03_c04_road_cover", V.with_(V.ROAD) + "SELECT fid, CAST(41 AS BIGINT) AS places, true AS near FROM road")
+def c03_c04_road_cover(spark, sf):
+    """Every fortieth of a road lies in a cell of its covering at level 10, and each cell shares its parent at level 7 with a place of it."""
+    r = road(spark, sf)
+    rows = CS.layer_cells(r, level=10)
+    step = rows.withColumn("t", F.explode(F.sequence(F.lit(0), F.lit(40)))).withColumns(
+        {"lon": F.expr("x1 + (x2 - x1) * t / 40e0"), "lat": F.expr("y1 + (y2 - y1) * t / 40e0")})
+    held = step.where(_leaf_within("lat", "lon")).groupBy("fid").agg(F.count_distinct("t").alias("places"))
+    same = C._let(C.leaf_cell("lat", "lon"), lambda leaf: C.parent(leaf, 7) == C.parent("cell", 7))
+    near = step.groupBy("fid", "cell").agg(F.min(F.when(same, 0).otherwise(1)).alias("away"))
+    return held.join(near.groupBy("fid").agg((F.max("away") == 0).alias("near")), "fid")
+
+
+@register("s19_covering_sizes", V.with_(V.ZONE) + """
+SELECT zone_id + 1000000 AS fid, true AS bounded, true AS coarser FROM zone""")
+def s19_covering_sizes(spark, sf):
+    """Features of 30 degrees have at most the given cells, coarser ones than the layer's level, and are not dropped."""
+    wide = _wide_shapes(spark, sf).where(F.col("fid") >= 1_000_000)
+    rows = CS.layer_cells(wide, level=8, max_cells=100)
+    return rows.groupBy("fid").agg((F.count("*") <= 100).alias("bounded"), (F.max(C.level_of("cell")) < 8).alias("coarser"))
 
 
 @register("a12_estimated_bounds", POI + "SELECT min(lon) AS minx, min(lat) AS miny, max(lon) AS maxx, max(lat) AS maxy FROM poi")
@@ -185,13 +219,29 @@ def j09_region_join_track(spark, sf):
 def t06_trip_copy(spark, sf):
     """Trips read back by id from the copy keyed by trip."""
     path = scratch_path(spark, "trip-copy")
-    t = track(spark, sf)
-    TR.write_trip_copy(t, path, buckets=16)
-    ids = [r[0] for r in t.where(F.col("id") % 50 == 0).select("id").distinct().collect()]
-    back = TR.read_trip_copy(spark, path, ids, buckets=16)
+    t = track(spark, sf).select("id", "ts", "lon", "lat")
+    TR.refresh_trip_copy(t, path, buckets=4)
+    back = TR.read_trip_copy(spark, path, t.where(F.col("id") % 50 == 0).select("id"), buckets=4)
     return back.groupBy("id").agg(F.count(F.lit(1)).alias("n"), F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"))
 
 
+@register("t06_refresh", TRACK + """
+SELECT id, count(*) AS n, round(sum(lon), 4) AS lons, 3 AS late_days FROM track
+WHERE NOT (CAST(ts AS DATE) = DATE '2024-01-09') GROUP BY id""")
+def t06_refresh(spark, sf):
+    """A copy made before late rows of three days came; a refresh copies these days only, and a day that is gone goes."""
+    path = scratch_path(spark, "trip-refresh")
+    t = track(spark, sf).select("id", "ts", "lon", "lat")
+    day = F.to_date("ts")
+    late = day.isin(*[dt.date(2024, 1, d) for d in (3, 4, 20)]) & (F.col("id") % 2 == 0)
+    TR.refresh_trip_copy(t.where(~late), path, buckets=4)
+    source = t.where(day != dt.date(2024, 1, 9))
+    days = TR.refresh_trip_copy(source, path, buckets=4)
+    again = TR.refresh_trip_copy(source, path, buckets=4)
+    back = TR.read_trip_copy(spark, path, buckets=4)
+    return back.groupBy("id").agg(F.count("*").alias("n"), F.round(F.sum("lon"), 4).alias("lons"), F.lit(len(days) + len(again)).alias("late_days"))
+
+
 # ---------------------------------------------------------------- CSV and export
 @register("s04_csv_named_columns", POI + "SELECT fid, lon, lat FROM poi")
 def s04_csv_named_columns(spark, sf):
@@ -241,6 +291,58 @@ def a11_page_after_filter(spark, sf):
     return o.orderBy(F.desc("o_totalprice"), "o_orderkey").offset(10).limit(25)
 
 
+@register("a11_bounds_of_a_page", POI + """
+SELECT min(lon) AS minx, min(lat) AS miny, max(lon) AS maxx, max(lat) AS maxy FROM (
+  SELECT * FROM poi WHERE segment = 'BUILDING' ORDER BY balance DESC, fid LIMIT 40 OFFSET 15) t""")
+def a11_bounds_of_a_page(spark, sf):
+    """The envelope of the features of a sorted page."""
+    p = poi(spark, sf).where(FL.eq("segment", "BUILDING"))
+    return A.bounds(A.page(p, [F.desc("balance"), "fid"], offset=15, limit=40))
+
+
+@register("p04_decode_ids", """
+SELECT l_orderkey, l_linenumber, l_shipmode AS mode, CAST(l_orderkey AS VARCHAR) || '.x%' AS key FROM (
+  SELECT l_orderkey, l_linenumber, 'a.' || l_returnflag || '%2E' AS l_shipmode FROM lineitem)""")
+def p04_decode_ids(spark, sf):
+    """Ids of a key of a number, a text with dots and percent signs and a number, and of one text key with a dot."""
+    li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", F.concat(F.lit("a."), "l_returnflag", F.lit("%2E")).alias("mode"),
+                                             F.concat(F.col("l_orderkey").cast("string"), F.lit(".x%")).alias("key"))
+    ids = li.select(PR.encode_fid("lineitem", ["l_orderkey", "mode", "l_linenumber"]).alias("fid"), PR.encode_fid("line", ["key"]).alias("one"))
+    out = ids.select(PR.decode_fid("fid", "lineitem", ["long", "string", "int"]).alias("k"), PR.decode_fid("one", "line", ["string"]).alias("o"))
+    return out.select(F.col("k.pk0").alias("l_orderkey"), F.col("k.pk2").alias("l_linenumber"), F.col("k.pk1").alias("mode"), F.col("o.pk0").alias("key"))
+
+
+@register("f10_many_composite_fids", """
+SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem WHERE l_linenumber = 2 AND l_orderkey % 3 = 0""")
+def f10_many_composite_fids(spark, sf):
+    """Ids of two key columns held as a table, some of which do not decode."""
+    li = table(spark, sf, "lineitem")
+    ids = li.where("l_linenumber = 2 AND l_orderkey % 3 = 0").select(PR.encode_fid("lineitem", ["l_orderkey", "l_linenumber"]).alias("fid"))
+    bad = table(spark, sf, "nation").select(F.concat(F.lit("lineitem."), F.col("n_nationkey").cast("string")).alias("fid"))
+    return FL.id_semi_join(li, ["l_orderkey", "l_linenumber"], ids.unionByName(bad), "fid", "lineitem", ["long", "int"]).select("l_orderkey", "l_linenumber", "l_quantity")
+
+
+@register("p06_simplify", TRACK.replace("WITH ", "WITH RECURSIVE ", 1) + """,
+pts AS (SELECT id, row_number() OVER (PARTITION BY id ORDER BY ts, fid) - 1 AS nr, lon AS x, lat AS y FROM track WHERE id % 10 = 3),
+seg(id, lo, hi) AS (
+  SELECT id, CAST(min(nr) AS BIGINT), CAST(max(nr) AS BIGINT) FROM pts GROUP BY id
+  UNION ALL
+  SELECT id, CASE s WHEN 0 THEN lo ELSE -far.k END, CASE s WHEN 0 THEN -far.k ELSE hi END FROM (
+    SELECT s.id, s.lo, s.hi, max({'d': abs((b.x - a.x) * (p.y - a.y) - (b.y - a.y) * (p.x - a.x)) / sqrt(pow(b.x - a.x, 2) + pow(b.y - a.y, 2)), 'k': -p.nr}) AS far
+    FROM seg s JOIN pts p ON p.id = s.id AND p.nr > s.lo AND p.nr < s.hi JOIN pts a ON a.id = s.id AND a.nr = s.lo JOIN pts b ON b.id = s.id AND b.nr = s.hi
+    GROUP BY s.id, s.lo, s.hi) t, (VALUES (0), (1)) v(s) WHERE far.d > 0.45e0)
+SELECT id, count(*) AS n, CAST(sum(nr) AS BIGINT) AS places FROM (SELECT id, lo AS nr FROM seg UNION SELECT id, hi FROM seg) t GROUP BY id""")
+def p06_simplify(spark, sf):
+    """The tracks of every tenth vehicle as lines, simplified; the vertices that are left."""
+    t = track(spark, sf).where(F.col("id") % 10 == 3)
+    pts = F.transform(F.array_sort(F.collect_list(F.struct("ts", "fid", "lon", "lat"))), lambda p: F.struct(p["lon"].alias("x"), p["lat"].alias("y")))
+    lines = t.groupBy("id").agg(pts.alias("pts")).select("id", "pts", from_parts(F.lit("LineString"), F.array(F.array("pts"))).alias("geom"))
+    out = PR.simplify(lines, "geom", 0.45, key="id")
+    left = F.col("geom.parts")[0][0]
+    places = F.aggregate(left, F.lit(0).cast("long"), lambda s, p: s + F.array_position("pts", p) - 1)
+    return out.select("id", F.size(left).cast("long").alias("n"), places.alias("places"))
+
+
 @register("a14_visitor", "SELECT o_orderstatus, count(*) AS n, round(sum(o_totalprice), 2) AS total FROM orders GROUP BY o_orderstatus")
 def a14_visitor(spark, sf):
     def partial(b: pd.DataFrame) -> pd.DataFrame:
@@ -274,7 +376,7 @@ UNION ALL SELECT o_orderkey + 10000000, o_totalprice FROM orders WHERE o_orderke
 def d07_d10_snapshots(spark, sf):
     """A layer replaced, then changed by a committed diff."""
     o = table(spark, sf, "orders").select("o_orderkey", "o_totalprice")
-    layer = D.SnapshotLayer(spark, scratch_path(spark, "snapshots"), buckets=8)
+    layer = D.SnapshotLayer(spark, scratch_path(spark, "snapshots"), rows_per_bucket=20_000)
     layer.replace(o.limit(0), "o_orderkey")
     layer.replace(o, "o_orderkey")
     k = F.col("o_orderkey")
@@ -283,6 +385,26 @@ def d07_d10_snapshots(spark, sf):
     return layer.read()
 
 
+@register("d10_two_commits", """
+SELECT o_orderkey, CASE WHEN o_orderkey % 10 = 1 THEN o_totalprice + 1.0e0 ELSE o_totalprice END AS o_totalprice, 1 AS conflicts FROM orders
+UNION ALL SELECT -(SELECT max(o_orderkey) FROM orders), 0.5e0, 1""")
+def d10_two_commits(spark, sf):
+    """Two writers start from one version: the second's diff meets the first's buckets, so it is refused and changes nothing."""
+    o = table(spark, sf, "orders").select("o_orderkey", "o_totalprice")
+    layer = D.SnapshotLayer(spark, scratch_path(spark, "two-commits"), rows_per_bucket=1000)
+    k, none = F.col("o_orderkey"), o.limit(0)
+    base = layer.replace(o.unionByName(o.select(-k, F.lit(0.5)).where(k == o.agg(F.max("o_orderkey")).first()[0]).toDF(*o.columns)), "o_orderkey")
+    first = D.Diff(none.select("o_orderkey"), o.where(k % 10 == 1).withColumn("o_totalprice", F.col("o_totalprice") + F.lit(1.0)), none)
+    second = D.Diff(none.select("o_orderkey"), o.where(k % 10 == 1), none)
+    layer.commit(first, "o_orderkey", base)
+    conflicts = 0
+    try:
+        layer.commit(second, "o_orderkey", base)
+    except D.ConflictError:
+        conflicts += 1
+    return layer.read().withColumn("conflicts", F.lit(conflicts))
+
+
 @register("d11_change_bounds", POI + """
 SELECT 'added' AS change, count(*) AS rows, min(lon) + 1.0e0 AS minx, min(lat) AS miny, max(lon) + 1.0e0 AS maxx, max(lat) AS maxy FROM poi WHERE fid % 10 = 2
 UNION ALL SELECT 'modified', count(*), min(lon), min(lat) + 1.0e0, max(lon), max(lat) + 1.0e0 FROM poi WHERE fid % 10 = 1
@@ -328,8 +450,6 @@ def f04_text_against_number(spark, sf):
 @register("f29_swapped_operands", """
 SELECT o_orderkey FROM orders WHERE o_orderdate < TIMESTAMP '1996-01-01 00:00:00' AND o_orderdate > TIMESTAMP '1995-06-01 00:00:00'""")
 def f29_swapped_operands(spark, sf):
-    import datetime as dt
-
     o = table(spark, sf, "orders")
     keep = FL.swapped("after", dt.datetime(1996, 1, 1), "o_orderdate") & FL.swapped("before", dt.datetime(1995, 6, 1), "o_orderdate")
     return o.where(keep).select("o_orderkey")

@@ -156,12 +156,12 @@ def c01_c02_cell_tokens(spark, sf):
                      C.token(C.parent("leaf", 12)).alias("token12"))
 
 
-@register("a18_features_per_block", _S2_POI + "SELECT token10 AS block, count(*) AS rows FROM s2 GROUP BY token10")
+@register("a18_features_per_block", _S2_POI + "SELECT token10 AS block, count(*) AS rows, 0 AS multi_cell_rows FROM s2 GROUP BY token10")
 def a18_features_per_block(spark, sf):
     from ..sources.cellstore import layer_cells
 
     cells = layer_cells(_poi(spark, sf), "geom", 10, point_layer=True)
-    return cells.groupBy("block").agg(F.count(F.lit(1)).alias("rows"))
+    return A.features_per_cell(cells)
 
 
 @register("c06_box_query_by_cell_ranges", POI + f"SELECT fid, name FROM poi WHERE {IN_BOX}")
@@ -265,7 +265,7 @@ SELECT s.fid, z.zone_id FROM shape_env s JOIN zone z
 WHERE {_shape_box_sql('z.minx', 'z.miny', 'z.maxx', 'z.maxy')}""")
 def j08_shapes_intersect_zones(spark, sf):
     z = zone(spark, sf).select("zone_id", F.col("geom").alias("zgeom"))
-    j = J.spatial_join(shape(spark, sf).select("fid", "geom"), z, "intersects", right_geom="zgeom", cell_size=0.1)
+    j = J.spatial_join(shape(spark, sf).select("fid", "geom"), z, "intersects", right_geom="zgeom", left_key="fid", right_key="zone_id")
     return j.select("fid", "zone_id")
 
 
@@ -346,7 +346,7 @@ SELECT road, fid_r, dist, CAST(rank AS INTEGER) AS rank FROM (
 def w05_knn_join_road_starts(spark, sf):
     starts = road(spark, sf).select(F.col("fid").alias("road"), point("x1", "y1").alias("geom"))
     pts = _poi(spark, sf).select(F.col("fid").alias("fid_r"), F.col("geom").alias("geom_r"))
-    return W.knn_join(starts, pts, 3, left_id="road", right_id="fid_r", cell_size=0.05)
+    return W.knn_join(starts, pts, 3, left_id="road", right_id="fid_r")
 
 
 @register("f28_point_within_own_zone", _ZONE_POI + """

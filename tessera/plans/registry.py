@@ -26,4 +26,4 @@ def register(name: str, oracle: str | None = None):
 
 def load_all() -> None:
     """Import the modules that register queries."""
-    from . import queries_attr, queries_change, queries_more, queries_spatial, queries_traj  # noqa: F401
+    from . import queries_attr, queries_change, queries_more, queries_shapes, queries_spatial, queries_traj  # noqa: F401

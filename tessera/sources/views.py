@@ -9,6 +9,8 @@ from typing import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import stored
+
 _PARAM = re.compile(r"%([A-Za-z_][A-Za-z0-9_]*)%")
 
 
@@ -87,6 +89,65 @@ def read_directory(spark: SparkSession, path: str, fmt: str = "parquet", glob: s
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
-def refresh(spark: SparkSession, path: str) -> None:
-    """Refresh cached file listings after files change."""
-    spark.catalog.refreshByPath(path)
+# --------------------------------------------------------------------------
+# refresh on change
+# --------------------------------------------------------------------------
+LISTING = "version long, path string, length long, modified timestamp"
+
+
+def listing(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
+    """(path, length, modified) of all files of a folder; no content is read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+    if glob:
+        files = files.option("pathGlobFilter", glob)
+    return files.load(path).select("path", "length", F.col("modificationTime").alias("modified"))
+
+
+class FolderStore:
+    """A folder of files as one layer that is kept in Parquet and refreshed on change.
+
+    The store remembers the path, size and time of every file it has read, and holds a file's rows under the
+    file's own partition.  ``refresh`` compares the folder with that list: new and changed files are read
+    again, those of removed files are left out, the others are not touched.  A refresh that failed is repeated: partitions
+    are replaced whole, and the list follows the data."""
+
+    def __init__(self, spark: SparkSession, folder: str, store: str, fmt: str = "parquet", glob: str | None = None):
+        self.spark, self.folder, self.store, self.fmt, self.glob = spark, folder.rstrip("/"), store.rstrip("/"), fmt, glob
+
+    def known(self) -> DataFrame:
+        """The list at the last refresh; empty before the first."""
+        from ..operators.snapshots import Folder
+
+        if not Folder(self.spark, f"{self.store}/_files").names():
+            return self.spark.createDataFrame([], LISTING)
+        log = self.spark.read.schema(LISTING).parquet(f"{self.store}/_files")
+        return log.join(log.agg(F.max("version").alias("version")), "version", "left_semi")
+
+    def changes(self) -> DataFrame:
+        """(path, change) of the files that are added, changed or removed since the last refresh."""
+        now, old = listing(self.spark, self.folder, self.glob), self.known()
+        both = now.withColumn("here", F.lit(True)).join(old.select("path", F.col("length").alias("l0"), F.col("modified").alias("m0"), F.lit(True).alias("there")), "path", "full")
+        same = F.col("length").eqNullSafe(F.col("l0")) & F.col("modified").eqNullSafe(F.col("m0"))
+        kind = F.when(F.col("there").isNull(), "added").when(F.col("here").isNull(), "removed").when(~same, "changed")
+        return both.select("path", kind.alias("change")).where(F.col("change").isNotNull())
+
+    def refresh(self) -> dict[str, int]:
+        """Bring the store up to date; the number of files by kind of change."""
+        now = stored(listing(self.spark, self.folder, self.glob), "listing")
+        found = self.changes().collect()  # names of changed files only
+        again = [r["path"] for r in found if r["change"] != "removed"]
+        version = (self.known().agg(F.max("version")).first()[0] or 0) + 1
+        if again:
+            reader = self.spark.read.format(self.fmt)
+            if self.fmt == "csv":
+                reader = reader.option("header", True).option("escape", '"')
+            rows = reader.load(again).withColumn("file", F.sha2(F.col("_metadata.file_path"), 256))
+            rows.repartitionByRange("file").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("file").parquet(f"{self.store}/rows")
+        if found:
+            now.select(F.lit(version).cast("long").alias("version"), "path", "length", "modified").write.mode("append").parquet(f"{self.store}/_files")
+        return {k: sum(r["change"] == k for r in found) for k in ("added", "changed", "removed")}
+
+    def read(self) -> DataFrame:
+        """The rows of all files that the folder had at the last refresh."""
+        files = self.known().select(F.sha2("path", 256).alias("file"))
+        return self.spark.read.option("mergeSchema", True).parquet(f"{self.store}/rows").join(files, "file", "left_semi").drop("file")

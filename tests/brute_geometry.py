@@ -1,7 +1,6 @@
-"""Exact planar predicates for non-point geometries (F16-F25 slow path).
+"""Planar predicates of two geometries, row by row, as the tests' second opinion.
 
-These run inside Arrow UDFs, only on rows whose envelope already passed the
-native prefilter.  The method is point sampling of the skeletons: every
+The method is point sampling of the skeletons: every
 vertex, every crossing with the other geometry, the middle of every piece
 between crossings, and one interior point per polygon are located in the other
 geometry (interior / boundary / exterior).  Between two consecutive samples a
@@ -14,11 +13,8 @@ from __future__ import annotations
 import math
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from .geometry import GEOMETRY_T, Geom, record_to_geom
+from tessera.functions.geometry import Geom
 
 I, B, E = "I", "B", "E"
 
@@ -196,9 +192,7 @@ def _samples(sa: Shape, sb: Shape) -> tuple[np.ndarray, np.ndarray]:
     loc = np.array(locs, dtype=object)
     todo = np.array([v is None for v in locs], dtype=bool)
     if todo.any():
-        loc[todo] = sa.locate(arr[todo])
-        if sa.dim == 2:
-            loc[todo] = B
+        loc[todo] = [B if sa.dim == 2 or tuple(p) in sa.line_bnd else I for p in arr[todo].tolist()]
     if sa.dim == 2:
         ip = sa.interior_points()
         if ip:
@@ -369,68 +363,3 @@ def _pts_to_segs(p: np.ndarray, segs: np.ndarray) -> float:
         t = np.where(ll > 0, ((px - x1) * dx + (py - y1) * dy) / ll, 0.0)
     t = np.clip(t, 0.0, 1.0)
     return float(np.hypot(px - (x1 + t * dx), py - (y1 + t * dy)).min())
-
-
-def _to_local_metres(g: Geom, lat0: float, lon0: float) -> Geom:
-    from .predicates import METRES_PER_DEGREE
-
-    k = math.cos(math.radians(lat0))
-    return Geom(g.kind, tuple(tuple(tuple(((x - lon0) * k * METRES_PER_DEGREE, (y - lat0) * METRES_PER_DEGREE)
-                                          for x, y in ring) for ring in part) for part in g.parts))
-
-
-def evaluate(name: str, a: Geom | None, b: Geom, arg: float | None = None):
-    if a is None:
-        return None
-    if name == "distance":
-        return distance(a, b)
-    if name == "dwithin":
-        return distance(a, b) <= arg
-    if name == "dwithin_geodetic":
-        x1, y1, x2, y2 = b.envelope()
-        lat0, lon0 = (y1 + y2) / 2.0, (x1 + x2) / 2.0
-        return distance(_to_local_metres(a, lat0, lon0), _to_local_metres(b, lat0, lon0)) <= arg
-    return predicate(name, a, b)
-
-
-# --------------------------------------------------------------------------
-# Arrow UDF factories
-# --------------------------------------------------------------------------
-def literal_udf(name: str, other: Geom, arg: float | None = None):
-    """UDF(geometry column) -> predicate against a literal (closure-captured)."""
-    from ..session import ship_package
-
-    ship_package()
-    rtype = T.DoubleType() if name == "distance" else T.BooleanType()
-
-    @F.pandas_udf(rtype)
-    def _udf(g: pd.DataFrame) -> pd.Series:
-        out = []
-        for rec in g.to_dict("records"):
-            geo = record_to_geom(rec) if rec.get("kind") is not None else None
-            out.append(evaluate(name, geo, other, arg))
-        return pd.Series(out, dtype=object if rtype == T.BooleanType() else float)
-
-    return _udf
-
-
-def pair_udf(name: str, arg: float | None = None):
-    """UDF(geometry a, geometry b) -> predicate; for spatial-join candidate pairs."""
-    from ..session import ship_package
-
-    ship_package()
-    rtype = T.DoubleType() if name == "distance" else T.BooleanType()
-
-    @F.pandas_udf(rtype)
-    def _udf(a: pd.DataFrame, b: pd.DataFrame) -> pd.Series:
-        out = []
-        for ra, rb in zip(a.to_dict("records"), b.to_dict("records")):
-            ga = record_to_geom(ra) if ra.get("kind") is not None else None
-            gb = record_to_geom(rb) if rb.get("kind") is not None else None
-            out.append(None if ga is None or gb is None else evaluate(name, ga, gb, arg))
-        return pd.Series(out, dtype=object if rtype == T.BooleanType() else float)
-
-    return _udf
-
-
-__all__ = ["predicate", "distance", "evaluate", "literal_udf", "pair_udf", "GEOMETRY_T"]

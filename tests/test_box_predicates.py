@@ -4,7 +4,7 @@ import random
 from pyspark.sql import functions as F
 
 from tessera.functions import predicates as P
-from tessera.functions.exact import predicate
+from brute_geometry import predicate
 from tessera.functions.geometry import GEOMETRY_T, Geom, geom_to_record
 
 

@@ -1,7 +1,7 @@
 """Exact predicates (property checks, hand cases), WKT / WKB codecs."""
 import itertools
 
-from tessera.functions import exact as X
+import brute_geometry as X
 from tessera.functions.geometry import Geom, parse_wkb, parse_wkt, to_wkb
 
 SHAPES = [

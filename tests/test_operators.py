@@ -95,6 +95,48 @@ def test_dml_keys_and_snapshots(spark, tmp_path):
     assert layer.current()[0] == 2
 
 
+def _orders(spark, n):
+    return spark.range(n).select(F.col("id").alias("k"), (F.col("id") * 2.0).alias("v"))
+
+
+def test_commits_from_one_version(spark, tmp_path):
+    """Of two commits from one version, one on other buckets is put on top; one on the same buckets is refused."""
+    layer = D.SnapshotLayer(spark, str(tmp_path / "layer"), rows_per_bucket=20)
+    base = layer.replace(_orders(spark, 500), "k")
+    assert len(layer.current()[1]) >= 16
+    none = _orders(spark, 0)
+    add = lambda k: D.Diff(none.select("k"), none, spark.createDataFrame([(k, 1.0)], "k long, v double"))
+    assert layer.commit(add(1000), "k", base) == base + 1
+    same = next(b for b in layer.buckets(base + 1) if b not in layer.buckets(base))
+    probe = layer._placed(spark.range(2000, 4000).withColumnRenamed("id", "k"), "k", layer.buckets(base + 1)).collect()
+    inside = next(r["k"] for r in probe if r["__bucket"] == same.label)
+    outside = next(r["k"] for r in probe if r["__bucket"] != same.label)
+    with pytest.raises(D.ConflictError):
+        layer.commit(add(inside), "k", base)
+    assert layer.version() == base + 1 and layer.read().count() == 501
+    assert layer.commit(add(outside), "k", base) == base + 2
+    assert layer.read().count() == 502 and layer.read(base).count() == 500
+    with pytest.raises(D.ConflictError):  # the number itself is taken
+        if not layer._publish(base + 1, [], none.schema, "k"):
+            raise D.ConflictError
+
+
+def test_buckets_grow_with_the_layer(spark, tmp_path):
+    layer = D.SnapshotLayer(spark, str(tmp_path / "layer"), rows_per_bucket=50)
+    layer.replace(_orders(spark, 40), "k")
+    assert len(layer.current()[1]) == 1
+    none = _orders(spark, 0)
+    layer.commit(D.Diff(none.select("k"), none, _orders(spark, 1000).where("k >= 40")), "k")
+    held = layer.current()[1]
+    assert len(held) == 32 and sum(b.rows for b in held) == 1000
+    assert layer.read().agg(F.sum("v")).first()[0] == sum(2.0 * i for i in range(1000))
+    layer.commit(D.Diff(_orders(spark, 1000).select("k"), none, none), "k")
+    assert layer.read().count() == 0 and layer.read().columns == ["k", "v"]
+    layer.commit(D.Diff(none.select("k"), none, none), "k")
+    layer.commit(D.Diff(none.select("k"), none, _orders(spark, 3)), "k")
+    assert sorted(r.k for r in layer.read().collect()) == [0, 1, 2]
+
+
 def test_trajectory_hours_and_t01(spark):
     assert TR.hours("2024-01-01 10:59:00", "2024-01-01 12:00:00") == ["2024010110", "2024010111", "2024010112"]
     rows = [(1, dt.datetime(2024, 1, 1, 10, 0), 116.3, 39.4), (1, dt.datetime(2024, 1, 1, 10, 30), 116.31, 39.41),
