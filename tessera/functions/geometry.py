@@ -178,20 +178,6 @@ def line2(x1, y1, x2, y2) -> Column:
                     F.greatest(y1, y2).alias("maxy"), parts.alias("parts"))
 
 
-def envelope_of(geom) -> Column:
-    g = _c(geom)
-    return box(g["minx"], g["miny"], g["maxx"], g["maxy"])
-
-
-def num_points(geom) -> Column:
-    return F.size(F.flatten(F.flatten(_c(geom)["parts"])))
-
-
-def drop_z(geom) -> Column:
-    """Geometries are 2-D already; kept for API symmetry."""
-    return _c(geom)
-
-
 # --------------------------------------------------------------------------
 # WKT
 # --------------------------------------------------------------------------

@@ -94,10 +94,6 @@ def hour_bucket(ts) -> Column:                        # X16: yyyyMMddHH
     return F.date_format(_a(ts), "yyyyMMddHH")
 
 
-def day_bucket(ts) -> Column:
-    return F.date_format(_a(ts), "yyyyMMdd")
-
-
 def hours_between(t1, t2, inclusive_ends: bool = True) -> Column:   # X17
     """Hour buckets touched by [t1, t2].  The reference lists only the hours
     strictly between the ends (and so loses both end hours); by default we
@@ -110,14 +106,6 @@ def hours_between(t1, t2, inclusive_ends: bool = True) -> Column:   # X17
     return F.slice(seq, 2, F.greatest(F.size(seq) - 2, F.lit(0)))
 
 
-def days_between(t1, t2, inclusive_ends: bool = True) -> Column:
-    a, b = F.to_date(_a(t1)), F.to_date(_a(t2))
-    seq = F.transform(F.sequence(a, b), lambda d: F.date_format(d, "yyyyMMdd"))
-    if inclusive_ends:
-        return seq
-    return F.slice(seq, 2, F.greatest(F.size(seq) - 2, F.lit(0)))
-
-
 # Whitelist for function calls inside filters (F13), by reference name.
 FUNCTIONS = {
     "strConcat": str_concat, "strEndsWith": str_ends_with, "strStartsWith": str_starts_with,

@@ -68,12 +68,6 @@ def group_unique(df: DataFrame, keys: Sequence[str], col: str) -> DataFrame:
     return df.select(*keys, col).distinct()
 
 
-def group_unique_sets(df: DataFrame, keys: Sequence[str], col: str) -> DataFrame:
-    """The reference's shape (one sorted set per group).  A set holds the
-    distinct values of one group, so use it where that count is bounded."""
-    return df.groupBy(*keys).agg(F.array_sort(F.collect_set(col)).alias(f"unique_{col}"))
-
-
 # A09 / A11 -------------------------------------------------------------------
 def page(df: DataFrame, order: Sequence[str], offset: int = 0, limit: int | None = None) -> DataFrame:
     out = df.orderBy(*order)
@@ -151,12 +145,6 @@ def is_empty(df: DataFrame) -> bool:
     return df.isEmpty()
 
 
-def contains_all(df: DataFrame, others: DataFrame, key: str) -> bool:
-    """All features of ``others`` (by key) are in ``df``: an anti join that
-    stops at the first missing row."""
-    return others.select(key).join(df.select(key), key, "left_anti").isEmpty()
-
-
 def contains_count(df: DataFrame, others: DataFrame, key: str) -> DataFrame:
     """How many of ``others`` are in ``df`` (left-semi join count)."""
     return others.select(key).join(df.select(key), key, "left_semi").agg(F.count(F.lit(1)).alias("contained"))

@@ -12,6 +12,7 @@ counts) come from the first bytes of each file only (S10).
 from __future__ import annotations
 
 import datetime as _dt
+import re
 import struct
 
 import pandas as pd
@@ -185,7 +186,10 @@ def _files(spark: SparkSession, folder: str, glob: str) -> DataFrame:
     df = (spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob)
           .load(folder))
     ext = F.lower(F.regexp_extract("path", r"\.([^./]+)$", 1))
-    return df.withColumn("ext", ext).withColumn("stem", F.regexp_extract("path", r"([^/]+)\.[^./]+$", 1))
+    # the path below the folder names a set: sets of one name in two folders are two sets
+    base = re.escape(folder.rstrip("/").rsplit("/", 1)[-1])
+    tail = F.coalesce(F.get(F.split("path", f"/{base}/", 2), F.lit(1)), F.col("path"))
+    return df.withColumn("ext", ext).withColumn("stem", F.regexp_replace(tail, r"\.[^./]+$", ""))
 
 
 def read_sets(spark: SparkSession, folder: str) -> DataFrame:

@@ -18,12 +18,6 @@ def to_long(df: DataFrame, station: str = "station_id", ts: str = "ts", records:
     return df.select(station, ts, F.explode(records).alias("metric", "value"))
 
 
-def series_to_long(df: DataFrame, station: str = "station_id", series: str = "series") -> DataFrame:
-    """(station, map<ts, map<metric, value>>) -> long rows."""
-    obs = df.select(station, F.explode(series).alias("ts", "records"))
-    return to_long(obs, station, "ts", "records")
-
-
 def to_observations(long: DataFrame, station: str = "station_id", ts: str = "ts") -> DataFrame:
     """Long rows -> one map of metrics per (station, ts)."""
     return long.groupBy(station, ts).agg(

@@ -40,3 +40,12 @@ def test_header_stats(spark, tmp_path):
     st = {r.stem: r for r in SH.header_stats(spark, str(d)).collect()}
     assert st["pts"]["count"] == 3 and st["pts"].shape_type == 1 and st["pts"].minx == -93.0
     assert st["poly"].maxx == 4.0
+
+
+def test_sets_of_one_name_in_two_folders(spark, tmp_path):
+    for sub, pop in (("a", 1), ("b", 2)):
+        (tmp_path / sub).mkdir()
+        write_set(tmp_path / sub, "same", 5, [polygon_rec([[(0, 0), (0, pop), (pop, pop), (0, 0)]])], (0, 0, pop, pop), [("ID", "N", 4, 0)], [(pop,)])
+    got = {(r["stem"], r["geom"]["maxx"], r["attributes"]["ID"]) for r in SH.read_sets(spark, str(tmp_path)).collect()}
+    assert got == {("a/same", 1.0, "1"), ("b/same", 2.0, "2")}
+    assert {(r["stem"], r["count"], r["maxx"]) for r in SH.header_stats(spark, str(tmp_path)).collect()} == {("a/same", 1, 1.0), ("b/same", 1, 2.0)}
