@@ -331,7 +331,7 @@ seg(id, lo, hi) AS (
     SELECT s.id, s.lo, s.hi, max({'d': abs((b.x - a.x) * (p.y - a.y) - (b.y - a.y) * (p.x - a.x)) / sqrt(pow(b.x - a.x, 2) + pow(b.y - a.y, 2)), 'k': -p.nr}) AS far
     FROM seg s JOIN pts p ON p.id = s.id AND p.nr > s.lo AND p.nr < s.hi JOIN pts a ON a.id = s.id AND a.nr = s.lo JOIN pts b ON b.id = s.id AND b.nr = s.hi
     GROUP BY s.id, s.lo, s.hi) t, (VALUES (0), (1)) v(s) WHERE far.d > 0.45e0)
-SELECT id, count(*) AS n, CAST(sum(nr) AS BIGINT) AS places FROM (SELECT id, lo AS nr FROM seg UNION SELECT id, hi FROM seg) t GROUP BY id""")
+SELECT t.id, count(*) AS n, round(sum(x) + sum(y), 3) AS places FROM (SELECT id, lo AS nr FROM seg UNION SELECT id, hi FROM seg) t JOIN pts p ON p.id = t.id AND p.nr = t.nr GROUP BY t.id""")
 def p06_simplify(spark, sf):
     """The tracks of every tenth vehicle as lines, simplified; the vertices that are left."""
     t = track(spark, sf).where(F.col("id") % 10 == 3)
@@ -339,8 +339,8 @@ def p06_simplify(spark, sf):
     lines = t.groupBy("id").agg(pts.alias("pts")).select("id", "pts", from_parts(F.lit("LineString"), F.array(F.array("pts"))).alias("geom"))
     out = PR.simplify(lines, "geom", 0.45, key="id")
     left = F.col("geom.parts")[0][0]
-    places = F.aggregate(left, F.lit(0).cast("long"), lambda s, p: s + F.array_position("pts", p) - 1)
-    return out.select("id", F.size(left).cast("long").alias("n"), places.alias("places"))
+    places = F.aggregate(left, F.lit(0.0), lambda s, p: s + p["x"] + p["y"])
+    return out.select("id", F.size(left).cast("long").alias("n"), F.round(places, 3).alias("places"))
 
 
 @register("a14_visitor", "SELECT o_orderstatus, count(*) AS n, round(sum(o_totalprice), 2) AS total FROM orders GROUP BY o_orderstatus")
