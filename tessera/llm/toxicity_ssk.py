@@ -394,7 +394,7 @@ def keep_clean(docs: DataFrame, model: dict, threshold: float, text_col: str = "
             p = _probability(batch.column(text_col).to_pylist(), model)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(p, pa.float64())], names=[*batch.schema.names, flag])
 
-    return docs.mapInArrow(released(run, _forget), schema).where(F.col(flag) < threshold).drop(flag)
+    return docs.mapInArrow(released(run, _forget, _triples.cache_clear), schema).where(F.col(flag) < threshold).drop(flag)
 
 
 def held_out(id_col: str = "doc_id"):
