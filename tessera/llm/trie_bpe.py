@@ -17,7 +17,6 @@ from __future__ import annotations
 import hashlib
 import json
 from functools import lru_cache
-from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -27,14 +26,14 @@ from pyspark.sql import functions as F
 
 from .common import only, portions, released
 
-#: Words of a generation (and where a worker also serves other stages): a full one becomes the older one, which is then
-#: forgotten; words met again move on.
-WORD_CACHE, STAGE_CACHE = 400_000, 100_000
+#: Words of a generation: a full one becomes the older one, which is then forgotten; words met again move on.
+WORD_CACHE = 400_000
 #: Pairs of tokens whose border a worker remembers.
 BORDER_CACHE = 500_000
-_ids, _bytes = itemgetter(0), itemgetter(1)
 #: Bytes of a prefix's end by which its tokens are looked up, and ends that a worker remembers.
 TAIL, END_CACHE = 4, 300_000
+#: The words, ends and borders kept where a worker also serves other stages.
+STAGE_CACHES = 60_000, 90_000, 80_000
 #: Fixed value: the split pattern of byte-level pre-tokenizers with use_regex.
 SPLIT = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+"
          r"|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+")
@@ -71,8 +70,10 @@ class Vocabulary:
         self.follows: dict[int, bool] = {}
         # a vocabulary entry that its own merges would not rebuild is never a last token
         self.usable = {b: i for b, i in self.id_of.items() if self._rebuilt(i)}
-        self.words: dict[str, tuple[str, bytes]] = {}  # comma-joined ids, and what they decode to
-        self.older: dict[str, tuple[str, bytes]] = {}
+        self.token = {**self.special_bytes, **self.bytes_of}  # what every id decodes to
+        self.words: dict[str, str] = {}  # comma-joined ids
+        self.older: dict[str, str] = {}
+        self.most = WORD_CACHE, END_CACHE, BORDER_CACHE
         self.ends = self._by_end()
         self.split = regex.compile(SPLIT)
         self.cut = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
@@ -120,7 +121,7 @@ class Vocabulary:
         key = a << 32 | b
         ok = self.follows.get(key)
         if ok is None:
-            if len(self.follows) > BORDER_CACHE:
+            if len(self.follows) > self.most[2]:
                 self.follows.clear()
             ok = self.follows[key] = self._border(a, b, 1 << 60)
         return ok
@@ -131,7 +132,7 @@ class Vocabulary:
         Words in code point order are in byte order too, so neighbours share their longest prefixes; the states of the
         current path hold, per byte, the last token and the ids of the prefix that ends there."""
         usable, follows, can, keep, ends, short = self.usable, self.follows, self.can_follow, self.words, self.ends, self._short
-        if len(ends) > END_CACHE:
+        if len(ends) > self.most[1]:
             ends = self.ends = self._by_end()
         last: list[int] = [-1]
         ids: list[str] = [""]
@@ -162,10 +163,10 @@ class Vocabulary:
                 else:
                     raise ValueError(f"no token ends {path[:i]!r}")
                 last.append(t)
-            keep[word] = ids[-1], path
+            keep[word] = ids[-1]
 
     def decode_bytes(self, ids) -> bytes:
-        return b"".join(self.bytes_of[i] if i in self.bytes_of else self.special_bytes[i] for i in ids)
+        return b"".join(map(self.token.__getitem__, ids))
 
     def pieces(self, text: str) -> list[str]:
         """Words of a text in order; special tokens stand as themselves."""
@@ -176,14 +177,14 @@ class Vocabulary:
             out.extend([part] if part in self.special else self.split.findall(part))
         return out
 
-    def encode_batch(self, texts: list[str], most: int = WORD_CACHE) -> list[tuple[str, bytes]]:
-        """(comma-joined ids, decoded bytes) of each text."""
+    def encode_batch(self, texts: list[str]) -> list[tuple[str, np.ndarray, bytes]]:
+        """(comma-joined ids, ids, the bytes that these ids decode to) of each text."""
         split = [self.pieces(t) for t in texts]
-        if len(self.words) > most:
+        if len(self.words) > self.most[0]:
             self.words, self.older = {}, self.words
         keep, older = self.words, self.older
         for s, i in self.special.items():
-            keep[s] = str(i), self.special_bytes[i]
+            keep[s] = str(i)
         missing = []
         for w in set().union(*split) if split else ():
             if w in keep:
@@ -197,8 +198,9 @@ class Vocabulary:
             self.learn(missing)
         out = []
         for p in split:
-            held = list(map(keep.__getitem__, p))
-            out.append((",".join(map(_ids, held)), b"".join(map(_bytes, held))))
+            joined = ",".join(map(keep.__getitem__, p))
+            ids = np.fromstring(joined, np.int32, sep=",") if joined else np.zeros(0, np.int32)
+            out.append((joined, ids, self.decode_bytes(ids.tolist())))
         return out
 
 
@@ -229,14 +231,15 @@ def vocabulary(path: str) -> Vocabulary:
 def _encode(path: str, ids: bool):
     def run(batches):
         voc = vocabulary(path)
+        voc.most = STAGE_CACHES if ids else (WORD_CACHE, END_CACHE, BORDER_CACHE)
         for batch in portions(batches, "__t"):
             n, sha, back, seq = [], [], [], []
-            for joined, data in voc.encode_batch([t or "" for t in batch.column("__t").to_pylist()], STAGE_CACHE if ids else WORD_CACHE):
-                n.append(joined.count(",") + 1 if joined else 0)
+            for joined, numbers, data in voc.encode_batch([t or "" for t in batch.column("__t").to_pylist()]):
+                n.append(len(numbers))
                 sha.append(hashlib.sha256(joined.encode()).hexdigest())
                 back.append(hashlib.sha256(data.decode("utf-8", "replace").encode()).hexdigest())
                 if ids:
-                    seq.append(np.fromstring(joined, np.int32, sep=",") if joined else np.zeros(0, np.int32))
+                    seq.append(numbers)
             cols = [c for c in batch.schema.names if c != "__t"]
             data = [batch.column(c) for c in cols] + [pa.array(n, pa.int64()), pa.array(sha, pa.string()), pa.array(back, pa.string())]
             names = [*cols, "n_tokens", "ids_sha256", "decoded_sha256"]

@@ -213,3 +213,14 @@ def test_multi_index_finds_all_within_radius():
         bits[flips] ^= 1
         q = np.packbits(bits)
         assert any(near[q[b], p[b]] for b in range(SH.BLOCKS))
+
+
+def test_bpe_decodes_the_ids(library):
+    """The decoded bytes come from the ids, not from the text: another table of tokens gives other bytes."""
+    voc = TB.Vocabulary(BPE_VOCABULARY)
+    text = "of the word<|endoftext|> é"
+    joined, ids, back = voc.encode_batch([text])[0]
+    assert ids.tolist() == library.encode(text, add_special_tokens=False).ids and joined == ",".join(map(str, ids))
+    assert back == text.encode()
+    voc.token = {i: b"<%d>" % i for i in voc.token}
+    assert voc.encode_batch([text])[0][2] == b"".join(b"<%d>" % i for i in ids)
