@@ -76,6 +76,11 @@ def metres(a, b) -> Column:
     return F.call_function(R.define("metres", _body), _c(a), _c(b))
 
 
+def chord(metres: float) -> float:
+    """The chord of an arc on the unit sphere."""
+    return 2 * math.sin(min(metres / EARTH_RADIUS_M, math.pi) / 2)
+
+
 def cap_box(geom, pad_m: float = 0.0) -> list[Column]:
     """Lowest and highest x, y, z of a box around a geometry grown by ``pad_m`` metres.
 
@@ -83,7 +88,7 @@ def cap_box(geom, pad_m: float = 0.0) -> list[Column]:
     them (a cap up to a half sphere is convex); beyond that the box is the whole sphere."""
     g = _c(geom)
     reach = F.radians(F.sqrt((g["maxx"] - g["minx"]) ** 2 + (g["maxy"] - g["miny"]) ** 2)) / 2
-    pad = 2 * math.sin(min(pad_m / EARTH_RADIUS_M, math.pi) / 2) * (1 + 1e-9) + 1e-12
+    pad = chord(pad_m) * (1 + 1e-9) + 1e-12
     radius = F.when(reach < math.pi / 2, 2 * F.sin(reach / 2)).otherwise(2.0) + F.lit(pad)
     centre = unit((g["minx"] + g["maxx"]) / 2, (g["miny"] + g["maxy"]) / 2)
     return [c for d in "xyz" for c in (centre[d] - radius, centre[d] + radius)]

@@ -234,3 +234,50 @@ def test_store_reads_without_a_shuffle(spark, tmp_path):
         got = CS.box_query(spark, path, *box, level=7)
         assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString()
         assert sorted(r["fid"] for r in got.select("fid").collect()) == [i for i, g in enumerate(gs) if B.predicate("intersects", g, Geom.box(*box))]
+
+
+def slanted(seed, n):
+    rnd = random.Random(seed)
+    return [Geom.line([(rnd.uniform(0, 9), 0.0), (rnd.uniform(0, 9), 10.0)]) for _ in range(n)] + [Geom.line([(0.0, 5.0), (9.0, 5.0)]), Geom.line([(1.0, 1.0), (1.0, 1.0)])]
+
+
+@pytest.mark.parametrize("lines_on", ["left", "right"])
+@pytest.mark.parametrize("predicate", ["intersects", "dwithin"])
+def test_long_lines_stand_as_pieces(spark, predicate, lines_on):
+    """Small features meet pieces of slanted lines, not their wide envelopes, and every pair is named once."""
+    rnd = random.Random(9)
+    at = lambda: (rnd.uniform(0, 9), rnd.uniform(0, 10))
+    small = []
+    for x, y in (at() for _ in range(60)):
+        small += [Geom.line([(x, y), (x + 0.3, y + 0.2)]), Geom.polygon([(x, y), (x + 0.3, y), (x, y + 0.3)]), Geom.point(x, y)]
+    lines = slanted(5, 40)
+    a, b = (lines, small) if lines_on == "left" else (small, lines)
+    left, right = frame(spark, a), frame(spark, b, key="other")
+    got = J.spatial_join(left, right, predicate, distance=0.2 if predicate == "dwithin" else None, left_key="id", right_key="other")
+    hit = (lambda x, y: B.distance(x, y) <= 0.2) if predicate == "dwithin" else (lambda x, y: B.predicate("intersects", x, y))
+    assert sorted((r["id"], r["other"]) for r in got.collect()) == [(i, k) for i, x in enumerate(a) for k, y in enumerate(b) if hit(x, y)]
+    cut = J._boxes(J._whole(frame(spark, lines), "id", "l"), F.col("__l")["geom"], "l", 0.0, 0.3)
+    assert cut.count() > 5 * len(lines) and cut.agg(F.sum((F.col("lh0") - F.col("ll0")) * (F.col("lh1") - F.col("ll1")))).first()[0] < 0.3 * sum(
+        (x2 - x1) * (y2 - y1) for x1, y1, x2, y2 in (g.envelope() for g in lines))
+
+
+def test_pairs_of_a_join_fetch_no_rows(spark):
+    """The rows go to their boxes before the join: no join follows that of the boxes, and boxes need no exact test."""
+    boxes = frame(spark, [Geom.box(i, 0, i + 2, 1) for i in range(5)])
+    j = J.spatial_join(boxes, boxes.withColumnsRenamed({"id": "other", "geom": "g2"}), "intersects", right_geom="g2", left_key="id", right_key="other")
+    plan = j.groupBy("id").count()._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join Inner") == 1 and "exists(" not in plan
+    assert j.count() == sum(abs(i - k) <= 2 for i in range(5) for k in range(5))
+
+
+def test_points_and_two_point_lines_meet_in_plain_columns(spark):
+    points = frame(spark, [Geom.point(1.0, 1.0), Geom.point(2.0, 2.0), Geom.point(3.0, 1.0)])
+    lines = frame(spark, [Geom.line([(0.0, 0.0), (2.0, 2.0)])], "lg", "line")
+    bent = frame(spark, [Geom.line([(0.0, 0.0), (2.0, 2.0), (4.0, 0.0)])], "lg", "line").withColumn("line", F.lit(7))
+    for predicate, want in (("intersects", [0, 1]), ("within", [0]), ("dwithin", [0, 1])):
+        j = J.spatial_join(points, lines, predicate, right_geom="lg", left_points=True, distance=0.5)
+        assert sorted(r["id"] for r in j.collect()) == want
+        pairs = j.select("id", "line")._jdf.queryExecution().optimizedPlan().toString().split("Join Inner")[1].splitlines()[0]
+        assert "lambda" not in pairs
+    both = J.spatial_join(points, lines.unionByName(bent), "intersects", right_geom="lg", left_points=True)
+    assert sorted((r["id"], r["line"]) for r in both.collect()) == [(0, 0), (0, 7), (1, 0), (1, 7), (2, 7)]
