@@ -6,7 +6,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as E
 import brute_geometry as B
+from conftest import SF_SMALL
 from tessera.functions import geodesic, regions, relate
 from tessera.functions.geometry import GEOMETRY_T, Geom, geom_to_record
 from tessera.operators import grid
@@ -281,3 +283,12 @@ def test_points_and_two_point_lines_meet_in_plain_columns(spark):
         assert "lambda" not in pairs
     both = J.spatial_join(points, lines.unionByName(bent), "intersects", right_geom="lg", left_points=True)
     assert sorted((r["id"], r["line"]) for r in both.collect()) == [(0, 0), (0, 7), (1, 0), (1, 7), (2, 7)]
+
+
+def test_heavy_work_by_row_is_spread(spark):
+    """A layer of one partition is covered, and related to a region, by many tasks."""
+    from tessera.sources import cellstore as CS
+
+    one = frame(spark, [Geom.box(i, 0, i + 0.5, 1) for i in range(20)]).coalesce(1)
+    assert CS.layer_cells(one, "geom", 5).rdd.getNumPartitions() >= 8
+    assert E.queries()["f19_f23_shapes_and_hexagon"](spark, SF_SMALL).rdd.getNumPartitions() >= 8
