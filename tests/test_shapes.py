@@ -292,3 +292,14 @@ def test_heavy_work_by_row_is_spread(spark):
     one = frame(spark, [Geom.box(i, 0, i + 0.5, 1) for i in range(20)]).coalesce(1)
     assert CS.layer_cells(one, "geom", 5).rdd.getNumPartitions() >= 8
     assert E.queries()["f19_f23_shapes_and_hexagon"](spark, SF_SMALL).rdd.getNumPartitions() >= 8
+
+
+def test_features_with_unknown_places_are_left_to_relate(spark):
+    """A null coordinate: the plain tests tell nothing."""
+    row = frame(spark, [Geom.line([(0.0, 0.0), (1.0, 1.0)])]).withColumn("lg", F.col("geom"))
+    for kind in ("MultiPoint", "LineString"):
+        part = "array(array(named_struct('x', 5D, 'y', 5D), named_struct('x', CAST(NULL AS double), 'y', CAST(NULL AS double))))"
+        parts = f"array({part})" if kind == "LineString" else "array(array(array(named_struct('x', 5D, 'y', 5D))), array(array(named_struct('x', CAST(NULL AS double), 'y', CAST(NULL AS double)))))"
+        odd = F.expr(f"named_struct('kind', '{kind}', 'minx', 5D, 'miny', 5D, 'maxx', 5D, 'maxy', 5D, 'parts', {parts})")
+        got = row.select(J._small_meets_line(odd, F.col("lg")).alias("m"), J._points_near_line(odd, F.col("lg"), 0.5).alias("p")).first()
+        assert got["m"] is None and got["p"] is None
