@@ -303,3 +303,30 @@ def test_features_with_unknown_places_are_left_to_relate(spark):
         odd = F.expr(f"named_struct('kind', '{kind}', 'minx', 5D, 'miny', 5D, 'maxx', 5D, 'maxy', 5D, 'parts', {parts})")
         got = row.select(J._small_meets_line(odd, F.col("lg")).alias("m"), J._points_near_line(odd, F.col("lg"), 0.5).alias("p")).first()
         assert got["m"] is None and got["p"] is None
+
+
+def test_nearest_long_lines(spark, monkeypatch):
+    """Long slanted lines, of which many envelopes hold every point, and copies: few distances are worked out, and the ids of equal ones ascend."""
+    rnd = random.Random(11)
+    lines = [Geom.line([(rnd.random(), 0.0), (rnd.random(), 1.0)]) for _ in range(300)]
+    lines += lines[:40] * 5 + [Geom.multi("MultiPoint", [Geom.point(9.0, 9.0), Geom.point(0.5, 0.5)])]
+    points = [Geom.point(rnd.random(), rnd.random()) for _ in range(60)]
+    asked = spark.sparkContext.accumulator(0)
+
+    def counted(a, b):
+        asked.add(1)
+        x, y = a["parts"][0][0][0]
+        ends = [(ring[0], ring[-1]) for part in b["parts"] for ring in part]
+        along = [max(0.0, min(1.0, ((x - p[0]) * (q[0] - p[0]) + (y - p[1]) * (q[1] - p[1])) / (math.dist(p, q) ** 2 or 1.0))) for p, q in ends]
+        return min(math.dist((x, y), (p[0] + t * (q[0] - p[0]), p[1] + t * (q[1] - p[1]))) for (p, q), t in zip(ends, along))
+
+    monkeypatch.setattr(W.relate, "distance", F.udf(counted, "double"))
+    got = W.knn_join(frame(spark, points, key="fid"), frame(spark, lines, "geom_r", "fid_r"), 4).collect()
+    own = {i: sorted((r["rank"], r["fid_r"], round(r["dist"], 9)) for r in got if r["fid"] == i) for i in range(len(points))}
+    for i, p in enumerate(points):
+        assert [d for _, _, d in own[i]] == [d for d, _ in sorted((round(B.distance(p, y), 9), k) for k, y in enumerate(lines))[:4]]
+        ids = {}
+        for _, k, d in own[i]:
+            ids.setdefault(d, []).append(k)
+        assert all(x == sorted(x) for x in ids.values()) and len({k for _, k, _ in own[i]}) == 4
+    assert asked.value <= 15 * len(points)
