@@ -7,8 +7,9 @@ different buckets, the second is put on top of the first; else it is an error an
 system must rename atomically, as HDFS does.
 
 Buckets are prefixes of the key's hash, of as many bits as the layer needs: one that outgrows ``rows_per_bucket``
-is split when it is rewritten, the others stay.  A bucket is written by as many tasks as its size asks
-for, in files sorted by key.
+is split when it is rewritten, the others stay.  A commit writes one folder of files sorted by bucket and key, so
+small buckets share a file and a large one has several; a row says by which write and in which bucket it stands, and a reader
+takes the files of the buckets it wants and of these the rows that the manifest names.
 """
 
 from __future__ import annotations
@@ -68,11 +69,13 @@ class Folder:
 
 @dataclass(frozen=True)
 class Bucket:
-    """All keys whose hash starts with ``prefix`` of ``depth`` bits (-1: a layer without key); no folder: no rows."""
+    """All keys whose hash starts with ``prefix`` of ``depth`` bits (-1: a layer without key); no folder: no rows.  Of the
+    folder's files, those that hold some (none named: all)."""
     depth: int
     prefix: int
     path: str | None
     rows: int
+    files: tuple[str, ...] = ()
 
     @property
     def label(self) -> str:
@@ -80,7 +83,9 @@ class Bucket:
 
 
 class SnapshotLayer:
-    MANIFEST = "depth int, prefix long, path string, rows long"
+    MANIFEST = "depth int, prefix long, path string, rows long, files array<string>"
+    #: Rows of a file of small buckets, at most.
+    FILE_ROWS = 1_000_000
 
     def __init__(self, spark: SparkSession, root: str, rows_per_bucket: int = 4_000_000):
         self.spark, self.root, self.rows_per_bucket = spark, root.rstrip("/"), rows_per_bucket
@@ -97,7 +102,7 @@ class SnapshotLayer:
     def buckets(self, version: int) -> list[Bucket]:
         """The manifest: a row per bucket, some thousand for a layer of terabytes."""
         rows = self.spark.read.schema(self.MANIFEST).parquet(self._marker(version)["manifest"]).collect()
-        return [Bucket(*r) for r in sorted(rows, key=lambda r: (r[0], r[1]))]
+        return [Bucket(*r[:4], tuple(r[4])) for r in sorted(rows, key=lambda r: (r[0], r[1]))]
 
     def current(self) -> tuple[int, list[Bucket]] | None:
         v = self.version()
@@ -105,8 +110,15 @@ class SnapshotLayer:
 
     def _frame(self, version: int, buckets: list[Bucket]) -> DataFrame:
         schema = T.StructType.fromJson(json.loads(self._marker(version)["schema"]))
-        paths = [b.path for b in buckets if b.path is not None]
-        return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
+        held = [b for b in buckets if b.path is not None]
+        if not held:
+            return self.spark.createDataFrame([], schema)
+        if held[0].depth < 0:
+            return self.spark.read.schema(schema).parquet(held[0].path)
+        paths = sorted({f"{b.path}/{f}" for b in held for f in b.files})
+        rows = self.spark.read.schema(T.StructType([*schema.fields, *self.PLACE.fields])).parquet(*paths)
+        named = self.spark.createDataFrame([(self._write_of(b.path), b.label) for b in held], self.PLACE)
+        return rows.join(F.broadcast(named), self.PLACE.names, "left_semi").select(*schema.names)
 
     def read(self, version: int | None = None) -> DataFrame:
         """The newest (or a given) version."""
@@ -116,6 +128,13 @@ class SnapshotLayer:
         return self._frame(v, self.buckets(v))
 
     # ------------------------------------------------------------------ writing
+    #: The write and the bucket of a row, in the files only.
+    PLACE = T.StructType([T.StructField("__write", T.StringType()), T.StructField("__bucket", T.StringType())])
+
+    @staticmethod
+    def _write_of(path: str) -> str:
+        return path.rsplit("/data-", 1)[1]
+
     @staticmethod
     def _prefix(key: str, depth: Column) -> Column:
         h = F.xxhash64(F.col(key))
@@ -132,18 +151,18 @@ class SnapshotLayer:
         """Write the rows of ``buckets`` and return them with their new folders."""
         path = f"{self.root}/data-{uuid.uuid4().hex}"
         out = self._placed(df, key, buckets)
-        (out.repartitionByRange("__bucket", key).sortWithinPartitions("__bucket", key).write.option("maxRecordsPerFile", self.rows_per_bucket)
-         .partitionBy("__bucket").parquet(path))
-        schema = T.StructType([T.StructField("__bucket", T.StringType())])
-        held = {r[0]: r[1] for r in self.spark.read.schema(schema).parquet(path).groupBy("__bucket").count().collect()} if self._any(path) else {}
-        return [Bucket(b.depth, b.prefix, f"{path}/__bucket={b.label}" if b.label in held else None, held.get(b.label, 0)) for b in buckets]
-
-    def _any(self, path: str) -> bool:
-        return any(n.startswith("__bucket=") for n in Folder(self.spark, path).names())
+        out = out.repartitionByRange("__bucket", key).sortWithinPartitions("__bucket", key).withColumn("__write", F.lit(self._write_of(path)))
+        out.write.option("maxRecordsPerFile", max(self.rows_per_bucket, self.FILE_ROWS)).parquet(path)
+        there = self.spark.read.schema(self.PLACE).parquet(path).groupBy("__bucket", F.col("_metadata.file_name").alias("file")).count().collect()
+        held, files = {}, {}  # a row per bucket and file, about as many as buckets
+        for label, file, n in there:
+            held[label] = held.get(label, 0) + n
+            files.setdefault(label, []).append(file)
+        return [Bucket(b.depth, b.prefix, path if b.label in held else None, held.get(b.label, 0), tuple(sorted(files.get(b.label, ())))) for b in buckets]
 
     def _publish(self, version: int, buckets: list[Bucket], schema: T.StructType, key: str | None) -> bool:
         path = f"{self.root}/_manifests/{uuid.uuid4().hex}"
-        rows = [(b.depth, b.prefix, b.path, b.rows) for b in buckets]
+        rows = [(b.depth, b.prefix, b.path, b.rows, list(b.files)) for b in buckets]
         self.spark.createDataFrame(rows, self.MANIFEST).coalesce(1).write.parquet(path)
         return self.versions.add(f"{version:08d}.json", json.dumps({"manifest": path, "schema": schema.json(), "key": key}))
 
@@ -184,19 +203,24 @@ class SnapshotLayer:
             keys = one(diff.removed, -1).unionByName(one(diff.modified, 0)).unionByName(one(diff.added, 1))
             change = {r[0]: r[1] for r in self._placed(keys, key, buckets).groupBy("__bucket").agg(F.sum("__n")).collect()}
             touched = [b for b in buckets if b.label in change]
+            self._check(version, touched)  # what is refused need not be written first
             new = []
             if touched:
                 parts = [p for b in touched for p in (self._split(b.depth, b.prefix, b.rows + change[b.label])
                                                       if b.rows + change[b.label] > 2 * self.rows_per_bucket else [b])]
                 new = self._write(read_through(self._frame(version, touched), diff, key), key, parts)
-        gone = {(b.depth, b.prefix): b for b in touched}
+        gone = {(b.depth, b.prefix) for b in touched}
         while True:
-            # what others published meanwhile stays, unless it is about the same buckets
-            newest = self.version()
-            now = buckets if newest == version else self.buckets(newest)
-            if newest != version:
-                there = {(b.depth, b.prefix): b for b in now}
-                if any(there.get(k) != b for k, b in gone.items()):
-                    raise ConflictError(f"version {newest} of {self.root} changed the same buckets as this commit on version {version}")
+            newest, now = self._check(version, touched)
             if self._publish(newest + 1, [b for b in now if (b.depth, b.prefix) not in gone] + new, schema, key):
                 return newest + 1
+
+    def _check(self, version: int, touched: list[Bucket]) -> tuple[int, list[Bucket]]:
+        """The newest version and its buckets: what others published since ``version`` stays, unless it is about the same buckets."""
+        newest = self.version()
+        now = self.buckets(newest)
+        if newest != version:
+            there = {(b.depth, b.prefix): b for b in now}
+            if any(there.get((b.depth, b.prefix)) != b for b in touched):
+                raise ConflictError(f"version {newest} of {self.root} changed the same buckets as this commit on version {version}")
+        return newest, now

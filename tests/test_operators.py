@@ -137,6 +137,24 @@ def test_buckets_grow_with_the_layer(spark, tmp_path):
     assert sorted(r.k for r in layer.read().collect()) == [0, 1, 2]
 
 
+def test_small_buckets_share_files(spark, tmp_path):
+    """The files of a commit grow with its rows, not with its buckets, and a refused commit writes none."""
+    layer = D.SnapshotLayer(spark, str(tmp_path / "layer"), rows_per_bucket=10)
+    base = layer.replace(_orders(spark, 5000), "k")
+    assert len(layer.current()[1]) == 512
+    written = lambda: {p for p in (tmp_path / "layer").rglob("*.parquet") if "_manifests" not in str(p)}
+    assert len(written()) <= 64
+    none = _orders(spark, 0)
+    layer.commit(D.Diff(none.select("k"), _orders(spark, 20).withColumn("v", F.lit(-1.0)), none), "k", base)
+    before = written()
+    with pytest.raises(D.ConflictError):
+        layer.commit(D.Diff(none.select("k"), _orders(spark, 20), none), "k", base)
+    assert written() == before
+    got = {r.k: r.v for r in layer.read().collect()}
+    assert len(got) == layer.read().count() == 5000 and all(v == (-1.0 if k < 20 else 2.0 * k) for k, v in got.items())
+    assert sum(b.rows for b in layer.current()[1]) == 5000 and layer.read(base).where("v < 0").count() == 0
+
+
 def test_trajectory_hours_and_t01(spark):
     assert TR.hours("2024-01-01 10:59:00", "2024-01-01 12:00:00") == ["2024010110", "2024010111", "2024010112"]
     rows = [(1, dt.datetime(2024, 1, 1, 10, 0), 116.3, 39.4), (1, dt.datetime(2024, 1, 1, 10, 30), 116.31, 39.41),
