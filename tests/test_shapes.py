@@ -330,3 +330,26 @@ def test_nearest_long_lines(spark, monkeypatch):
             ids.setdefault(d, []).append(k)
         assert all(x == sorted(x) for x in ids.values()) and len({k for _, k, _ in own[i]}) == 4
     assert asked.value <= 15 * len(points)
+
+
+def test_a_layer_is_covered_once(spark):
+    """Neither the rows of the cells nor a filter on them work out a feature's covering again; cells on every face are the literal ones."""
+    from tessera.functions import cells as C
+    from tessera.functions import cover as V
+    from tessera.sources import cellstore as CS
+
+    rnd = random.Random(4)
+    gs = []
+    for lat, lon in ((0, 0), (0, 90), (89, 0), (0, 177), (0, -90), (-89, 10), (45, 135), (-35.2, 45)):
+        for s in (0.05, 1.0, 4.0):
+            x, y = lon + rnd.uniform(-1, 1), max(-90, min(90 - s, lat + rnd.uniform(-1, 1)))
+            gs += [Geom.line([(x, y), (x + s, y + s)]), Geom.polygon([(x, y), (x + s, y), (x, y + s)])]
+    layer = frame(spark, gs)
+    said = lambda df: df._jdf.queryExecution().optimizedPlan().toString().count("ATAN2(")
+    cells = CS.layer_cells(layer, "geom", 9).select("id", "cell")
+    assert said(cells) == said(layer.select(V.cover("geom", 9, 1000))) > 0
+    got = {}
+    for r in cells.collect():
+        got.setdefault(r["id"], []).append(r["cell"])
+    assert {i: sorted(c) for i, c in got.items()} == {i: C.covering(g, 9, max_cells=1000) for i, g in enumerate(gs)}
+    assert CS.layer_cells(spark.createDataFrame([(1, None)], f"id int, geom {G}"), "geom", 9).count() == 0
