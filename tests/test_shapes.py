@@ -353,3 +353,22 @@ def test_a_layer_is_covered_once(spark):
         got.setdefault(r["id"], []).append(r["cell"])
     assert {i: sorted(c) for i, c in got.items()} == {i: C.covering(g, 9, max_cells=1000) for i, g in enumerate(gs)}
     assert CS.layer_cells(spark.createDataFrame([(1, None)], f"id int, geom {G}"), "geom", 9).count() == 0
+
+
+def test_a_split_writes_boxes_only(spark, monkeypatch):
+    """Crowded cells are found from the boxes, not by writing the rows again, and cells that boxes fill are not split in vain."""
+    written = []
+    monkeypatch.setattr(grid, "CROWDED", 20)
+    monkeypatch.setattr(grid, "stored", lambda df, name, real=grid.stored: (written.append((name, df.columns)), real(df, name))[1])
+    rnd = random.Random(3)
+    tiny = [(i, x, x + 0.01, y, y + 0.01, "row") for i, (x, y) in enumerate((rnd.uniform(8.1, 15.8), rnd.uniform(8.1, 15.8)) for _ in range(60))]
+    meet = lambda x, y: all(x[d] <= y[d + 1] and x[d + 1] >= y[d] for d in (1, 3))
+    for wide, split in (([(k, 8.0 + k / 2, 12.0 + k / 2, 9.0, 13.0) for k in range(8)], True), ([(k, -k / 9, 24.0 + k / 9, 0.0, 24.0 + k / 9) for k in range(8)], False)):
+        written.clear()
+        pairs = grid.box_pairs(spark.createDataFrame(tiny, "lkey int, ll0 double, lh0 double, ll1 double, lh1 double, what string"),
+                               spark.createDataFrame(wide, "rkey int, rl0 double, rh0 double, rl1 double, rh1 double"), 2, True)
+        assert sorted((r["lkey"], r["rkey"], r["what"]) for r in pairs.collect()) == sorted((a[0], b[0], "row") for a in tiny for b in wide if meet(a, b))
+        halved = [c for name, c in written if name == "halved"]
+        assert all("what" not in c for c in halved) and (len(halved) > 0 or not split)
+        if not split:
+            assert len(halved) <= 2
