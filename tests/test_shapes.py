@@ -372,3 +372,15 @@ def test_a_split_writes_boxes_only(spark, monkeypatch):
         assert all("what" not in c for c in halved) and (len(halved) > 0 or not split)
         if not split:
             assert len(halved) <= 2
+
+
+@pytest.mark.parametrize("predicate", ["intersects", "dwithin"])
+def test_vertices_are_fetched_for_rows_not_for_pairs(spark, predicate):
+    """The plain tests read kinds and vertices that were put beside the boxes, and do not look for them in each pair."""
+    small = [Geom.line([(0.0, 0.0), (1.0, 1.0)]), Geom.polygon([(4.0, 0.0), (5.0, 0.0), (4.0, 1.0)])] if predicate == "intersects" else [Geom.point(0.5, 0.4), Geom.point(4.0, 0.0)]
+    lines = frame(spark, [Geom.line([(0.0, 1.0), (1.0, 0.0)])], "lg", "line")
+    j = J.spatial_join(frame(spark, small), lines, predicate, right_geom="lg", distance=0.2, left_key="id", right_key="line")
+    assert [(r["id"], r["line"]) for r in j.collect()] == [(0, 0)]
+    tests = [x for x in j.select("id", "line")._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join Inner" in x or "Filter" in x]
+    asked = ["__l_small" if predicate == "intersects" else "__l_few", "__l_x0", "__r_x1", "__r_segment"]
+    assert any(all(c in x for c in asked) for x in tests)
